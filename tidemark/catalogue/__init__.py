@@ -1,0 +1,6 @@
+"""Registered queries, one or more per operator of the blueprint."""
+
+from tidemark.catalogue import kpi_queries, rule_queries
+from tidemark.catalogue.registry import REGISTRY
+
+__all__ = ["REGISTRY", "kpi_queries", "rule_queries"]

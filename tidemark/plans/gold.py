@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.coding import age_band, flag, text_or_blank
+from tidemark.functions.coding import age_band, flag
 from tidemark.functions.numbers import half_even
 from tidemark.functions.timestamps import day
 from tidemark.operators.linking import lookup, with_defaults
@@ -33,14 +33,9 @@ def principal_codes(silver_diagnostics: DataFrame) -> DataFrame:
     )
 
 
-def fact_sejour(silver_sejours: DataFrame, silver_diagnostics: DataFrame) -> DataFrame:
-    """One row per valid stay; identical copies of a stay count once.
-
-    Diagnoses are reduced to one row per stay before the join, so it cannot fan out.
-    """
-    stays = silver_sejours.distinct()
-    coded = link(stays, principal_codes(silver_diagnostics), "stay_id", "left")
-    return coded.select(
+def stay_measures(silver_sejours: DataFrame) -> DataFrame:
+    """Valid stays with their durations and flags; identical copies count once."""
+    return silver_sejours.distinct().select(
         "stay_id",
         "patient_hash",
         "service_code",
@@ -53,10 +48,20 @@ def fact_sejour(silver_sejours: DataFrame, silver_diagnostics: DataFrame) -> Dat
         half_even(F.col("los_hours") / 24, 2).alias("los_days"),
         flag(F.col("discharge_ts").isNotNull()).alias("is_closed"),
         flag(F.col("admission_mode") == EMERGENCY_MODE).alias("is_urgence"),
-        text_or_blank(F.col("diag_principal")).alias("diag_principal"),
     )
 
 
+def fact_sejour(silver_sejours: DataFrame, silver_diagnostics: DataFrame) -> DataFrame:
+    """One row per valid stay with its principal code, '' when it has none.
+
+    Diagnoses are reduced to one row per stay before the join, so it cannot fan out.
+    """
+    coded = link(
+        stay_measures(silver_sejours), principal_codes(silver_diagnostics), "stay_id", "left"
+    )
+    return with_defaults(coded, {"diag_principal": ""})
+
+
 def fact_acte(silver_actes: DataFrame, dim_ccam: DataFrame) -> DataFrame:
     """One row per procedure with its tariff; a code without tariff counts 0."""
     priced = lookup(silver_actes, dim_ccam.select("code_ccam", "tarif_euros"), "code_ccam")

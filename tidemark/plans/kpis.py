@@ -281,13 +281,18 @@ def rare_codes(silver_diagnostics: DataFrame, dim_cim10: DataFrame, k: int = K_M
     )
 
 
-def marts(gold: dict[str, DataFrame], silver: dict[str, DataFrame], k: int = K_MIN) -> dict[str, DataFrame]:
+def marts(
+    gold: dict[str, DataFrame],
+    silver: dict[str, DataFrame],
+    k: int = K_MIN,
+    emergency_service: str = EMERGENCY_SERVICE,
+) -> dict[str, DataFrame]:
     """The thirteen marts by name."""
     stays, acts = gold["fact_sejour"], gold["fact_acte"]
     services, codes = gold["dim_service"], gold["dim_ccam"]
     return {
         "kpi_pilotage_dms": dms(stays, services),
-        "kpi_pilotage_urgences_jour": urgences_jour(stays),
+        "kpi_pilotage_urgences_jour": urgences_jour(stays, emergency_service),
         "kpi_pilotage_readmission_30j": readmission(stays),
         "kpi_pilotage_alertes_constantes": alertes_constantes(silver["monitoring"]),
         "kpi_pilotage_mode_sortie": mode_sortie(stays),
