@@ -1,6 +1,19 @@
 """Registered queries, one or more per operator of the blueprint."""
 
-from tidemark.catalogue import kpi_queries, rule_queries
+from tidemark.catalogue import (
+    column_queries,
+    kpi_queries,
+    relation_queries,
+    rule_queries,
+    source_queries,
+)
 from tidemark.catalogue.registry import REGISTRY
 
-__all__ = ["REGISTRY", "kpi_queries", "rule_queries"]
+__all__ = [
+    "REGISTRY",
+    "column_queries",
+    "kpi_queries",
+    "relation_queries",
+    "rule_queries",
+    "source_queries",
+]
