@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.timestamps import second_text, to_second
 from tidemark.operators.linking import lookup
+from tidemark.operators.skew import hot_keys
 from tidemark.plans import gold, silver
+from tidemark.plans.model import text_schema
+from tidemark.session import inline
 
 # Reference list of the event types; "error" is not in it.
 ACTIVITY_SERVICES = (
@@ -61,14 +64,15 @@ class Activity:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.given.events.select(
+        """``json_tuple`` generates rows: no filter above it parses the text once more."""
+        return self.given.events.select("*", F.json_tuple("props", "k").alias("k")).select(
             text("event_id").alias("event_id"),
             to_second(F.col("ts")).alias("ts"),
             text("user_id").alias("user_id"),
             "event_type",
             "value",
             "props",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            F.col("k").cast("int").alias("k"),
         )
 
     @cached_property
@@ -88,8 +92,8 @@ class Activity:
 
     @cached_property
     def ref_services(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(ACTIVITY_SERVICES), "service_code string, service_label string"
+        return inline(
+            self.spark, ACTIVITY_SERVICES, text_schema("service_code", "service_label")
         )
 
     @cached_property
@@ -143,6 +147,12 @@ class Activity:
     def fact_sejour(self) -> DataFrame:
         return gold.stay_measures(self.sejours.kept)
 
+    @cached_property
+    def hot_patients(self) -> list[int]:
+        """Patients with very many stays, from the raw key column alone."""
+        keys = self.given.events.select(text("user_id").alias("patient_hash"))
+        return hot_keys(keys, ["patient_hash"])
+
     @property
     def dim_service(self) -> DataFrame:
         return self.ref_services
@@ -237,9 +247,14 @@ class Clinic:
             F.concat(F.lit("Famille "), number).alias("libelle"),
         )
         return brands.unionByName(
-            self.spark.createDataFrame(list(TYPE_LABELS), "code_cim10 string, libelle string")
+            inline(self.spark, TYPE_LABELS, text_schema("code_cim10", "libelle"))
         )
 
+    @cached_property
+    def hot_stays(self) -> list[int]:
+        """Stays with very many lines, found once for codes and procedures alike."""
+        return hot_keys(self.given.lineitem.select(text("l_orderkey").alias("stay_id")), ["stay_id"])
+
     @cached_property
     def bronze_actes(self) -> DataFrame:
         return self.given.lineitem.select(
@@ -284,11 +299,13 @@ class Clinic:
 
     @cached_property
     def diagnostics(self) -> silver.Cleaned:
-        return silver.diagnostics(self.bronze_diagnostics, self.bronze_sejours, self.ref_cim10)
+        return silver.diagnostics(
+            self.bronze_diagnostics, self.bronze_sejours, self.ref_cim10, self.hot_stays
+        )
 
     @cached_property
     def actes(self) -> silver.Cleaned:
-        return silver.actes(self.bronze_actes, self.bronze_sejours, self.ref_ccam)
+        return silver.actes(self.bronze_actes, self.bronze_sejours, self.ref_ccam, self.hot_stays)
 
     @cached_property
     def dim_service(self) -> DataFrame:
@@ -308,7 +325,8 @@ class Clinic:
 
     @cached_property
     def fact_sejour(self) -> DataFrame:
-        return gold.fact_sejour(self.sejours.kept, self.diagnostics.kept)
+        """One order is one stay, so no stay is hot on this side of the join."""
+        return gold.fact_sejour(self.sejours.kept, self.diagnostics.kept, hot=[])
 
     @cached_property
     def stay_measures(self) -> DataFrame:

@@ -25,12 +25,12 @@ def _(t: Inputs) -> DataFrame:
 
 @query("kpi_3_readmission_30d", o.sql(o.readmission("ev_fact", 30)))
 def _(t: Inputs) -> DataFrame:
-    return kpis.readmission(t.activity.fact_sejour, 30)
+    return kpis.readmission(t.activity.fact_sejour, 30, t.activity.hot_patients)
 
 
 @query("kpi_3_readmission_1d", o.sql(o.readmission("ev_fact", 1)))
 def _(t: Inputs) -> DataFrame:
-    return kpis.readmission(t.activity.fact_sejour, 1)
+    return kpis.readmission(t.activity.fact_sejour, 1, t.activity.hot_patients)
 
 
 @query("kpi_4_alerts_per_day", o.sql(o.alertes("mon_silver")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +28,12 @@ TABLE_NAMES = (
 )
 
 
+@lru_cache
+def given_table(spark: SparkSession, application: str, path: str) -> DataFrame:
+    """A table's files are listed, and their schema read, once per application."""
+    return spark.read.parquet(path)
+
+
 class Inputs:
     """The given tables of one scale folder, read when first asked for."""
 
@@ -37,9 +43,8 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        setattr(self, name, table)
-        return table
+        path = f"{self.folder}/{name}.parquet"
+        return given_table(self.spark, self.spark.sparkContext.applicationId, path)
 
     def scratch(self, purpose: str) -> str:
         return shared_folder(self.spark, purpose)

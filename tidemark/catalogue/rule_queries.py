@@ -9,6 +9,8 @@ from tidemark.catalogue.registry import Inputs, query
 from tidemark.functions.coding import SEX_SYNONYMS, normalise_code
 from tidemark.operators import quality, reconcile
 from tidemark.plans import checks, kpis, silver
+from tidemark.plans.model import LONG, STRING, schema
+from tidemark.session import inline
 
 WITHOUT_TIME = ("source", "natural_key", "rule", "detail")
 
@@ -330,10 +332,10 @@ GOLDEN_ROWS = (
 def _(t: Inputs) -> DataFrame:
     """Wrong and missing figures are reported, one within its tolerance is not."""
     a = t.activity
-    nothing = t.spark.createDataFrame([], "code_cim10 string, nb_patients bigint")
+    nothing = inline(t.spark, (), schema(code_cim10=STRING, nb_patients=LONG))
     marts = {
         "kpi_pilotage_dms": kpis.dms(a.fact_sejour, a.dim_service),
-        "kpi_pilotage_readmission_30j": kpis.readmission(a.fact_sejour),
+        "kpi_pilotage_readmission_30j": kpis.readmission(a.fact_sejour, hot=a.hot_patients),
         "kpi_pilotage_alertes_constantes": kpis.alertes_constantes(a.monitoring.kept),
         "kpi_pilotage_urgences_jour": kpis.urgences_jour(a.fact_sejour, "signup"),
         "kpi_recherche_prevalence": nothing,

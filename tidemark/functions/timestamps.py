@@ -44,7 +44,12 @@ def to_second(ts: Column) -> Column:
 
 def hours_between(start: Column, end: Column) -> Column:
     """Hour boundaries crossed: 10:59 to 12:01 is 2, although only 62 minutes passed."""
-    return F.timestamp_diff("HOUR", F.date_trunc("hour", start), F.date_trunc("hour", end))
+    return hour_number(end) - hour_number(start)
+
+
+def hour_number(ts: Column) -> Column:
+    """Whole hours since the epoch, in UTC."""
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(3600))
 
 
 def calendar_days(start: Column, end: Column) -> Column:

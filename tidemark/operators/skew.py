@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A key is hot when it holds at least HOT_ROWS rows and one row in HOT_SHARE.
 # Below one row in HOT_SHARE a key fits the task size of the table it belongs to.
 HOT_ROWS = 100_000
-HOT_SHARE = 4096
+HOT_SHARE = 1024
 TRACKED_PER_KEY = 4
 
 
@@ -26,16 +26,15 @@ def hot_keys(
     task; one small row reaches the driver. The list only steers how rows are spread:
     a key wrongly listed or missed changes no result.
     """
+    sketch = f"approx_top_k(_key, {hot_share}, {TRACKED_PER_KEY * hot_share})"
+    floor = F.greatest(F.lit(hot_rows), F.floor(F.col("n") / hot_share))
     row = (
         df.select(key_hash(keys).alias("_key"))
-        .agg(
-            F.count("*").alias("n"),
-            F.expr(f"approx_top_k(_key, {hot_share}, {TRACKED_PER_KEY * hot_share})").alias("top"),
-        )
+        .agg(F.count("*").alias("n"), F.expr(sketch).alias("top"))
+        .select(F.filter("top", lambda item: item["count"] >= floor)["item"].alias("hot"))
         .first()
     )
-    floor = max(hot_rows, row.n // hot_share)
-    return [] if row.n < hot_rows else [item["item"] for item in row.top or [] if item["count"] >= floor]
+    return list(row.hot or [])
 
 
 def spread(df: DataFrame) -> int:

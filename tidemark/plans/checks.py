@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators.linking import only_known, only_unknown
 from tidemark.operators.reconcile import expected_mismatch, scalar_mismatch, tagged, tagged_union
 from tidemark.operators.measures import K_MIN
-from tidemark.plans.model import EMERGENCY_SERVICE
+from tidemark.plans.model import DOUBLE, EMERGENCY_SERVICE, STRING, schema
 from tidemark.plans.silver import vitals_rule
+from tidemark.session import inline
 
 Tables = Mapping[str, DataFrame]
 
@@ -147,8 +148,8 @@ def golden_values(marts: Tables) -> DataFrame:
 def golden_mismatch(marts: Tables, golden=GOLDEN) -> DataFrame:
     """Published figures that are missing or off; a missing row fails too."""
     actual = golden_values(marts)
-    expected = actual.sparkSession.createDataFrame(
-        list(golden), "repere string, attendu double, tolerance double"
+    expected = inline(
+        actual.sparkSession, golden, schema(repere=STRING, attendu=DOUBLE, tolerance=DOUBLE)
     )
     return expected_mismatch(expected, actual, "repere", "tolerance", "obtenu", "attendu").select(
         "repere", "obtenu", "attendu"

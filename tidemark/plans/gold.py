@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.coding import age_band, flag
 from tidemark.functions.numbers import half_even
 from tidemark.functions.timestamps import day
 from tidemark.operators.linking import lookup, with_defaults
-from tidemark.operators.skew import link
+from tidemark.operators.skew import hot_keys, link
 from tidemark.plans.model import EMERGENCY_MODE, PRINCIPAL
 
 
@@ -51,13 +53,19 @@ def stay_measures(silver_sejours: DataFrame) -> DataFrame:
     )
 
 
-def fact_sejour(silver_sejours: DataFrame, silver_diagnostics: DataFrame) -> DataFrame:
+def fact_sejour(
+    silver_sejours: DataFrame, silver_diagnostics: DataFrame, hot: Sequence[int] | None = None
+) -> DataFrame:
     """One row per valid stay with its principal code, '' when it has none.
 
     Diagnoses are reduced to one row per stay before the join, so it cannot fan out.
     """
     coded = link(
-        stay_measures(silver_sejours), principal_codes(silver_diagnostics), "stay_id", "left"
+        stay_measures(silver_sejours),
+        principal_codes(silver_diagnostics),
+        "stay_id",
+        "left",
+        hot_keys(silver_sejours, ["stay_id"]) if hot is None else hot,
     )
     return with_defaults(coded, {"diag_principal": ""})
 

@@ -163,6 +163,7 @@ def coded_facts(
     code: str,
     source: str,
     from_stay: Sequence[str],
+    hot: Sequence[int] | None = None,
 ) -> Cleaned:
     """Facts of a stay that exists, with a known code, plus columns of the stay.
 
@@ -173,7 +174,7 @@ def coded_facts(
     parents = stays.select("stay_id", *from_stay)
     unknown_code = Rule(f"{code}_hors_referentiel", ~F.col("_code_known"), F.col(code))
     unknown_stay = Rule("sejour_inconnu", F.lit(True), F.col(code))
-    hot = hot_keys(bronze, ["stay_id"])
+    hot = hot_keys(bronze, ["stay_id"]) if hot is None else hot
     orphans = link(bronze, parents.select("stay_id"), "stay_id", "left_anti", hot)
     known = quality.kept(marked, [unknown_code]).drop("_code_known")
     return Cleaned(
@@ -187,20 +188,29 @@ def coded_facts(
     )
 
 
-def diagnostics(bronze: DataFrame, bronze_sejours: DataFrame, ref_cim10: DataFrame) -> Cleaned:
+def diagnostics(
+    bronze: DataFrame,
+    bronze_sejours: DataFrame,
+    ref_cim10: DataFrame,
+    hot: Sequence[int] | None = None,
+) -> Cleaned:
     cleaned = coded_facts(
-        bronze, bronze_sejours, ref_cim10, "code_cim10", "diagnostics", ["patient_hash"]
+        bronze, bronze_sejours, ref_cim10, "code_cim10", "diagnostics", ["patient_hash"], hot
     )
     return Cleaned(
         cleaned.kept.select("stay_id", "patient_hash", "code_cim10", "type"), cleaned.rejects
     )
 
 
-def actes(bronze: DataFrame, bronze_sejours: DataFrame, ref_ccam: DataFrame) -> Cleaned:
+def actes(
+    bronze: DataFrame,
+    bronze_sejours: DataFrame,
+    ref_ccam: DataFrame,
+    hot: Sequence[int] | None = None,
+) -> Cleaned:
     """Procedures take their service from the stay, here and only here."""
-    cleaned = coded_facts(
-        bronze, bronze_sejours, ref_ccam, "code_ccam", "actes", ["patient_hash", "service_code"]
-    )
+    from_stay = ["patient_hash", "service_code"]
+    cleaned = coded_facts(bronze, bronze_sejours, ref_ccam, "code_ccam", "actes", from_stay, hot)
     return Cleaned(
         cleaned.kept.select(
             "stay_id",

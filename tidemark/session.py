@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,3 +47,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def inline(spark: SparkSession, rows: Sequence[tuple], columns: StructType) -> DataFrame:
+    """A few constant rows as part of the plan, so that Spark knows how small they are."""
+    values = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
+    named = {field.name: list(column) for field, column in zip(columns, values, strict=True)}
+    return spark.createDataFrame(pa.table(named), schema=columns)

@@ -10,6 +10,7 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.plans.model import RUNS
+from tidemark.session import inline
 from tidemark.sources import tables
 
 ERROR_LENGTH = 500
@@ -26,7 +27,7 @@ def tracked(
     def record(status: str, error: str) -> None:
         ended = datetime.now(UTC).replace(microsecond=0)
         row = (run_id, action, layer, day, started.replace(microsecond=0), ended, status, error)
-        tables.append(spark.createDataFrame([row], RUNS).coalesce(1), path)
+        tables.append(inline(spark, [row], RUNS), path)
 
     try:
         yield run_id

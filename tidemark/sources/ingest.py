@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.identity import fingerprint_groups, pseudonym, require_salt, year_prefix
-from tidemark.plans.model import DROP_FILES, IDENTIFIERS, LEDGER, DropFile
+from tidemark.plans.model import DROP_FILES, IDENTIFIERS, LEDGER, LONG, STRING, DropFile, schema
+from tidemark.session import inline
 from tidemark.sources import drops, tables
 
 PATH, DATE = "_path", "business_date"
@@ -161,5 +162,5 @@ def ingest(
         if rows is not None:
             landed.append(land(prepare(rows, file, lake.salt), file, lake).select("source"))
     if not landed:
-        return spark.createDataFrame([], "source string, n_files bigint")
+        return inline(spark, (), schema(source=STRING, n_files=LONG))
     return reduce(DataFrame.unionByName, landed).groupBy("source").agg(F.count("*").alias("n_files"))

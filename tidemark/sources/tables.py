@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemark.session import inline
+
 
 def rebuild(df: DataFrame, path: str, staging: str | None = None) -> DataFrame:
     """Replace a table, schema included; running it again changes nothing.
@@ -63,4 +65,4 @@ def read_or_empty(spark: SparkSession, path: str, columns: StructType) -> DataFr
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], columns)
+        return inline(spark, (), columns)
