@@ -117,13 +117,13 @@ class Warehouse:
             "actes": silver.actes(raw["actes"], raw["sejours"], raw["ref_ccam"]),
         }
 
-    def build_clean(self) -> None:
+    def build_clean(self, steps: dict[str, silver.Cleaned] | None = None) -> None:
         """The quarantine journal of all sources, partitioned by source."""
-        entries = quality.journal([step.rejects for step in self.cleaned().values()])
+        entries = quality.journal([step.rejects for step in (steps or self.cleaned()).values()])
         tables.write_partitioned(entries, f"{self.root}/clean/rejects", "source", ["rule"])
 
-    def build_silver(self) -> None:
-        for name, step in self.cleaned().items():
+    def build_silver(self, steps: dict[str, silver.Cleaned] | None = None) -> None:
+        for name, step in (steps or self.cleaned()).items():
             self.save(f"silver/{name}", step.kept)
         self.save(
             "silver/pathologies",
@@ -141,8 +141,14 @@ class Warehouse:
         self.save("gold/fact_acte", gold.fact_acte(clean["actes"], self.table("gold/dim_ccam")))
 
     def _build(self, layer: str | None = None) -> None:
-        for name in [layer] if layer else LAYERS:
-            getattr(self, f"build_{name}")()
+        if layer:
+            getattr(self, f"build_{layer}")()
+            return
+        self.build_bronze()
+        steps = self.cleaned()
+        self.build_clean(steps)
+        self.build_silver(steps)
+        self.build_gold()
 
     def transform(self, layer: str | None = None) -> None:
         """Rebuild one layer or all; repeating it changes nothing."""

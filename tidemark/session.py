@@ -29,8 +29,14 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Day and hour boundaries are defined in UTC, whatever the cluster's zone."""
+    """Set what results and plans rely on.
+
+    Day and hour boundaries are defined in UTC, whatever the cluster's zone. Once a join's
+    shuffles are done and every partition of its smaller side is known to fit, adaptive
+    execution may hash that side instead of sorting both.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     return spark
 
 
