@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ from tidemark.operators import quality, reconcile
 from tidemark.operators.measures import K_MIN
 from tidemark.plans import bronze, checks, gold, kpis, silver
 from tidemark.plans.model import AUDIENCES, DROP_FILES, DropFile
+from tidemark.session import side_by_side
 from tidemark.sources import audit, tables
 from tidemark.sources.ingest import Lake, ingest
 from tidemark.sources.publish import publish
@@ -88,6 +90,10 @@ class Warehouse:
         else:
             tables.rebuild(df, path)
 
+    def save_all(self, built: dict[str, DataFrame]) -> None:
+        """Write tables that do not read one another."""
+        side_by_side(partial(self.save, name, df) for name, df in built.items())
+
     def layer(self, layer: str, names) -> dict[str, DataFrame]:
         return {name: self.table(f"{layer}/{name}") for name in names}
 
@@ -102,10 +108,14 @@ class Warehouse:
 
     def build_bronze(self) -> None:
         by_name = {file.name: file for file in self.files}
-        for name, (source, typed) in bronze.TABLES.items():
+
+        def build(name: str) -> None:
+            source, typed = bronze.TABLES[name]
             lake_table = self.spark.read.parquet(self.lake.path(by_name[source]))
             self.save(f"bronze/{name}", typed(lake_table))
 
+        side_by_side(partial(build, name) for name in bronze.TABLES)
+
     def cleaned(self) -> dict[str, silver.Cleaned]:
         raw = self.layer("bronze", bronze.TABLES)
         return {
@@ -123,22 +133,24 @@ class Warehouse:
         tables.write_partitioned(entries, f"{self.root}/clean/rejects", "source", ["rule"])
 
     def build_silver(self, steps: dict[str, silver.Cleaned] | None = None) -> None:
-        for name, step in (steps or self.cleaned()).items():
-            self.save(f"silver/{name}", step.kept)
-        self.save(
-            "silver/pathologies",
-            silver.pathologies(self.table("bronze/ref_cim10"), self.table("silver/diagnostics")),
-        )
-        self.save("silver/ccam", silver.ccam(self.table("bronze/ref_ccam"), self.table("silver/actes")))
+        steps = steps or self.cleaned()
+        self.save_all({f"silver/{name}": step.kept for name, step in steps.items()})
+        codes = silver.pathologies(self.table("bronze/ref_cim10"), self.table("silver/diagnostics"))
+        acts = silver.ccam(self.table("bronze/ref_ccam"), self.table("silver/actes"))
+        self.save_all({"silver/pathologies": codes, "silver/ccam": acts})
 
     def build_gold(self) -> None:
         clean = self.layer("silver", SILVER_TABLES)
-        self.save("gold/dim_service", clean["services"])
-        self.save("gold/dim_cim10", clean["pathologies"])
-        self.save("gold/dim_ccam", clean["ccam"])
-        self.save("gold/dim_patient", gold.dim_patient(clean["patients"], clean["sejours"]))
-        self.save("gold/fact_sejour", gold.fact_sejour(clean["sejours"], clean["diagnostics"]))
-        self.save("gold/fact_acte", gold.fact_acte(clean["actes"], self.table("gold/dim_ccam")))
+        self.save_all(
+            {
+                "gold/dim_service": clean["services"],
+                "gold/dim_cim10": clean["pathologies"],
+                "gold/dim_ccam": clean["ccam"],
+                "gold/dim_patient": gold.dim_patient(clean["patients"], clean["sejours"]),
+                "gold/fact_sejour": gold.fact_sejour(clean["sejours"], clean["diagnostics"]),
+                "gold/fact_acte": gold.fact_acte(clean["actes"], clean["ccam"]),
+            }
+        )
 
     def _build(self, layer: str | None = None) -> None:
         if layer:

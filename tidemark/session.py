@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,3 +61,9 @@ def inline(spark: SparkSession, rows: Sequence[tuple], columns: StructType) -> D
     values = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
     named = {field.name: list(column) for field, column in zip(columns, values, strict=True)}
     return spark.createDataFrame(pa.table(named), schema=columns)
+
+
+def side_by_side(jobs: Iterable[Callable], at_once: int = 4) -> list:
+    """Submit independent jobs together, so small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [job.result() for job in [pool.submit(job) for job in jobs]]

@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.identity import fingerprint_groups, pseudonym, require_salt, year_prefix
 from tidemark.plans.model import DROP_FILES, IDENTIFIERS, LEDGER, LONG, STRING, DropFile, schema
-from tidemark.session import inline
+from tidemark.session import inline, side_by_side
 from tidemark.sources import drops, tables
 
 PATH, DATE = "_path", "business_date"
@@ -102,10 +102,10 @@ def new_files(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
 
 
 def land(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
-    """Write the new files of a batch to the lake, then record them; returns the new ones.
+    """Write the new files of a batch to the lake; returns them, for ``record``.
 
-    Lake first, ledger second: a crash in between repeats the batch and overwrites the
-    same folders. Changed content replaces its own path and adds a ledger row.
+    Each file has its own folder below its date: changed content replaces it, and so does
+    a batch repeated after a crash.
     """
     spark = prepared.sparkSession
     pending = f"{lake.root}/meta/pending/{uuid.uuid4().hex}"
@@ -120,7 +120,12 @@ def land(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
         .partitionBy(DATE, "file")
         .parquet(lake.path(file))
     )
-    recorded = chosen.select(
+    return chosen
+
+
+def record(landed: DataFrame, lake: Lake) -> None:
+    """Add landed files to the ledger, only once their rows are in the lake."""
+    recorded = landed.select(
         F.col(PATH).alias("path"),
         "sha256",
         "source",
@@ -129,7 +134,6 @@ def land(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
         F.date_trunc("second", F.current_timestamp()).alias("ingested_at"),
     )
     tables.append(recorded, lake.ledger_path)
-    return chosen
 
 
 def read_drop(
@@ -156,11 +160,16 @@ def ingest(
     Returns ``(source, n_files)`` for the sources with new files.
     """
     require_salt(lake.salt)
-    landed = []
-    for file in files:
-        rows = read_drop(spark, root, file, dates, json_lines)
-        if rows is not None:
-            landed.append(land(prepare(rows, file, lake.salt), file, lake).select("source"))
+    found = {file: read_drop(spark, root, file, dates, json_lines) for file in files}
+    landed = side_by_side(
+        [
+            partial(land, prepare(rows, file, lake.salt), file, lake)
+            for file, rows in found.items()
+            if rows is not None
+        ]
+    )
     if not landed:
         return inline(spark, (), schema(source=STRING, n_files=LONG))
-    return reduce(DataFrame.unionByName, landed).groupBy("source").agg(F.count("*").alias("n_files"))
+    together = reduce(DataFrame.unionByName, landed)
+    record(together, lake)
+    return together.groupBy("source").agg(F.count("*").alias("n_files"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from tidemark.plans.model import AUDIENCES
+from tidemark.session import side_by_side
 
 
 class NotAllowed(PermissionError):
@@ -31,6 +33,8 @@ def publish(
     barred = sorted(set(marts) - set(allowed[audience]))
     if barred:
         raise NotAllowed(f"{audience} may not read {', '.join(barred)}")
-    for name, mart in marts.items():
-        mart.write.mode("overwrite").parquet(f"{root}/{audience}/{name}")
+    writers = {name: mart.write.mode("overwrite") for name, mart in marts.items()}
+    side_by_side(
+        partial(writer.parquet, f"{root}/{audience}/{name}") for name, writer in writers.items()
+    )
     return sorted(marts)

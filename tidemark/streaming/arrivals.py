@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.identity import require_salt
 from tidemark.plans.model import DropFile
 from tidemark.sources.drops import date_folders
-from tidemark.sources.ingest import Lake, land, prepare
+from tidemark.sources.ingest import Lake, land, prepare, record
 
 
 def arriving(spark: SparkSession, root: str, file: DropFile, json_lines: bool = False) -> DataFrame:
@@ -32,7 +32,7 @@ def ingest_arrivals(
     query = (
         arriving(spark, root, file, json_lines)
         .transform(lambda rows: prepare(rows, file, lake.salt))
-        .writeStream.foreachBatch(lambda batch, _: land(batch, file, lake))
+        .writeStream.foreachBatch(lambda batch, _: record(land(batch, file, lake), lake))
         .option("checkpointLocation", f"{lake.root}/meta/arrivals/{file.source}-{file.name}")
         .trigger(availableNow=True)
         .start()
