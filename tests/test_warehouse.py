@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import shutil
+from datetime import date
 
 import hospital
 import pytest
@@ -124,6 +125,16 @@ def test_journal(warehouse):
     assert details["S0016@2026-08-26 06:16:00"] == ""
 
 
+def test_reading_days_reads_their_partitions_only(warehouse, capsys):
+    days = warehouse.between("silver/monitoring", date(2026, 8, 27), date(2026, 8, 28))
+    assert days.count() == 20 and days.columns == warehouse.table("silver/monitoring").columns
+    days.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if "PartitionFilters" in line]
+    assert "jour" in filters[0] and "20260827" in filters[0]
+    month = warehouse.between("gold/fact_acte", date(2026, 8, 26), date(2026, 8, 26))
+    assert month.count() == 4
+
+
 def test_alerts(warehouse):
     daily = warehouse.marts()["kpi_pilotage_alertes_constantes"]
     # Of the ten plausible readings: 20 bpm with SpO2 91, 250 bpm, 49 bpm, 101 bpm, 38.6 degrees.
@@ -260,8 +271,8 @@ def test_a_new_salt_ingests_again(spark, site):
 
 
 def test_equal_files_of_one_batch_count_once(spark, site):
-    for date in ("2026-08-24", "2026-08-31"):
-        copy = site / f"drops/sejours/{date}/sejours.csv"
+    for other in ("2026-08-24", "2026-08-31"):
+        copy = site / f"drops/sejours/{other}/sejours.csv"
         copy.parent.mkdir()
         shutil.copy(site / "drops/sejours/2026-08-26/sejours.csv", copy)
     lake = Lake(str(site / "lake"), hospital.SALT)
@@ -281,8 +292,8 @@ def test_integers_and_floats_from_day_to_day(spark, site):
     path.parent.mkdir()
     frame.to_parquet(path, index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
     lake = Lake(str(site / "lake"), hospital.SALT)
-    for date in hospital.DAYS[:2]:
-        ingest(spark, str(site / "drops"), lake, [date], [FILES["monitoring"]])
+    for dropped in hospital.DAYS[:2]:
+        ingest(spark, str(site / "drops"), lake, [dropped], [FILES["monitoring"]])
     table = spark.read.parquet(lake.path(FILES["monitoring"]))
     assert table.count() == 17 + len(frame) and dict(table.dtypes)["spo2"] == "double"
 

@@ -30,7 +30,8 @@ PATIENT_REJECTS = """
 SERVICE_REJECTS = """
     SELECT 'referentiels' AS source, service_code AS natural_key,
            'service_sans_description' AS rule,
-           'service sans description, conservé sous (non décrit)' AS detail
+           'service absent de description_service.csv — conservé, catégorie/pôle « (non décrit) »'
+               AS detail
     FROM cl_dim_service WHERE is_described = 0"""
 VITAL_REJECTS = f"""
     SELECT 'monitoring' AS source, stay_id || '@' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS natural_key,

@@ -126,6 +126,15 @@ EMERGENCY_MODE = "urgence"
 PRINCIPAL = "principal"
 RETURN_DAYS = 30
 
+# Journal details that are the same for every row of a rule.
+DETAILS = {
+    "sex_non_normalise": "sexe vide après normalisation",
+    "service_sans_description": (
+        "service absent de description_service.csv — conservé, catégorie/pôle « (non décrit) »"
+    ),
+    "admission_ts_invalide": "date/heure admission illisible",
+}
+
 # The marts each audience may read.
 AUDIENCES = {
     "pilotage": (

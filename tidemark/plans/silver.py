@@ -15,7 +15,13 @@ from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.linking import enrich_with_gaps, mark_known, observed_codes
 from tidemark.operators.quality import Rule
 from tidemark.operators.skew import hot_keys, link
-from tidemark.plans.model import FIRST_BIRTH_YEAR, MAX_STAY_DAYS, NOT_DESCRIBED, PLAUSIBLE
+from tidemark.plans.model import (
+    DETAILS,
+    FIRST_BIRTH_YEAR,
+    MAX_STAY_DAYS,
+    NOT_DESCRIBED,
+    PLAUSIBLE,
+)
 
 
 @dataclass(frozen=True)
@@ -49,7 +55,7 @@ def patients(
         Rule(
             "sex_non_normalise",
             F.col("sex") == "",
-            F.lit("sexe vide après normalisation"),
+            F.lit(DETAILS["sex_non_normalise"]),
             drops=False,
         ),
         Rule(
@@ -82,7 +88,7 @@ def services(ref_services: DataFrame, ref_service_desc: DataFrame) -> Cleaned:
     rule = Rule(
         "service_sans_description",
         F.col("is_described") == 0,
-        F.lit(f"service sans description, conservé sous {NOT_DESCRIBED}"),
+        F.lit(DETAILS["service_sans_description"]),
         drops=False,
     )
     return Cleaned(table, quality.rejects(table, [rule], "referentiels", F.col("service_code")))
@@ -93,7 +99,7 @@ def stay_rules() -> list[Rule]:
     admission, discharge = F.col("admission_ts"), F.col("discharge_ts")
     days = calendar_days(admission, discharge)
     return [
-        Rule("admission_ts_invalide", admission.isNull(), F.lit("date/heure admission illisible")),
+        Rule("admission_ts_invalide", admission.isNull(), F.lit(DETAILS["admission_ts_invalide"])),
         Rule(
             "sortie_avant_admission",
             discharge < admission,

@@ -6,11 +6,12 @@ executor repeats only its own step, and each table is computed once.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import quality, reconcile
 from tidemark.operators.measures import K_MIN
@@ -79,6 +80,15 @@ class Warehouse:
         df = self.spark.read.parquet(f"{self.root}/{name}")
         return df.drop(LAYOUT[name][0]) if name in LAYOUT else df
 
+    def between(self, name: str, first: date, last: date) -> DataFrame:
+        """The rows of a partitioned table from ``first`` to ``last``; other partitions are
+        not read."""
+        partition, origin, pattern, _ = LAYOUT[name]
+        bounds = [F.date_format(F.lit(day), pattern).cast("int") for day in (first, last)]
+        days = F.to_date(origin).between(first, last)
+        stored = self.spark.read.parquet(f"{self.root}/{name}")
+        return stored.filter(F.col(partition).between(*bounds) & days).drop(partition)
+
     def save(self, name: str, df: DataFrame) -> None:
         path = f"{self.root}/{name}"
         if name in LAYOUT:
@@ -100,8 +110,13 @@ class Warehouse:
     # --- steps ---------------------------------------------------------------------
 
     def ingest(self, *dates: str) -> DataFrame:
-        """Bring drops into the lake, one tracked run per date; all dates when none given."""
-        with audit.tracked(self.spark, self.runs, "ingest", "lake", dates[0] if len(dates) == 1 else ""):
+        """Bring drops into the lake in one batch, all dates when none given.
+
+        Every given date has its own audit row.
+        """
+        with ExitStack() as rows:
+            for date in dates or [""]:
+                rows.enter_context(audit.tracked(self.spark, self.runs, "ingest", "lake", date))
             return ingest(
                 self.spark, self.drops, self.lake, dates or None, self.files, self.json_lines
             )

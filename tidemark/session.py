@@ -34,10 +34,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Day and hour boundaries are defined in UTC, whatever the cluster's zone. Once a join's
     shuffles are done and every partition of its smaller side is known to fit, adaptive
-    execution may hash that side instead of sorting both.
+    execution may hash that side instead of sorting both. A skewed join is split even where
+    that costs one more shuffle.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
