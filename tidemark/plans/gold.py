@@ -58,15 +58,14 @@ def fact_sejour(
 ) -> DataFrame:
     """One row per valid stay with its principal code, '' when it has none.
 
-    Diagnoses are reduced to one row per stay before the join, so it cannot fan out.
+    Diagnoses are reduced to one row per stay before the join, so it cannot fan out. One
+    shuffle by stay serves both merging copies and the join; only when some stay is hot are
+    copies merged on their own first, before the shuffle.
     """
-    coded = link(
-        stay_measures(silver_sejours),
-        principal_codes(silver_diagnostics),
-        "stay_id",
-        "left",
-        hot_keys(silver_sejours, ["stay_id"]) if hot is None else hot,
-    )
+    hot = hot_keys(silver_sejours, ["stay_id"]) if hot is None else hot
+    stays = silver_sejours if hot else silver_sejours.repartition("stay_id")
+    principal = principal_codes(silver_diagnostics)
+    coded = link(stay_measures(stays), principal, "stay_id", "left", hot)
     return with_defaults(coded, {"diag_principal": ""})
 
 

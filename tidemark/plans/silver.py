@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,12 +24,19 @@ from tidemark.plans.model import (
 )
 
 
-@dataclass(frozen=True)
 class Cleaned:
-    """A silver table and the journal rows of its source, both lazy."""
+    """A silver table and the journal rows of its source, each planned when first used."""
 
-    kept: DataFrame
-    rejects: DataFrame
+    def __init__(self, kept: Callable[[], DataFrame], rejects: Callable[[], DataFrame]) -> None:
+        self._kept, self._rejects = kept, rejects
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        return self._kept()
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self._rejects()
 
 
 def patients(
@@ -67,10 +74,10 @@ def patients(
     ]
     plausible = within_or_null(year, FIRST_BIRTH_YEAR, as_of_year)
     return Cleaned(
-        newest.withColumn("birth_year", plausible).select(
+        lambda: newest.withColumn("birth_year", plausible).select(
             "patient_hash", "birth_year", "sex", "region_code"
         ),
-        quality.rejects(newest, rules, "patients", F.col("patient_hash")),
+        lambda: quality.rejects(newest, rules, "patients", F.col("patient_hash")),
     )
 
 
@@ -91,7 +98,10 @@ def services(ref_services: DataFrame, ref_service_desc: DataFrame) -> Cleaned:
         F.lit(DETAILS["service_sans_description"]),
         drops=False,
     )
-    return Cleaned(table, quality.rejects(table, [rule], "referentiels", F.col("service_code")))
+    return Cleaned(
+        lambda: table,
+        lambda: quality.rejects(table, [rule], "referentiels", F.col("service_code")),
+    )
 
 
 def stay_rules() -> list[Rule]:
@@ -125,7 +135,7 @@ def sejours(bronze: DataFrame, ref_services: DataFrame) -> Cleaned:
     marked = mark_known(bronze, ref_services, "service_code", "_service_known")
     los = hours_between(F.col("admission_ts"), F.col("discharge_ts")).cast("double")
     return Cleaned(
-        quality.kept(marked, stay_rules()).select(
+        lambda: quality.kept(marked, stay_rules()).select(
             "stay_id",
             "patient_hash",
             "service_code",
@@ -135,7 +145,7 @@ def sejours(bronze: DataFrame, ref_services: DataFrame) -> Cleaned:
             "discharge_mode",
             los.alias("los_hours"),
         ),
-        quality.rejects(marked, stay_rules(), "sejours", F.col("stay_id")),
+        lambda: quality.rejects(marked, stay_rules(), "sejours", F.col("stay_id")),
     )
 
 
@@ -157,8 +167,8 @@ def monitoring(bronze: DataFrame) -> Cleaned:
     """Readings with no known vital out of range; they are never tied to a stay."""
     key = F.concat("stay_id", F.lit("@"), second_text(F.col("ts")))
     return Cleaned(
-        quality.kept(bronze, [vitals_rule()]),
-        quality.rejects(bronze, [vitals_rule()], "monitoring", key),
+        lambda: quality.kept(bronze, [vitals_rule()]),
+        lambda: quality.rejects(bronze, [vitals_rule()], "monitoring", key),
     )
 
 
@@ -174,24 +184,29 @@ def coded_facts(
     """Facts of a stay that exists, with a known code, plus columns of the stay.
 
     The stays are the *bronze* ones: a stay dropped for its dates still happened. Unknown
-    codes are journalled before the link, so a repeated stay cannot repeat them.
+    codes are journalled before the link, so a repeated stay cannot repeat them. Orphans
+    are found by an anti-join of two narrow columns, cheaper than staging the linked facts.
     """
     marked = mark_known(bronze, reference, code, "_code_known")
     parents = stays.select("stay_id", *from_stay)
     unknown_code = Rule(f"{code}_hors_referentiel", ~F.col("_code_known"), F.col(code))
     unknown_stay = Rule("sejour_inconnu", F.lit(True), F.col(code))
     hot = hot_keys(bronze, ["stay_id"]) if hot is None else hot
-    orphans = link(bronze, parents.select("stay_id"), "stay_id", "left_anti", hot)
-    known = quality.kept(marked, [unknown_code]).drop("_code_known")
-    return Cleaned(
-        link(known, parents, "stay_id", "inner", hot),
-        quality.journal(
+
+    def kept() -> DataFrame:
+        known = quality.kept(marked, [unknown_code]).drop("_code_known")
+        return link(known, parents, "stay_id", "inner", hot)
+
+    def rejects() -> DataFrame:
+        orphans = link(bronze, parents.select("stay_id"), "stay_id", "left_anti", hot)
+        return quality.journal(
             [
                 quality.rejects(orphans, [unknown_stay], source, F.col("stay_id")),
                 quality.rejects(marked, [unknown_code], source, F.col("stay_id")),
             ]
-        ),
-    )
+        )
+
+    return Cleaned(kept, rejects)
 
 
 def diagnostics(
@@ -203,9 +218,8 @@ def diagnostics(
     cleaned = coded_facts(
         bronze, bronze_sejours, ref_cim10, "code_cim10", "diagnostics", ["patient_hash"], hot
     )
-    return Cleaned(
-        cleaned.kept.select("stay_id", "patient_hash", "code_cim10", "type"), cleaned.rejects
-    )
+    columns = ["stay_id", "patient_hash", "code_cim10", "type"]
+    return Cleaned(lambda: cleaned.kept.select(*columns), lambda: cleaned.rejects)
 
 
 def actes(
@@ -218,7 +232,7 @@ def actes(
     from_stay = ["patient_hash", "service_code"]
     cleaned = coded_facts(bronze, bronze_sejours, ref_ccam, "code_ccam", "actes", from_stay, hot)
     return Cleaned(
-        cleaned.kept.select(
+        lambda: cleaned.kept.select(
             "stay_id",
             "patient_hash",
             "service_code",
@@ -226,7 +240,7 @@ def actes(
             "acte_ts",
             day(F.col("acte_ts")).alias("acte_date"),
         ),
-        cleaned.rejects,
+        lambda: cleaned.rejects,
     )
 
 

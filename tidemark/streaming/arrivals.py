@@ -7,12 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.identity import require_salt
 from tidemark.plans.model import DropFile
 from tidemark.sources.drops import date_folders
-from tidemark.sources.ingest import Lake, land, prepare, record
+from tidemark.sources.ingest import Lake, land, prepare, read_drop, record
 
 
-def arriving(spark: SparkSession, root: str, file: DropFile, json_lines: bool = False) -> DataFrame:
-    """The drops of one kind of file as a stream of rows."""
-    reader = spark.readStream.schema(file.schema or file.stored)
+def arriving(
+    spark: SparkSession, root: str, file: DropFile, json_lines: bool = False
+) -> DataFrame | None:
+    """The drops of one kind of file as a stream of rows; None before the first drop.
+
+    Files that carry their own schema are read with that of the drops present.
+    """
+    columns = file.schema
+    if columns is None:
+        present = read_drop(spark, root, file, None)
+        if present is None:
+            return None
+        columns = present.schema
+    reader = spark.readStream.schema(columns)
     if file.format == "csv":
         reader = reader.option("header", True).option("escape", '"')
     elif file.format == "json":
@@ -29,9 +40,11 @@ def ingest_arrivals(
     seen. A batch repeated after a failure lands on the same folders.
     """
     require_salt(lake.salt)
+    rows = arriving(spark, root, file, json_lines)
+    if rows is None:
+        return
     query = (
-        arriving(spark, root, file, json_lines)
-        .transform(lambda rows: prepare(rows, file, lake.salt))
+        rows.transform(lambda rows: prepare(rows, file, lake.salt))
         .writeStream.foreachBatch(lambda batch, _: record(land(batch, file, lake), lake))
         .option("checkpointLocation", f"{lake.root}/meta/arrivals/{file.source}-{file.name}")
         .trigger(availableNow=True)
