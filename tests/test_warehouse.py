@@ -102,7 +102,8 @@ def test_stays(warehouse):
 
 def test_journal(warehouse):
     journal = warehouse.table("clean/rejects")
-    per_rule = {(row.source, row.rule): row.n for row in journal.groupBy("source", "rule").agg(F.count("*").alias("n")).collect()}
+    counted = journal.groupBy("source", "rule").agg(F.count("*").alias("n"))
+    per_rule = {(row.source, row.rule): row.n for row in counted.collect()}
     assert per_rule == {
         ("patients", "sex_non_normalise"): 1,
         ("patients", "birth_year_aberrant"): 2,
