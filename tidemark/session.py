@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def local_folder() -> str:
+    """One temporary folder for this process, for a local master only."""
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -53,8 +60,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
