@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import numbered, ready
+from tidemark.llm.tables import blocked, positioned, ready
 from tidemark.llm.texts import word_count
 
 WEIGHTS = (5, 2, 1)
@@ -88,7 +88,7 @@ def mix(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     falling = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 1) >= "8"
     rows = rows.withColumns({"_key": key, "_half": falling, "_size": F.when(falling, -F.col("size")).otherwise(F.col("size"))})
     order = ["_half", "_size", "doc_id"]
-    placed = numbered(rows.repartitionByRange("_key", *order), ["_key"], "mixing", order=order)
+    table, blocks = blocked(rows.repartitionByRange("_key", *order), ["_key"], "mixing", order=order)
     ratio = F.floor(F.col("target") / F.col("source_size") * (1 << UNIT_BITS) + 0.5).cast("long")
     units = F.when(F.col("source_size") > 0, F.least(ratio, F.lit(MOST << UNIT_BITS))).otherwise(F.lit(0))
     digits = F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, UNIT_BITS // 4)
@@ -97,13 +97,13 @@ def mix(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         key.alias("_key"), "source_size", "target", units.cast("long").alias("_units"), offset.alias("_offset")
     )
     drawn = [F.pmod(F.col("_offset") + (number << UNIT_BITS) // DRAWS, F.lit(1 << UNIT_BITS)) for number in range(DRAWS)]
-    words = placed.select("_key", "size", "position").join(targets, "_key")
+    words = positioned(table.select("_key", "size", "_at", "_block"), blocks.join(targets, "_key"), ["_key"])
     totals = words.groupBy("_key").agg(
         *[F.sum(copies_of(F.col("position"), F.col("_units"), at) * F.col("size")).alias(f"_words_{number}") for number, at in enumerate(drawn)]
     )
     far = [F.struct(F.abs(F.col(f"_words_{number}") - F.col("target")).alias("far"), F.lit(number).alias("n"), at.alias("at")) for number, at in enumerate(drawn)]
     chosen = targets.join(totals, "_key").withColumn("_offset", F.array_min(F.array(*far))["at"]).drop(*[f"_words_{n}" for n in range(DRAWS)])
-    mixed = placed.join(chosen, "_key").withColumn("copies", copies_of(F.col("position"), F.col("_units"), F.col("_offset")))
+    mixed = positioned(table, blocks.join(chosen, "_key"), ["_key"]).withColumn("copies", copies_of(F.col("position"), F.col("_units"), F.col("_offset")))
     return mixed.select(
         "doc_id",
         "size",
