@@ -12,11 +12,13 @@ to one of the M components of the signature, which keep their earliest point. Tw
 agree in a component with the probability of their similarity. Points come in order of time,
 so a text needs those up to its latest component only: about M log M, whatever its length.
 
-Texts that agree in all ROWS components of a band are candidates. Exact copies are folded
-before, and a band's bucket is never expanded into pairs: every text in it is compared with
-one centre, and after the links found so far are closed, texts outside the bucket's largest
-class with the texts of other classes there. Candidates whose signatures are far from
-similar are left out; the rest is verified on the whole texts.
+Texts that agree in all ROWS components of a band are in one bucket. Exact copies are folded
+before, and buckets are never expanded into rows of pairs. A bucket is cut into chunks; a task
+holds one chunk, or two, compares their signatures, and returns for each text the partners it
+may be similar to. Every pair belongs to one of the bands that it shares, so it is looked at
+once. Another task holds the texts so chosen, takes their pairs by falling agreement, skips
+what is already connected there, verifies the rest exactly, and returns at most one link per
+text. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -36,9 +38,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
-#: A pair is verified unless its signatures agree in fewer components than this share. At
-#: similarity 0.8 the share has mean 0.8 and deviation 0.035.
-LEAST_AGREEMENT = 0.55
+#: A pair is verified unless its signatures agree in a smaller share of components. At
+#: similarity 0.8 the share has mean 0.8 and deviation 0.035, five of which lie between.
+LEAST_AGREEMENT = 0.62
+#: Texts of one bucket that a task compares with each other or with as many others.
+CHUNK = 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,48 +140,134 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), bodies.take(pa.array(rows)), signed], schema=_SIGNED)
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in enough components."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows of equal keys, also across batches."""
+    waiting: list[pa.RecordBatch] = []
+    now: tuple | None = None
     for batch in batches:
-        one, other = (
-            np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype=np.uint32).reshape(-1, M) for name in ("sign_a", "sign_b")
-        )
-        near = pa.array((one == other).mean(axis=1) >= LEAST_AGREEMENT)
-        yield batch.select(["a", "b"]).filter(near)
+        columns = [batch.column(name).to_numpy(zero_copy_only=False) for name in keys]
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        edges = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for start, stop in zip(edges[:-1], edges[1:], strict=True):
+            key = tuple(int(column[start]) for column in columns)
+            if waiting and key != now:
+                yield now, pa.Table.from_batches(waiting)
+                waiting = []
+            now = key
+            waiting.append(batch.slice(start, stop - start))
+    if waiting:
+        yield now, pa.Table.from_batches(waiting)
+
+
+def _agreements(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Number of equal components for each row of ``one`` with each of ``other``."""
+    total = np.zeros((len(one), len(other)), dtype=np.uint8 if M < 256 else np.uint16)
+    for component in range(M):
+        total += one[:, component, None] == other[None, :, component]
+    return total
+
+
+def _owned(nodes_a: np.ndarray, nodes_b: np.ndarray, a: np.ndarray, b: np.ndarray, band: int) -> np.ndarray:
+    """Whether ``band`` is the one, of those a pair shares, in which it is looked at: the first
+    from a band that the pair's own hash names."""
+    first = (mixed(np.minimum(nodes_a, nodes_b).astype(np.uint64) * _STEP + np.maximum(nodes_a, nodes_b).astype(np.uint64)) % np.uint64(BANDS)).astype(np.int64)
+    shared = (a.reshape(-1, BANDS, ROWS) == b.reshape(-1, BANDS, ROWS)).all(axis=2)
+    turned = np.take_along_axis(shared, (first[:, None] + np.arange(BANDS)) % BANDS, axis=1)
+    return (first + turned.argmax(axis=1)) % BANDS == band
+
+
+_TILE = ["key", "low", "high"]
+_CHOSEN = pa.schema(
+    [("key", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("node", pa.int64()), ("partners", pa.list_(pa.int64())), ("agreed", pa.list_(pa.int32()))]
+)
+
+
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each tile, the texts that have a pair to verify, with their partners."""
+    rows: list[tuple] = []
+    for tile, group in _groups(batches, _TILE):
+        if group.num_rows < 2:
+            continue
+        nodes = group["node"].to_numpy()
+        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint32).reshape(-1, M)
+        chunk, band = group["chunk"].to_numpy(), int(group["band"][0].as_py())
+        left, right = np.flatnonzero(chunk == tile[1]), np.flatnonzero(chunk == tile[2])
+        agreed = _agreements(signature[left], signature[right])
+        near = agreed >= LEAST_AGREEMENT * M
+        if tile[1] == tile[2]:
+            near &= np.tri(len(left), k=-1, dtype=bool).T
+        x, y = np.nonzero(near)
+        keep = np.zeros(len(x), dtype=bool)
+        for start in range(0, len(x), 1 << 16):
+            part = slice(start, start + (1 << 16))
+            i, j = left[x[part]], right[y[part]]
+            keep[part] = _owned(nodes[i], nodes[j], signature[i], signature[j], band)
+        x, y = x[keep], y[keep]
+        edges = np.searchsorted(x, np.arange(len(left) + 1))
+        partners = {int(place): (nodes[right[y[a:b]]].tolist(), agreed[place, y[a:b]].tolist()) for place, a, b in zip(range(len(left)), edges[:-1], edges[1:], strict=True) if b > a}
+        own = {int(nodes[left[place]]): found for place, found in partners.items()}
+        for node in np.unique(np.concatenate([nodes[left[x]], nodes[right[y]]])).tolist():
+            rows.append((*tile, node, *own.get(node, ([], []))))
+        if len(rows) >= 4096:
+            yield _rows(rows, _CHOSEN)
+            rows = []
+    if rows:
+        yield _rows(rows, _CHOSEN)
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)], schema=schema)
+
+
+def verified(nodes: list[int], texts: list[bytes], pairs: list[tuple[int, int, int]], least: float) -> list[tuple[int, int]]:
+    """Links among ``pairs`` (agreement, node, node), enough to connect what they connect."""
+    place = {node: number for number, node in enumerate(nodes)}
+    parent = list(range(len(nodes)))
+
+    def top(number: int) -> int:
+        while parent[number] != number:
+            parent[number] = number = parent[parent[number]]
+        return number
+
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def bag_of(number: int) -> tuple[np.ndarray, np.ndarray]:
+        if number not in bags:
+            bags[number] = bag(next(hashed_words([texts[number]]))[1][0][0])
+        return bags[number]
+
+    links = []
+    for _, a, b in sorted(pairs, reverse=True):
+        one, other = place[a], place[b]
+        if top(one) != top(other) and similarity(bag_of(one), bag_of(other)) >= least:
+            parent[top(one)] = top(other)
+            links.append((a, b))
+    return links
 
 
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = as_bytes(batch.column("text_a")), as_bytes(batch.column("text_b"))
-        a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-        # a centre meets many texts in a row; its bag is made once
-        bags: dict[bytes, tuple] = {}
-
-        def known(text: bytes, bags: dict = bags) -> tuple:
-            if text not in bags:
-                if len(bags) > 64:
-                    bags.clear()
-                bags[text] = bag(next(hashed_words([text]))[1][0][0])
-            return bags[text]
-
-        linked = np.array([similarity(known(x), known(y)) >= least for x, y in zip(left, right, strict=True)], dtype=bool)
-        yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked])], schema=_PAIRS)
-
-
-def _links(pairs: DataFrame, signed: DataFrame, rows: DataFrame, least: float) -> DataFrame:
-    """The similar ones among ``pairs`` (``a, b``), verified on the texts, as a written table."""
-    for side in ("a", "b"):
-        pairs = pairs.join(signed.select(F.col("node").alias(side), F.col("signature").alias(f"sign_{side}")), side)
-    near = written(pairs.select("a", "b", "sign_a", "sign_b").mapInArrow(_agreeing, "a long, b long"), "near")
-    needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = needed.join(signed.select("node", "_id", "body"), "node")
-    texts = written(rows.join(needed, ["_id", "body"]).select("node", "text"), "near-texts")
-    for side in ("a", "b"):
-        near = near.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
-    return written(near.mapInArrow(lambda batches: _verified(batches, least), "a long, b long"), "near-links")
+    links: list[tuple[int, int]] = []
+    for _, group in _groups(batches, _TILE):
+        nodes, texts = group["node"].to_pylist(), as_bytes(group["text"].combine_chunks())
+        pairs = [
+            (agreed, node, partner)
+            for node, partners, all_agreed in zip(nodes, group["partners"].to_pylist(), group["agreed"].to_pylist(), strict=True)
+            for partner, agreed in zip(partners, all_agreed, strict=True)
+        ]
+        links += verified(nodes, texts, pairs, least)
+        if len(links) >= 4096:
+            yield _rows(links, _LINKS)
+            links = []
+    if links:
+        yield _rows(links, _LINKS)
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -219,42 +309,32 @@ def _class_of_bodies(rows: DataFrame, least: float) -> DataFrame:
     signed = signed.groupBy("body").agg(F.min("doc_id").alias("_id"), F.first("signature").alias("signature"))
     signed = written(signed.withColumn("node", F.monotonically_increasing_id()), "signed")
 
-    slices = [F.xxhash64(F.substring("signature", 4 * ROWS * band + 1, 4 * ROWS), F.lit(band)) for band in range(BANDS)]
-    bands = signed.select("node", F.explode(F.array(*slices)).alias("key"))
-    centre = F.min(F.struct(F.xxhash64("node"), "node"))["node"]
-    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), centre.alias("centre")).where("n > 1")
-    members = written(bands.join(buckets.select("key", "centre"), "key"), "buckets")
-    near = signed.join(members.select("node").distinct(), "node", "left_semi")
-    near = written(near, "candidates")
-
-    first = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    first = written(first, "pairs")
-    links = _links(first, near, rows, least)
-    second = written(_open_pairs(members, components(links)).join(_either(first), ["a", "b"], "left_anti"), "pairs")
-    root = components(links.unionByName(_links(second, near, rows, least)))
+    slices = [
+        F.struct(F.xxhash64(F.substring("signature", 4 * ROWS * band + 1, 4 * ROWS), F.lit(band)).alias("key"), F.lit(band).alias("band"))
+        for band in range(BANDS)
+    ]
+    bands = signed.select("node", F.explode(F.array(*slices)).alias("at")).select("node", "at.*")
+    buckets = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
+    members = bands.join(buckets, "key").select("key", "band", "node", chunks.alias("chunks"))
+    members = members.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    members = members.select("key", "band", "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    members = members.join(signed.select("node", "signature"), "node")
+    tiled = members.repartition(*_TILE).sortWithinPartitions(*_TILE)
+    chosen = tiled.mapInArrow(_chosen, "key long, low long, high long, node long, partners array<long>, agreed array<int>")
+    chosen = written(chosen, "chosen")
+    needed = signed.select("node", "_id", "body").join(chosen.select("node").distinct(), "node")
+    texts = rows.select("_id", "body", "text").join(needed, ["_id", "body"]).groupBy("_id", "body", "node").agg(F.first("text").alias("text"))
+    paired = chosen.join(texts, "node").repartition(*_TILE).sortWithinPartitions(*_TILE)
+    links = paired.select(*_TILE, "node", "partners", "agreed", "text").mapInArrow(lambda batches: _verified(batches, least), "a long, b long")
+    root = components(links)
     whole = signed.select("node", "_id", "body").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = whole.groupBy("root").agg(F.min("_id").alias("class_id"))
     whole = whole.join(smallest, "root")
     return whole.select("body", "root", F.when(F.col("class_id") < (1 << 63) - 1, F.col("class_id")).alias("class_id"))
 
 
-def _either(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def _open_pairs(members: DataFrame, root: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different classes: only buckets with two classes or more have
-    any, and one side of each is outside the bucket's largest class."""
-    placed = members.select("key", "node").join(root, "node", "left").withColumn("cls", F.coalesce("root", "node")).drop("root")
-    counted = placed.groupBy("key", "cls").agg(F.count("*").alias("n"))
-    largest = F.max(F.struct("n", "cls"))["cls"]
-    mixed_buckets = counted.groupBy("key").agg(F.count("*").alias("n_cls"), largest.alias("major")).where("n_cls > 1")
-    placed = placed.join(mixed_buckets.select("key", "major"), "key")
-    outside = placed.where("cls <> major").select("key", F.col("node").alias("o"), F.col("cls").alias("o_cls"))
-    pairs = outside.join(placed, "key").where("o_cls <> cls and (cls = major or o < node)")
-    return _either(pairs.select(F.col("o").alias("a"), F.col("node").alias("b"))).distinct()
-
-
 def drop_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row of each class, with all its columns: the one ``classes`` keeps.
 
