@@ -82,7 +82,7 @@ def components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     path = shared_folder(spark, "links")
     either = locally(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
-    stars = stored(either.repartition("b").transform(locally).distinct(), path)
+    stars = stored(either.distinct(), path)
     size = _measure(stars)
     while size[0]:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
