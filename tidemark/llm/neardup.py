@@ -351,7 +351,7 @@ def drop_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("_row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(whole)).alias("_keep_id"),
         F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("_keep_body"),
-        (F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0).alias("_blank"),
+        (~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).alias("_blank"),
     )
     kept = source.where("not _blank").join(chosen, ["_keep_id", "_keep_body"])
     first = F.row_number().over(Window.partitionBy("_keep_id", "_keep_body").orderBy(F.lit(0)))

@@ -16,8 +16,8 @@ BLOCK_BITS = 18
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: small Arrow batches, since rows may be long."""
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
     return spark
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: The word pattern, as Java, Python and RE2 read it.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text hashed at once; a longer text is cut between words.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -46,11 +46,11 @@ def word_shares(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         row = np.repeat(np.arange(first, first + len(parts)), sizes)
         word = (np.concatenate(parts) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         keys, counts = np.unique((row << WORD_BITS) | word, return_counts=True)
-        rows.append(keys >> WORD_BITS)
-        words.append(keys & ((1 << WORD_BITS) - 1))
-        shares.append(np.minimum(counts / sizes[rows[-1] - first] * SCALE, CAP))
+        rows.append((keys >> WORD_BITS).astype(np.int32))
+        words.append((keys & ((1 << WORD_BITS) - 1)).astype(np.int32))
+        shares.append(np.minimum(counts / sizes[rows[-1] - first] * SCALE, CAP).astype(np.float32))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
     return np.concatenate(rows), np.concatenate(words), np.concatenate(shares)
 
 
@@ -123,11 +123,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     sample = texts_of(docs, confirmed.unionByName(others))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches).combine_chunks() if (batches := list(batches)) else None
-        groups = [
-            as_bytes(table.filter(pa.compute.equal(table["label"], label))["text"].combine_chunks()) if table else [] for label in (1, 0)
-        ]
-        model = fit(*groups, prior).astype(np.float32).tobytes()
+        groups: tuple[list[bytes], list[bytes]] = ([], [])
+        for batch in batches:
+            for text, label in zip(as_bytes(batch.column("text")), batch.column("label").to_pylist(), strict=True):
+                groups[label].append(text)
+        model = fit(groups[1], groups[0], prior).astype(np.float32).tobytes()
         yield pa.RecordBatch.from_pydict({"model": [model]}, pa.schema([("model", pa.binary())]))
 
     one = sample.repartition(1).sortWithinPartitions("label", "doc_id", "text").mapInArrow(fitted, "model binary")
