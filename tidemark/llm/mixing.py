@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import blocked, positioned, ready
+from tidemark.llm.tables import blocked, positioned, ready, written
 from tidemark.llm.texts import word_count
 
 WEIGHTS = (5, 2, 1)
@@ -71,17 +71,13 @@ def copies_of(position: Column, units: Column, offset: Column) -> Column:
     return floor(position + 1) - floor(position)
 
 
-def mix(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, copies, taken``.
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("size", word_count(F.col("text")))
 
-    ``size`` counts words; a null or empty text has none and may still be copied, which takes
-    no words. A null source is a source. Equal documents, and equal rows, are taken
-    independently, at most MOST times each. An empty table gives an empty table. Ties in size
-    are ordered by ``doc_id``, so which of two equal rows is copied does not matter. Other
-    columns are read only if ``extra`` names them; they are returned as ``_x_<name>``.
-    """
-    ready(docs.sparkSession)
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *[F.col(f"`{c}`").alias(f"_x_{c}") for c in extra])
+
+def _taken(rows: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id, source, size`` and more, a written table) with ``source_size``,
+    ``target`` and ``copies``."""
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     # a null source gets a key that no text has
     key = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
@@ -97,27 +93,37 @@ def mix(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         key.alias("_key"), "source_size", "target", units.cast("long").alias("_units"), offset.alias("_offset")
     )
     drawn = [F.pmod(F.col("_offset") + (number << UNIT_BITS) // DRAWS, F.lit(1 << UNIT_BITS)) for number in range(DRAWS)]
-    words = positioned(table.select("_key", "size", "_at", "_block"), blocks.join(targets, "_key"), ["_key"])
+    words = positioned(table, blocks.join(targets, "_key"), ["_key"])
     totals = words.groupBy("_key").agg(
         *[F.sum(copies_of(F.col("position"), F.col("_units"), at) * F.col("size")).alias(f"_words_{number}") for number, at in enumerate(drawn)]
     )
     far = [F.struct(F.abs(F.col(f"_words_{number}") - F.col("target")).alias("far"), F.lit(number).alias("n"), at.alias("at")) for number, at in enumerate(drawn)]
     chosen = targets.join(totals, "_key").withColumn("_offset", F.array_min(F.array(*far))["at"]).drop(*[f"_words_{n}" for n in range(DRAWS)])
-    mixed = positioned(table, blocks.join(chosen, "_key"), ["_key"]).withColumn("copies", copies_of(F.col("position"), F.col("_units"), F.col("_offset")))
-    return mixed.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
-        *[f"_x_{c}" for c in extra],
-    )
+    mixed = positioned(table, blocks.join(chosen, "_key"), ["_key"])
+    return mixed.withColumn("copies", copies_of(F.col("position"), F.col("_units"), F.col("_offset")))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, copies, taken``.
+
+    ``size`` counts words; a null or empty text has none and may still be copied, which takes
+    no words. A null source is a source. Equal documents, and equal rows, are taken
+    independently, at most MOST times each. An empty table gives an empty table. Ties in size
+    are ordered by ``doc_id``, so which of two equal rows is copied does not matter. Other
+    columns are not read.
+    """
+    ready(docs.sparkSession)
+    rows = written(_sized(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return _taken(rows).select("doc_id", "size", "source_size", "target", "copies", taken)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, all its columns kept."""
-    names = docs.columns
-    rows = mix(docs, extra=tuple(names))
-    copied = rows.where("copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return copied.select(*[F.col(f"`_x_{name}`").alias(name) for name in names])
+    ready(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")
+    whole = _sized(docs.select("doc_id", "source", "text", row)).drop("text")
+    whole = written(whole.withColumn("_id", F.monotonically_increasing_id()), "whole")
+    copies = _taken(whole.select("doc_id", "source", "size", "_id")).where("copies > 0").select("_id", "copies")
+    copied = whole.select("_row", "_id").join(copies, "_id")
+    return copied.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
