@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.tables import numbered, ready
+from tidemark.llm.tables import numbered, ready, written
 from tidemark.llm.texts import word_count
 from tidemark.session import inline
 
@@ -92,9 +92,9 @@ def pack(
     fills a batch alone; nothing is cut or dropped. Repeated rows each take a slot. An empty
     table gives an empty table. ``batch`` counts from 0 in a bucket, ``slot`` from 0 in a batch.
     """
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     tokens = word_count(F.col("text")) if length is None else F.coalesce(length, F.lit(0)).cast("long")
-    rows = docs.select("doc_id", tokens.alias("n_tokens"))
+    rows = written(docs.select("doc_id", tokens.alias("n_tokens")), "lengths")
     bounds = choose_boundaries(rows, buckets).collect()  # at most ``buckets`` rows
     tops = F.array(*[F.lit(row["bucket_length"]) for row in bounds]) if bounds else F.array(F.lit(0).cast("long"))
     bucket = F.size(F.filter(tops, lambda top: top < F.col("n_tokens"))).cast("int")
