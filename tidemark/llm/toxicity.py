@@ -58,17 +58,22 @@ def _sigmoid(value: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(value, -50, 50)))
 
 
-def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, seed: int = 7) -> np.ndarray:
+def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float) -> np.ndarray:
     """Weights of the hashed words, the intercept last."""
+    return fit_shares(word_shares([*unlabelled, *toxic]), len(unlabelled), len(toxic), prior)
+
+
+def fit_shares(parts: tuple[np.ndarray, np.ndarray, np.ndarray], n_unlabelled: int, n_toxic: int, prior: float, seed: int = 7) -> np.ndarray:
+    """The same from ``word_shares`` of the unlabelled texts followed by the toxic ones."""
     weights = np.zeros((1 << WORD_BITS) + 1)
     gathered = np.zeros_like(weights)
-    if not toxic or not unlabelled:
-        weights[-1] = -5.0 if not toxic else 0.0
+    if not n_toxic or not n_unlabelled:
+        weights[-1] = 0.0 if n_toxic else -5.0
         return weights
-    row, word, share = word_shares(toxic + unlabelled)
+    row, word, share = parts
     common = np.bincount(word, minlength=1 << WORD_BITS)[word] >= MIN
     row, word, share = row[common], word[common], share[common]
-    edges = np.searchsorted(row, np.arange(len(toxic) + len(unlabelled) + 1))
+    edges = np.searchsorted(row, np.arange(n_unlabelled + n_toxic + 1))
     random = np.random.default_rng(seed)
     weights[-1] = np.log(prior / (1 - prior))
 
@@ -79,8 +84,8 @@ def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, seed: int = 7
         return which, word[at], share[at]
 
     for _ in range(EPOCHS):
-        confirmed = np.array_split(random.permutation(len(toxic)), BATCHES)
-        others = np.array_split(random.permutation(len(unlabelled)) + len(toxic), BATCHES)
+        confirmed = np.array_split(random.permutation(n_toxic) + n_unlabelled, BATCHES)
+        others = np.array_split(random.permutation(n_unlabelled), BATCHES)
         for p_docs, u_docs in zip(confirmed, others, strict=True):
             if not len(p_docs) or not len(u_docs):
                 continue
@@ -123,11 +128,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     sample = texts_of(docs, confirmed.unionByName(others))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: tuple[list[bytes], list[bytes]] = ([], [])
+        # sorted by label: the unlabelled texts come first
+        parts: list[tuple] = []
+        counts = [0, 0]
         for batch in batches:
-            for text, label in zip(as_bytes(batch.column("text")), batch.column("label").to_pylist(), strict=True):
-                groups[label].append(text)
-        model = fit(groups[1], groups[0], prior).astype(np.float32).tobytes()
+            row, word, share = word_shares(as_bytes(batch.column("text")))
+            parts.append((row + np.int32(sum(counts)), word, share))
+            toxic = sum(batch.column("label").to_pylist())
+            counts = [counts[0] + batch.num_rows - toxic, counts[1] + toxic]
+        columns = tuple(np.concatenate(part) for part in zip(*parts, strict=True)) if parts else word_shares([])
+        parts.clear()
+        model = fit_shares(columns, *counts, prior).astype(np.float32).tobytes()
         yield pa.RecordBatch.from_pydict({"model": [model]}, pa.schema([("model", pa.binary())]))
 
     one = sample.repartition(1).sortWithinPartitions("label", "doc_id", "text").mapInArrow(fitted, "model binary")
