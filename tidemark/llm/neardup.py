@@ -299,12 +299,13 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def _classified(rows: DataFrame, least: float) -> DataFrame:
     """``doc_id, _id, body`` of every row with the class of its text (null without words)."""
-    found = _class_of_bodies(rows, least)
+    found = _class_of_bodies(rows, least).drop("_id")
     return rows.drop("text").join(found, "body", "left")
 
 
 def _class_of_bodies(rows: DataFrame, least: float) -> DataFrame:
-    """``body, root, class_id`` for every text that has words; ``root`` names the class."""
+    """``body, _id, root, class_id`` for every text that has words: its smallest id, and the
+    name and smallest id of its class."""
     signed = rows.select(F.col("_id").alias("doc_id"), "body", "text").mapInArrow(_signed, "doc_id long, body string, signature binary")
     signed = signed.groupBy("body").agg(F.min("doc_id").alias("_id"), F.first("signature").alias("signature"))
     signed = written(signed.withColumn("node", F.monotonically_increasing_id()), "signed")
@@ -332,7 +333,7 @@ def _class_of_bodies(rows: DataFrame, least: float) -> DataFrame:
     whole = signed.select("node", "_id", "body").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = whole.groupBy("root").agg(F.min("_id").alias("class_id"))
     whole = whole.join(smallest, "root")
-    return whole.select("body", "root", F.when(F.col("class_id") < (1 << 63) - 1, F.col("class_id")).alias("class_id"))
+    return whole.select("body", "_id", "root", F.when(F.col("class_id") < (1 << 63) - 1, F.col("class_id")).alias("class_id"))
 
 
 def drop_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -344,8 +345,7 @@ def drop_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rows = _identified(docs)
     found = _class_of_bodies(rows, least)
     whole = (1 << 63) - 1
-    marked = rows.groupBy("body").agg(F.min("_id").alias("_id")).join(found, "body")
-    chosen = marked.groupBy("root").agg(F.min(F.struct("_id", "body")).alias("pick")).select("pick.*")
+    chosen = found.groupBy("root").agg(F.min(F.struct("_id", "body")).alias("pick")).select("pick.*")
     chosen = chosen.select(F.col("_id").alias("_keep_id"), F.col("body").alias("_keep_body"))
     source = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("_row"),
