@@ -26,7 +26,7 @@ from tidemark.llm.texts import as_bytes, hashed_words
 #: Most confirmed toxic and most unlabelled texts that the model is fitted on.
 TOXIC, UNLABELLED = 4096, 8192
 WORD_BITS = 18
-EPOCHS, BATCHES, RATE, SPARSITY = 100, 4, 1.0, 1e-4
+EPOCHS, BATCHES, RATE, SPARSITY = 100, 4, 1.0, 1e-4  # SPARSITY at full samples; see ``fit_shares``
 #: Words in fewer texts of the sample than this are left out: they only tell texts apart.
 MIN = 10
 #: Shares of words are multiplied by SCALE, and none weighs more than CAP: in a short text
@@ -75,6 +75,8 @@ def fit_shares(parts: tuple[np.ndarray, np.ndarray, np.ndarray], n_unlabelled: i
     row, word, share = row[common], word[common], share[common]
     edges = np.searchsorted(row, np.arange(n_unlabelled + n_toxic + 1))
     random = np.random.default_rng(seed)
+    # chance effects, which the threshold is to outweigh, shrink with the root of the sample
+    sparsity = SPARSITY * np.sqrt((TOXIC + UNLABELLED) / (n_toxic + n_unlabelled))
     weights[-1] = np.log(prior / (1 - prior))
 
     def entries(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +108,7 @@ def fit_shares(parts: tuple[np.ndarray, np.ndarray, np.ndarray], n_unlabelled: i
             rate = RATE / (np.sqrt(gathered) + 1e-8)
             weights -= rate * step
             # soft threshold: a word that does not keep earning its weight has none
-            weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - SPARSITY * rate[:-1], 0)
+            weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - sparsity * rate[:-1], 0)
     return weights
 
 
