@@ -129,7 +129,7 @@ def _(t: Inputs) -> DataFrame:
     path = t.scratch("table")
     table = tables.rebuild(t.activity.bronze_sejours, path)
     kept = silver.sejours(table, t.activity.ref_services).kept
-    return tables.rebuild(kept, path, staging=t.scratch("staging"))
+    return tables.rebuild(kept, path)
 
 
 @query("src_9_replace_wider", o.sql("SELECT * FROM cl_dim_service"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 class MissingSalt(RuntimeError):
@@ -37,9 +38,15 @@ def fingerprint_groups(rows: DataFrame, group: str, columns: Sequence[str]) -> D
 
     Two independent 64-bit row hashes are summed and xor-ed inside each task before
     the shuffle, so a single huge file spreads over all its splits and is never
-    loaded whole.
+    loaded whole. Hashes skip NULLs, so each column adds whether it is NULL, and nested
+    columns are hashed as JSON that spells their NULLs out.
     """
-    parts = [part for name in columns for part in (F.col(name), F.col(name).isNull())]
+    nested = {field.name for field in rows.schema if isinstance(field.dataType, (ArrayType, MapType, StructType))}
+
+    def hashed(name: str) -> Column:
+        return F.to_json(name, {"ignoreNullFields": "false"}) if name in nested else F.col(name)
+
+    parts = [part for name in columns for part in (hashed(name), F.col(name).isNull())]
     first, second = F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
     return (
         rows.select(group, first.cast("decimal(20,0)").alias("_h1"), second.alias("_h2"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.coding import text_or_blank, within_or_null
 from tidemark.functions.numbers import float_from_number, int_from_number, int_from_text
 from tidemark.functions.timestamps import parse_timestamp, to_second
+from tidemark.operators.dedupe import latest_per_key
 
 # Fixed value: the largest year the typed column holds.
 MAX_YEAR = 65535
@@ -40,7 +41,7 @@ def sejours(lake: DataFrame) -> DataFrame:
 
 def monitoring(lake: DataFrame) -> DataFrame:
     return lake.select(
-        "stay_id",
+        *blanks("stay_id"),
         to_second(F.col("ts")).alias("ts"),
         int_from_number(F.col("heart_rate")).alias("heart_rate"),
         int_from_number(F.col("spo2")).alias("spo2"),
@@ -58,29 +59,41 @@ def diagnostics(lake: DataFrame) -> DataFrame:
 
 
 def actes(lake: DataFrame) -> DataFrame:
-    return lake.select("stay_id", "code_ccam", to_second(F.col("acte_ts")).alias("acte_ts"))
+    return lake.select(*blanks("stay_id", "code_ccam"), to_second(F.col("acte_ts")).alias("acte_ts"))
+
+
+def one_per_code(typed: DataFrame) -> DataFrame:
+    """A reference dropped again, whole or in part, counts once per code, as last dropped."""
+    key, *columns = (name for name in typed.columns if name != "business_date")
+    return latest_per_key(typed, key, ["business_date"], columns)
 
 
 def ref_services(lake: DataFrame) -> DataFrame:
-    return lake.select(*blanks("service_code", "service_label"))
+    return one_per_code(lake.select(*blanks("service_code", "service_label"), "business_date"))
 
 
 def ref_cim10(lake: DataFrame) -> DataFrame:
-    return lake.select(*blanks("code_cim10", "libelle"))
+    return one_per_code(lake.select(*blanks("code_cim10", "libelle"), "business_date"))
 
 
 def ref_service_desc(lake: DataFrame) -> DataFrame:
-    return lake.select(
-        *blanks("service_code", "categorie"),
-        int_from_text(F.col("capacite_lits")).alias("capacite_lits"),
-        *blanks("pole"),
+    return one_per_code(
+        lake.select(
+            *blanks("service_code", "categorie"),
+            int_from_text(F.col("capacite_lits")).alias("capacite_lits"),
+            *blanks("pole"),
+            "business_date",
+        )
     )
 
 
 def ref_ccam(lake: DataFrame) -> DataFrame:
-    return lake.select(
-        *blanks("code_ccam", "libelle"),
-        int_from_text(F.col("tarif_euros"), "bigint").alias("tarif_euros"),
+    return one_per_code(
+        lake.select(
+            *blanks("code_ccam", "libelle"),
+            int_from_text(F.col("tarif_euros"), "bigint").alias("tarif_euros"),
+            "business_date",
+        )
     )
 
 

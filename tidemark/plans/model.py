@@ -30,6 +30,8 @@ class DropFile:
 
     ``schema`` is the one files are read with, NULL when they carry their own; the lake
     keeps the types of ``stored``, since such files may change theirs from day to day.
+    CSV fields may hold line breaks inside quotes; a file known to have none splits over
+    tasks with ``multi_line`` off.
     """
 
     source: str
@@ -38,6 +40,7 @@ class DropFile:
     schema: T.StructType | None
     stored: T.StructType | None
     pattern: str
+    multi_line: bool = True
 
     @property
     def identifying(self) -> bool:

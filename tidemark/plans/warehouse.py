@@ -12,6 +12,7 @@ from datetime import UTC, date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark.operators import quality, reconcile
 from tidemark.operators.measures import K_MIN
@@ -19,7 +20,8 @@ from tidemark.plans import bronze, checks, gold, kpis, silver
 from tidemark.plans.model import AUDIENCES, DROP_FILES, DropFile
 from tidemark.session import side_by_side
 from tidemark.sources import audit, tables
-from tidemark.sources.ingest import Lake, ingest
+from tidemark.sources.drops import if_present
+from tidemark.sources.ingest import Lake, ingest, pseudonymise
 from tidemark.sources.publish import publish
 
 LAYERS = ("bronze", "clean", "silver", "gold")
@@ -62,7 +64,7 @@ class Warehouse:
     spark: SparkSession
     drops: str
     root: str
-    salt: str
+    salt: str = field(repr=False)
     as_of_year: int = field(default_factory=lambda: datetime.now(UTC).year)
     k: int = K_MIN
     files: tuple[DropFile, ...] = DROP_FILES
@@ -121,13 +123,21 @@ class Warehouse:
                 self.spark, self.drops, self.lake, dates or None, self.files, self.json_lines
             )
 
+    def landed(self, file: DropFile) -> DataFrame:
+        """What the lake holds of one kind of file; no rows before the first one arrives."""
+        present = if_present(self.spark.read.parquet, self.lake.path(file))
+        if present is not None:
+            return present
+        columns = [*(file.stored or file.schema).fields, StructField("business_date", DateType())]
+        empty = self.spark.createDataFrame([], StructType(columns))
+        return pseudonymise(empty, self.salt) if file.identifying else empty
+
     def build_bronze(self) -> None:
         by_name = {file.name: file for file in self.files}
 
         def build(name: str) -> None:
             source, typed = bronze.TABLES[name]
-            lake_table = self.spark.read.parquet(self.lake.path(by_name[source]))
-            self.save(f"bronze/{name}", typed(lake_table))
+            self.save(f"bronze/{name}", typed(self.landed(by_name[source])))
 
         side_by_side(partial(build, name) for name in bronze.TABLES)
 
@@ -195,6 +205,7 @@ class Warehouse:
             self.table("clean/rejects"),
             self.marts(),
             golden,
+            self.k,
         )
 
     def verify(self, golden=None) -> DataFrame:

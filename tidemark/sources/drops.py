@@ -30,16 +30,15 @@ def date_folders(dates: Sequence[str] | None) -> str:
     return "*" if dates is None else "*{" + ",".join(dates) + "}*"
 
 
+def csv_options(multi_line: bool) -> dict[str, bool | str]:
+    """RFC 4180 quotes; a header that differs from the declared columns is an error, never a
+    reading by position, which would leave the wrong column unhidden."""
+    return {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multi_line}
+
+
 def read_csv(spark: SparkSession, path: str, columns: StructType, multi_line: bool = False) -> DataFrame:
     """Header CSV with RFC 4180 quotes; splittable unless fields may hold line breaks."""
-    return (
-        spark.read.schema(columns)
-        .option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    return spark.read.schema(columns).options(**csv_options(multi_line)).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, columns: StructType, multi_line: bool = True) -> DataFrame:
@@ -57,10 +56,15 @@ def read_parquet(spark: SparkSession, path: str, columns: StructType | None = No
 
 
 def read_files(
-    spark: SparkSession, path: str, format: str, columns: StructType | None, json_lines: bool = False
+    spark: SparkSession,
+    path: str,
+    format: str,
+    columns: StructType | None,
+    json_lines: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     if format == "csv":
-        return read_csv(spark, path, columns)
+        return read_csv(spark, path, columns, multi_line)
     if format == "json":
         return read_json(spark, path, columns, multi_line=not json_lines)
     return read_parquet(spark, path, columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -44,7 +44,7 @@ class Lake:
     """
 
     root: str
-    salt: str
+    salt: str = field(repr=False)
     per_date: bool = False
 
     @property
@@ -144,7 +144,9 @@ def read_drop(
     json_lines: bool = False,
 ) -> DataFrame | None:
     path = f"{root}/{file.source}/{drops.date_folders(dates)}/{file.pattern}"
-    return drops.if_present(drops.read_files, spark, path, file.format, file.schema, json_lines)
+    return drops.if_present(
+        drops.read_files, spark, path, file.format, file.schema, json_lines, file.multi_line
+    )
 
 
 def ingest(

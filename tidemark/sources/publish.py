@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.plans.model import AUDIENCES
 from tidemark.session import side_by_side
+from tidemark.sources.tables import rebuild
 
 
 class NotAllowed(PermissionError):
@@ -33,8 +34,5 @@ def publish(
     barred = sorted(set(marts) - set(allowed[audience]))
     if barred:
         raise NotAllowed(f"{audience} may not read {', '.join(barred)}")
-    writers = {name: mart.write.mode("overwrite") for name, mart in marts.items()}
-    side_by_side(
-        partial(writer.parquet, f"{root}/{audience}/{name}") for name, writer in writers.items()
-    )
+    side_by_side(partial(rebuild, mart, f"{root}/{audience}/{name}") for name, mart in marts.items())
     return sorted(marts)

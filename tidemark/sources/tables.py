@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,17 +12,24 @@ from pyspark.sql.types import StructType
 from tidemark.session import inline
 
 
-def rebuild(df: DataFrame, path: str, staging: str | None = None) -> DataFrame:
+def rebuild(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Replace a table, schema included; running it again changes nothing.
 
-    A table computed from its own previous content needs ``staging``: the new rows are
-    complete there before the old ones go.
+    The new rows are complete in a folder beside the table before the old ones go, so a
+    table may be computed from its own content, and a write that fails leaves it as it was.
     """
-    if staging:
-        df.write.mode("overwrite").parquet(staging)
-        df = df.sparkSession.read.parquet(staging)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    (df.write.partitionBy(partition) if partition else df.write).parquet(beside)
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (path, beside))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if partition and not any(status.isDirectory() for status in files.listStatus(new)):
+        # no rows, so no partition and no file that tells the schema
+        df.limit(0).coalesce(1).write.mode("append").parquet(beside)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{beside} could not be renamed to {path}")
+    return spark.read.parquet(path)
 
 
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> DataFrame:
@@ -45,8 +53,11 @@ def write_partitioned(
     only_given: bool = False,
 ) -> DataFrame:
     """Rebuild a partitioned table, or with ``only_given`` just the values in ``df``."""
-    writer = laid_out(df, partition, cluster).write.mode("overwrite").partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic" if only_given else "static").parquet(path)
+    rows = laid_out(df, partition, cluster)
+    if not only_given:
+        return rebuild(rows, path, partition)
+    writer = rows.write.mode("overwrite").partitionBy(partition)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

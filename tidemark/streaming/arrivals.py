@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.identity import require_salt
 from tidemark.plans.model import DropFile
-from tidemark.sources.drops import date_folders
+from tidemark.sources.drops import csv_options, date_folders
 from tidemark.sources.ingest import Lake, land, prepare, read_drop, record
 
 
@@ -25,7 +25,7 @@ def arriving(
         columns = present.schema
     reader = spark.readStream.schema(columns)
     if file.format == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+        reader = reader.options(**csv_options(file.multi_line))
     elif file.format == "json":
         reader = reader.option("multiLine", not json_lines)
     return reader.format(file.format).load(f"{root}/{file.source}/{date_folders(None)}/{file.pattern}")
