@@ -7,6 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import fingerprint_groups
+from tidemark.operators.measures import next_event
+from tidemark.operators.skew import hot_keys
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import tables
@@ -78,5 +80,23 @@ def test_reference_dropped_twice_and_sources_that_never_came(spark, tmp_path):
     warehouse.verify()
 
 
+@pytest.mark.parametrize("slot", ["hour", "day"])
+def test_next_event_without_times(frame, slot):
+    at = [None, None, "1970-01-01 00:30:00", "1970-01-01 00:10:00", "2026-01-01 10:00:00", "2026-01-01 10:00:00", "2026-01-03 00:00:00"]
+    rows = [(key, time, stay) for key in ("p", "q") for stay, time in enumerate(at)] + [("r", None, 1)]
+    df = frame("patient string, at string, stay int", *rows).withColumn("at", F.col("at").cast("timestamp"))
+    every = [row.h for row in df.select(F.xxhash64("patient").alias("h")).distinct().collect()]
+
+    def answer(hot):
+        return sorted(map(repr, next_event(df, "patient", "at", "stay", "following", hot, slot).collect()))
+
+    assert answer([]) == answer(every) == answer(every[:1])
+
+
+def test_hot_keys_of_many_partitions(spark):
+    df = spark.range(40_000, numPartitions=100).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    assert hot_keys(df, ["k"], hot_rows=1000) == [spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]]
+
+
 def test_salt_is_not_in_any_repr(spark, tmp_path):
     assert "a-secret-salt" not in repr(house(spark, tmp_path)) + repr(Lake("/x", "a-secret-salt"))

@@ -52,25 +52,31 @@ def next_event(
 
     Ordinary keys are one window each. A hot key is cut into time slots, each its own
     window; only the last event of a slot then lacks a successor, and takes the first
-    event of the key's next slot from a table with one row per hot key and slot.
+    event of the key's next slot from a table with one row per hot key and slot. Events
+    without a time come first, in a slot of their own.
     """
     hot = hot_keys(df, [key]) if hot is None else list(hot)
     order = [at, tie_break]
     if not hot:
         return df.withColumn(name, F.lead(at).over(Window.partitionBy(key).orderBy(*order)))
-    cut = df.withColumn("_slot", F.when(key_hash([key]).isin(*hot), F.date_trunc(slot, F.col(at))))
+    is_hot = key_hash([key]).isin(*hot)
+    start = F.coalesce(F.date_trunc(slot, F.col(at)), F.timestamp_seconds(F.lit(0)))
+    cut = df.withColumn("_timed", F.when(is_hot, F.col(at).isNotNull()))
+    cut = cut.withColumn("_slot", F.when(is_hot, start))
+    slots = [key, "_timed", "_slot"]
     starts = (
         cut.filter(F.col("_slot").isNotNull())
-        .groupBy(key, "_slot")
+        .groupBy(*slots)
         .agg(F.min(at).alias("_first"))
-        .withColumn("_following", F.lead("_first").over(Window.partitionBy(key).orderBy("_slot")))
-        .select(key, "_slot", "_following")
+        .withColumn("_following", F.lead("_first").over(Window.partitionBy(key).orderBy("_timed", "_slot")))
+        .select(*slots, "_following")
     )
-    within = F.lead(at).over(Window.partitionBy(key, "_slot").orderBy(*order))
+    within = Window.partitionBy(*slots).orderBy(*order)
     return (
-        cut.withColumn(name, within)
-        .join(starts, [key, "_slot"], "left")
-        .withColumn(name, F.coalesce(name, "_following"))
+        cut.withColumn(name, F.lead(at).over(within))
+        .withColumn("_last", F.lead(F.lit(True)).over(within).isNull())
+        .join(starts, slots, "left")
+        .withColumn(name, F.when(F.col("_last"), F.col("_following")).otherwise(F.col(name)))
         .select(*df.columns, name)
     )
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_ROWS = 100_000
 HOT_SHARE = 1024
 TRACKED_PER_KEY = 4
+# Tasks that merge the sketches of the scan before the last one merges theirs.
+MERGERS = 64
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -23,15 +25,20 @@ def hot_keys(
     """Hashes of the keys heavy enough to need splitting: ``hot_share`` of them at most.
 
     One pass over the key columns builds a mergeable frequent-items sketch inside each
-    task; one small row reaches the driver. The list only steers how rows are spread:
+    task; MERGERS tasks merge these, one merges what they return, and one small row
+    reaches the driver. The list only steers how rows are spread:
     a key wrongly listed or missed changes no result.
     """
-    sketch = f"approx_top_k(_key, {hot_share}, {TRACKED_PER_KEY * hot_share})"
+    tracked = TRACKED_PER_KEY * hot_share
+    merged = f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {hot_share})"
     floor = F.greatest(F.lit(hot_rows), F.floor(F.col("n") / hot_share))
+    hashed = df.select(key_hash(keys).alias("_key"), (F.spark_partition_id() % MERGERS).alias("_merger"))
     row = (
-        df.select(key_hash(keys).alias("_key"))
-        .agg(F.count("*").alias("n"), F.expr(sketch).alias("top"))
-        .select(F.filter("top", lambda item: item["count"] >= floor)["item"].alias("hot"))
+        hashed.union(df.sparkSession.sql("SELECT 0L, 0"))  # sketches of no rows cannot be merged
+        .groupBy("_merger")
+        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"))
+        .agg(F.sum("n").alias("n"), F.expr(merged).alias("top"))
+        .select(F.filter("top", lambda item: (item["count"] >= floor) & (item["item"] != 0))["item"].alias("hot"))
         .first()
     )
     return list(row.hot or [])
