@@ -205,7 +205,6 @@ class Warehouse:
             self.table("clean/rejects"),
             self.marts(),
             golden,
-            self.k,
         )
 
     def verify(self, golden=None) -> DataFrame:
