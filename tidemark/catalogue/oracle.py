@@ -14,42 +14,46 @@ def hours(start: str, end: str) -> str:
     return f"date_diff('hour', {start}, {end})"
 
 
-
 STAY_COLUMNS = (
     "stay_id, patient_hash, service_code, admission_ts, discharge_ts, admission_mode, discharge_mode"
 )
 
 
-def silver_stays(bronze: str, services: str) -> str:
+def judged_stays(bronze: str, services: str) -> str:
+    """Each stay with the one fault its times may have, and whether its service is listed."""
+    return f"""
+    SELECT *, coalesce(service_code IN (SELECT service_code FROM {services}), false) AS listed,
+           CASE WHEN admission_ts IS NULL THEN 'admission_ts_invalide'
+                WHEN admission_ts > discharge_ts THEN 'sortie_avant_admission'
+                WHEN date_diff('day', admission_ts, discharge_ts) > 180 THEN 'duree_sejour_aberrante'
+           END AS time_fault
+    FROM {bronze}"""
+
+
+def silver_stays(judged: str) -> str:
     return f"""
     SELECT {STAY_COLUMNS}, CAST({hours('admission_ts', 'discharge_ts')} AS DOUBLE) AS los_hours
-    FROM {bronze}
-    WHERE admission_ts IS NOT NULL
-      AND (discharge_ts IS NULL OR discharge_ts >= admission_ts)
-      AND (discharge_ts IS NULL OR date_diff('day', admission_ts, discharge_ts) <= 180)
-      AND service_code IN (SELECT service_code FROM {services})"""
+    FROM {judged} WHERE listed AND time_fault IS NULL"""
 
 
-def stay_rejects(bronze: str, services: str) -> str:
+def stay_rejects(judged: str) -> str:
+    """A row per fault of a judged stay; its wording depends on the rule alone."""
     return f"""
-    SELECT 'sejours' AS source, stay_id AS natural_key, 'admission_ts_invalide' AS rule,
-           'date/heure admission illisible' AS detail
-    FROM {bronze} WHERE admission_ts IS NULL
-    UNION ALL
-    SELECT 'sejours', stay_id, 'sortie_avant_admission',
-           'discharge=' || strftime(discharge_ts, '%Y-%m-%d %H:%M:%S') || ' < admission='
-           || strftime(admission_ts, '%Y-%m-%d %H:%M:%S')
-    FROM {bronze} WHERE discharge_ts < admission_ts
-    UNION ALL
-    SELECT 'sejours', stay_id, 'duree_sejour_aberrante',
-           'los=' || date_diff('day', admission_ts, discharge_ts) || ' j'
-    FROM {bronze}
-    WHERE discharge_ts >= admission_ts AND date_diff('day', admission_ts, discharge_ts) > 180
-    UNION ALL
-    SELECT 'sejours', stay_id, 'service_hors_referentiel', service_code
-    FROM {bronze} b
-    WHERE admission_ts IS NOT NULL
-      AND NOT EXISTS (SELECT 1 FROM {services} s WHERE s.service_code = b.service_code)"""
+    SELECT 'sejours' AS source, stay_id AS natural_key, rule,
+           CASE rule
+               WHEN 'admission_ts_invalide' THEN 'date/heure admission illisible'
+               WHEN 'service_hors_referentiel' THEN service_code
+               WHEN 'duree_sejour_aberrante'
+                   THEN format('los={{}} j', date_diff('day', admission_ts, discharge_ts))
+               ELSE format('discharge={{}} < admission={{}}',
+                           strftime(discharge_ts, '%Y-%m-%d %H:%M:%S'),
+                           strftime(admission_ts, '%Y-%m-%d %H:%M:%S'))
+           END AS detail
+    FROM (SELECT *, unnest([time_fault,
+                            CASE WHEN NOT listed AND admission_ts IS NOT NULL
+                                 THEN 'service_hors_referentiel' END]) AS rule
+          FROM {judged})
+    WHERE rule IS NOT NULL"""
 
 
 def measures(silver: str) -> str:
@@ -101,8 +105,9 @@ CTES: dict[str, str] = {
     "ev_services": """
     SELECT * FROM (VALUES ('click', 'Clic'), ('purchase', 'Achat'), ('signup', 'Inscription'),
                           ('view', 'Vue')) v(service_code, service_label)""",
-    "ev_stays": silver_stays("ev_bronze", "ev_services"),
-    "ev_rejects": stay_rejects("ev_bronze", "ev_services"),
+    "ev_judged": judged_stays("ev_bronze", "ev_services"),
+    "ev_stays": silver_stays("ev_judged"),
+    "ev_rejects": stay_rejects("ev_judged"),
     "ev_fact": measures("ev_stays"),
     "mon_bronze": """
     SELECT event_id AS stay_id, ts,
@@ -190,8 +195,9 @@ CTES: dict[str, str] = {
     SELECT patient_hash, CASE WHEN birth_year BETWEEN 1900 AND 2001 THEN birth_year END AS birth_year,
            sex, region_code
     FROM cl_newest""",
-    "cl_stays": silver_stays("cl_bronze", "cl_services"),
-    "cl_stay_rejects": stay_rejects("cl_bronze", "cl_services"),
+    "cl_judged": judged_stays("cl_bronze", "cl_services"),
+    "cl_stays": silver_stays("cl_judged"),
+    "cl_stay_rejects": stay_rejects("cl_judged"),
     "cl_silver_diag": """
     SELECT d.stay_id, b.patient_hash, d.code_cim10, d.type
     FROM cl_diag d JOIN cl_bronze b ON b.stay_id = d.stay_id
@@ -225,6 +231,10 @@ CTES: dict[str, str] = {
     SELECT a.stay_id, a.patient_hash, a.service_code, a.acte_date, a.acte_ts, a.code_ccam,
            coalesce(c.tarif_euros, 0) AS tarif_euros
     FROM cl_silver_actes a LEFT JOIN cl_dim_ccam c ON c.code_ccam = a.code_ccam""",
+    "cl_billed": """
+    SELECT service_code, count(*) AS acts, CAST(sum(tarif_euros) AS BIGINT) AS euros,
+           (SELECT count(*) FROM cl_measures m WHERE m.service_code = a.service_code) AS stays
+    FROM cl_fact_acte a GROUP BY service_code""",
 }
 
 
@@ -314,30 +324,29 @@ ACTIVITE = f"""
            count(*) FILTER (WHERE is_closed = 1) AS nb_sejours_clos,
            {half_even('avg(los_hours) FILTER (WHERE is_closed = 1) / 24', 2)} AS dms_jours
     FROM cl_measures f LEFT JOIN cl_dim_service s ON s.service_code = f.service_code GROUP BY 1"""
+
+
+def of_service(column: str) -> str:
+    """A column of the billed service's dimension row, looked up for the total."""
+    return f"(SELECT {column} FROM cl_dim_service d WHERE d.service_code = b.service_code)"
+
+
+BILLED = f"service_code, coalesce({of_service('service_label')}, '') AS service_label, acts AS nb_actes"
 ACTES_SERVICE = f"""
-    SELECT a.service_code, coalesce(any_value(s.service_label), '') AS service_label,
-           count(*) AS nb_actes, coalesce(any_value(n.nb_sejours), 0) AS nb_sejours,
-           {half_even('count(*) / any_value(n.nb_sejours)', 2)} AS actes_par_sejour
-    FROM cl_fact_acte a LEFT JOIN cl_dim_service s ON s.service_code = a.service_code
-    LEFT JOIN (SELECT service_code, count(*) AS nb_sejours FROM cl_measures GROUP BY 1) n
-           ON n.service_code = a.service_code
-    GROUP BY a.service_code"""
-ACTES_TYPE = f"""
-    SELECT a.code_ccam, coalesce(any_value(c.libelle), '') AS libelle, count(*) AS nb_actes,
-           {half_even('100.0 * count(*) / sum(count(*)) OVER ()', 1)} AS part_pct
-    FROM cl_fact_acte a LEFT JOIN cl_dim_ccam c ON c.code_ccam = a.code_ccam GROUP BY a.code_ccam"""
+    SELECT {BILLED}, stays AS nb_sejours, {half_even('acts / nullif(stays, 0)', 2)} AS actes_par_sejour
+    FROM cl_billed b"""
 DENSITE = f"""
-    SELECT a.service_code, coalesce(any_value(s.service_label), '') AS service_label,
-           any_value(s.capacite_lits) AS capacite_lits, count(*) AS nb_actes,
-           {half_even('count(*) / any_value(s.capacite_lits)', 1)} AS actes_par_lit
-    FROM cl_fact_acte a LEFT JOIN cl_dim_service s ON s.service_code = a.service_code
-    GROUP BY a.service_code"""
+    SELECT {BILLED}, {of_service('capacite_lits')} AS capacite_lits,
+           {half_even(f"acts / {of_service('capacite_lits')}", 1)} AS actes_par_lit
+    FROM cl_billed b"""
 MONTANT = f"""
-    SELECT a.service_code, coalesce(any_value(s.service_label), '') AS service_label,
-           count(*) AS nb_actes, CAST(sum(tarif_euros) AS BIGINT) AS montant_total_euros,
-           {half_even('sum(tarif_euros) / count(*)', 2)} AS tarif_moyen_euros
-    FROM cl_fact_acte a LEFT JOIN cl_dim_service s ON s.service_code = a.service_code
-    GROUP BY a.service_code"""
+    SELECT {BILLED}, euros AS montant_total_euros, {half_even('euros / acts', 2)} AS tarif_moyen_euros
+    FROM cl_billed b"""
+ACTES_TYPE = f"""
+    SELECT code_ccam, nb_actes,
+           coalesce((SELECT libelle FROM cl_dim_ccam d WHERE d.code_ccam = t.code_ccam), '') AS libelle,
+           {half_even('100.0 * nb_actes / (SELECT count(*) FROM cl_fact_acte)', 1)} AS part_pct
+    FROM (SELECT code_ccam, count(*) AS nb_actes FROM cl_fact_acte GROUP BY code_ccam) t"""
 PYRAMIDE = f"""
     SELECT tranche_age, sexe, CAST(sum(nb_patients) AS BIGINT) AS nb_patients
     FROM ({cohorte(5)}) GROUP BY 1, 2"""
