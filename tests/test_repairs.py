@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import hospital
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from tidemark.functions.identity import fingerprint_groups
 from tidemark.operators.measures import next_event
 from tidemark.operators.skew import hot_keys
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
 from tidemark.sources import tables
 from tidemark.sources.ingest import Lake
 from tidemark.streaming.arrivals import arriving
@@ -100,3 +103,56 @@ def test_hot_keys_of_many_partitions(spark):
 
 def test_salt_is_not_in_any_repr(spark, tmp_path):
     assert "a-secret-salt" not in repr(house(spark, tmp_path)) + repr(Lake("/x", "a-secret-salt"))
+
+
+def test_mixed_parquet_types_in_one_batch(spark, tmp_path):
+    for day in range(3):
+        frame = hospital.monitoring(day)
+        if day == 1:
+            frame = frame.dropna().astype({"heart_rate": "int64", "spo2": "int64"})
+        folder = tmp_path / "drops/monitoring" / hospital.DAYS[day]
+        folder.mkdir(parents=True)
+        frame.to_parquet(folder / "monitoring.parquet", index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    warehouse = house(spark, tmp_path)
+    warehouse.ingest()
+    table = spark.read.parquet(f"{warehouse.root}/lake/monitoring/monitoring")
+    assert table.select("business_date").distinct().count() == 3 and dict(table.dtypes)["heart_rate"] == "double"
+
+
+def contents(warehouse):
+    names = [f"{layer}/{name}" for layer, tables in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)) for name in tables]
+    journal = warehouse.table("clean/rejects").drop("detected_at")
+    every = {name: warehouse.table(name) for name in names} | {"clean/rejects": journal}
+    return {name: sorted(map(repr, df.select(*sorted(df.columns)).collect())) for name, df in every.items()}
+
+
+def slices(warehouse, name, day):
+    return {str(path) for path in Path(f"{warehouse.root}/{name}/business_date={day}").rglob("*.parquet")}
+
+
+def test_a_day_at_a_time_equals_a_full_build(spark, tmp_path):
+    """Also when a late stay turns the orphans of an earlier day into known facts, and when a
+    day is dropped again with fewer rows."""
+    first, second, third = hospital.DAYS
+    daily = house(spark, tmp_path)
+    for day in range(2):
+        hospital.write_day(tmp_path / "drops", day)
+        daily.replay(hospital.DAYS[day])
+    tables_by_day = ("silver/monitoring", "silver/actes", "bronze/sejours", "gold/fact_acte")
+    kept = {name: slices(daily, name, first) for name in tables_by_day}
+    assert all(kept.values())
+    daily.replay(second)
+    assert {name: slices(daily, name, first) for name in tables_by_day} == kept
+
+    hospital.write_day(tmp_path / "drops", 2)
+    orphan = daily.table("clean/rejects").filter("rule = 'sejour_inconnu' AND source = 'actes'").first().natural_key
+    stays = tmp_path / "drops/sejours" / third / "sejours.csv"
+    stays.write_text(stays.read_text().rstrip("\n") + f"\n{orphan},IPP0000001,CARDIO,2026-08-26 10:00:00,,urgence,\n")
+    daily.replay(third)
+    again = tmp_path / "drops/monitoring" / second / "monitoring.parquet"
+    hospital.monitoring(1).head(3).to_parquet(again, index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    daily.replay(second)
+    assert daily.table("silver/actes").filter(F.col("stay_id") == orphan).count() > 0
+    stepwise = contents(daily)
+    daily.transform()
+    assert stepwise == contents(daily)

@@ -40,6 +40,7 @@ def rejects(
     source: str,
     natural_key: Column,
     detected_at: datetime | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """One journal row per broken rule, so a row that breaks two appears twice."""
     entries = [
@@ -54,20 +55,25 @@ def rejects(
     stamp = F.current_timestamp() if detected_at is None else F.lit(detected_at)
     return (
         df.filter(any_of([rule.fires for rule in rules]))
-        .select(natural_key.alias("natural_key"), F.explode(F.array_compact(F.array(*entries))).alias("_e"))
+        .select(
+            natural_key.alias("natural_key"),
+            F.explode(F.array_compact(F.array(*entries))).alias("_e"),
+            *carried,
+        )
         .select(
             F.lit(source).alias("source"),
             "natural_key",
             F.col("_e.rule").alias("rule"),
             F.col("_e.detail").alias("detail"),
             F.date_trunc("second", stamp).alias("detected_at"),
+            *carried,
         )
     )
 
 
 def journal(parts: Sequence[DataFrame]) -> DataFrame:
-    """All sources' rejects as one table."""
-    return reduce(DataFrame.unionByName, parts)
+    """All sources' rejects as one table; carried columns are NULL where a source has none."""
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
 def summary(rejected: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Bronze: lake rows typed, nothing cleaned; unreadable values become NULL.
 
-Text columns are never NULL here: a blank field is ''.
+Text columns are never NULL here: a blank field is ''. Sources of events can carry columns of
+the lake along, such as the drop date.
 """
 
 from __future__ import annotations
@@ -30,36 +31,41 @@ def patients(lake: DataFrame) -> DataFrame:
     )
 
 
-def sejours(lake: DataFrame) -> DataFrame:
+def sejours(lake: DataFrame, *carried: str) -> DataFrame:
     return lake.select(
         *blanks("stay_id", "patient_hash", "service_code"),
         parse_timestamp(F.col("admission_ts")).alias("admission_ts"),
         parse_timestamp(F.col("discharge_ts")).alias("discharge_ts"),
         *blanks("admission_mode", "discharge_mode"),
+        *carried,
     )
 
 
-def monitoring(lake: DataFrame) -> DataFrame:
+def monitoring(lake: DataFrame, *carried: str) -> DataFrame:
     return lake.select(
         *blanks("stay_id"),
         to_second(F.col("ts")).alias("ts"),
         int_from_number(F.col("heart_rate")).alias("heart_rate"),
         int_from_number(F.col("spo2")).alias("spo2"),
         float_from_number(F.col("temp_c")).alias("temp_c"),
+        *carried,
     )
 
 
-def diagnostics(lake: DataFrame) -> DataFrame:
+def diagnostics(lake: DataFrame, *carried: str) -> DataFrame:
     """One row per coded diagnosis; a stay with an empty list gives none."""
-    return lake.select("stay_id", F.explode("diagnostics").alias("_d")).select(
+    return lake.select("stay_id", F.explode("diagnostics").alias("_d"), *carried).select(
         *blanks("stay_id"),
         text_or_blank(F.col("_d.code_cim10")).alias("code_cim10"),
         text_or_blank(F.col("_d.type")).alias("type"),
+        *carried,
     )
 
 
-def actes(lake: DataFrame) -> DataFrame:
-    return lake.select(*blanks("stay_id", "code_ccam"), to_second(F.col("acte_ts")).alias("acte_ts"))
+def actes(lake: DataFrame, *carried: str) -> DataFrame:
+    return lake.select(
+        *blanks("stay_id", "code_ccam"), to_second(F.col("acte_ts")).alias("acte_ts"), *carried
+    )
 
 
 def one_per_code(typed: DataFrame) -> DataFrame:

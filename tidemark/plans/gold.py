@@ -69,7 +69,9 @@ def fact_sejour(
     return with_defaults(coded, {"diag_principal": ""})
 
 
-def fact_acte(silver_actes: DataFrame, dim_ccam: DataFrame) -> DataFrame:
+def fact_acte(
+    silver_actes: DataFrame, dim_ccam: DataFrame, carried: Sequence[str] = ()
+) -> DataFrame:
     """One row per procedure with its tariff; a code without tariff counts 0."""
     priced = lookup(silver_actes, dim_ccam.select("code_ccam", "tarif_euros"), "code_ccam")
     return with_defaults(priced, {"tarif_euros": 0}).select(
@@ -80,4 +82,5 @@ def fact_acte(silver_actes: DataFrame, dim_ccam: DataFrame) -> DataFrame:
         "acte_ts",
         "code_ccam",
         F.col("tarif_euros").cast("bigint").alias("tarif_euros"),
+        *carried,
     )

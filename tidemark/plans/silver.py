@@ -130,7 +130,7 @@ def stay_rules() -> list[Rule]:
     ]
 
 
-def sejours(bronze: DataFrame, ref_services: DataFrame) -> Cleaned:
+def sejours(bronze: DataFrame, ref_services: DataFrame, carried: Sequence[str] = ()) -> Cleaned:
     """Stays with coherent dates and a known service; open stays are legitimate."""
     marked = mark_known(bronze, ref_services, "service_code", "_service_known")
     los = hours_between(F.col("admission_ts"), F.col("discharge_ts")).cast("double")
@@ -144,8 +144,11 @@ def sejours(bronze: DataFrame, ref_services: DataFrame) -> Cleaned:
             "admission_mode",
             "discharge_mode",
             los.alias("los_hours"),
+            *carried,
+        ),
+        lambda: quality.rejects(
+            marked, stay_rules(), "sejours", F.col("stay_id"), carried=carried
         ),
-        lambda: quality.rejects(marked, stay_rules(), "sejours", F.col("stay_id")),
     )
 
 
@@ -163,12 +166,12 @@ def vitals_rule() -> Rule:
     return Rule("hors_plage_physiologique", broken, detail)
 
 
-def monitoring(bronze: DataFrame) -> Cleaned:
+def monitoring(bronze: DataFrame, carried: Sequence[str] = ()) -> Cleaned:
     """Readings with no known vital out of range; they are never tied to a stay."""
     key = F.concat("stay_id", F.lit("@"), second_text(F.col("ts")))
     return Cleaned(
         lambda: quality.kept(bronze, [vitals_rule()]),
-        lambda: quality.rejects(bronze, [vitals_rule()], "monitoring", key),
+        lambda: quality.rejects(bronze, [vitals_rule()], "monitoring", key, carried=carried),
     )
 
 
@@ -180,6 +183,7 @@ def coded_facts(
     source: str,
     from_stay: Sequence[str],
     hot: Sequence[int] | None = None,
+    carried: Sequence[str] = (),
 ) -> Cleaned:
     """Facts of a stay that exists, with a known code, plus columns of the stay.
 
@@ -201,8 +205,8 @@ def coded_facts(
         orphans = link(bronze, parents.select("stay_id"), "stay_id", "left_anti", hot)
         return quality.journal(
             [
-                quality.rejects(orphans, [unknown_stay], source, F.col("stay_id")),
-                quality.rejects(marked, [unknown_code], source, F.col("stay_id")),
+                quality.rejects(rows, [rule], source, F.col("stay_id"), carried=carried)
+                for rows, rule in ((orphans, unknown_stay), (marked, unknown_code))
             ]
         )
 
@@ -214,11 +218,12 @@ def diagnostics(
     bronze_sejours: DataFrame,
     ref_cim10: DataFrame,
     hot: Sequence[int] | None = None,
+    carried: Sequence[str] = (),
 ) -> Cleaned:
     cleaned = coded_facts(
-        bronze, bronze_sejours, ref_cim10, "code_cim10", "diagnostics", ["patient_hash"], hot
+        bronze, bronze_sejours, ref_cim10, "code_cim10", "diagnostics", ["patient_hash"], hot, carried
     )
-    columns = ["stay_id", "patient_hash", "code_cim10", "type"]
+    columns = ["stay_id", "patient_hash", "code_cim10", "type", *carried]
     return Cleaned(lambda: cleaned.kept.select(*columns), lambda: cleaned.rejects)
 
 
@@ -227,10 +232,13 @@ def actes(
     bronze_sejours: DataFrame,
     ref_ccam: DataFrame,
     hot: Sequence[int] | None = None,
+    carried: Sequence[str] = (),
 ) -> Cleaned:
     """Procedures take their service from the stay, here and only here."""
     from_stay = ["patient_hash", "service_code"]
-    cleaned = coded_facts(bronze, bronze_sejours, ref_ccam, "code_ccam", "actes", from_stay, hot)
+    cleaned = coded_facts(
+        bronze, bronze_sejours, ref_ccam, "code_ccam", "actes", from_stay, hot, carried
+    )
     return Cleaned(
         lambda: cleaned.kept.select(
             "stay_id",
@@ -239,6 +247,7 @@ def actes(
             "code_ccam",
             "acte_ts",
             day(F.col("acte_ts")).alias("acte_date"),
+            *carried,
         ),
         lambda: cleaned.rejects,
     )

@@ -1,7 +1,9 @@
 """The warehouse job: ingest, build the layers in order, verify, publish.
 
 Layers are written as Parquet at each boundary. A later step reads the tables, so a lost
-executor repeats only its own step, and each table is computed once.
+executor repeats only its own step, and each table is computed once. Tables of events are
+kept by drop date: a day's run replaces that day's slices and those of earlier days whose
+facts belong to stays that the day brought or changed; other slices keep their files.
 """
 
 from __future__ import annotations
@@ -25,6 +27,14 @@ from tidemark.sources.ingest import Lake, ingest, pseudonymise
 from tidemark.sources.publish import publish
 
 LAYERS = ("bronze", "clean", "silver", "gold")
+DROPPED = "business_date"
+EVENTS = ("sejours", "monitoring", "diagnostics", "actes")
+JOURNAL = "clean/rejects"
+# Tables kept by drop date.
+DATED = {f"{layer}/{name}" for layer in ("bronze", "silver") for name in EVENTS} | {
+    "gold/fact_acte",
+    JOURNAL,
+}
 
 # Partition column (computed from the named one) and sort order of the large tables.
 LAYOUT = {
@@ -43,6 +53,7 @@ CLUSTERED = {
     "silver/sejours": ["stay_id"],
     "silver/diagnostics": ["stay_id", "code_cim10"],
     "gold/dim_patient": ["patient_hash"],
+    JOURNAL: ["rule"],
 }
 SILVER_TABLES = (
     "patients",
@@ -78,9 +89,21 @@ class Warehouse:
     def runs(self) -> str:
         return f"{self.root}/meta/runs"
 
+    def stored(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    def dated(self, name: str, day: date | None = None) -> DataFrame:
+        """A table of events with its drop date; of one day, or all."""
+        df = self.stored(name)
+        if name in LAYOUT:
+            df = df.drop(LAYOUT[name][0])
+        df = df.withColumn(DROPPED, F.col(DROPPED).cast("date"))
+        return df if day is None else df.filter(F.col(DROPPED) == F.lit(day))
+
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        return df.drop(LAYOUT[name][0]) if name in LAYOUT else df
+        if name in DATED:
+            return self.dated(name).drop(DROPPED)
+        return self.stored(name).drop(*[LAYOUT[name][0]] if name in LAYOUT else [])
 
     def between(self, name: str, first: date, last: date) -> DataFrame:
         """The rows of a partitioned table from ``first`` to ``last``; other partitions are
@@ -88,19 +111,29 @@ class Warehouse:
         partition, origin, pattern, _ = LAYOUT[name]
         bounds = [F.date_format(F.lit(day), pattern).cast("int") for day in (first, last)]
         days = F.to_date(origin).between(first, last)
-        stored = self.spark.read.parquet(f"{self.root}/{name}")
-        return stored.filter(F.col(partition).between(*bounds) & days).drop(partition)
+        found = self.stored(name).filter(F.col(partition).between(*bounds) & days)
+        return found.drop(partition, *[DROPPED] if name in DATED else [])
 
-    def save(self, name: str, df: DataFrame) -> None:
-        path = f"{self.root}/{name}"
+    def layout(self, name: str, df: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+        """The rows with their partition columns, those columns, and the order in files."""
+        partition, cluster = [DROPPED] if name in DATED else [], CLUSTERED.get(name, [])
         if name in LAYOUT:
-            partition, origin, pattern, cluster = LAYOUT[name]
-            keyed = df.selectExpr("*", f"date_format({origin}, '{pattern}') AS {partition}")
-            tables.write_partitioned(keyed, path, partition, cluster)
-        elif name in CLUSTERED:
-            tables.write_clustered(df, path, CLUSTERED[name])
+            column, origin, pattern, cluster = LAYOUT[name]
+            df = df.selectExpr("*", f"date_format({origin}, '{pattern}') AS {column}")
+            partition = [*partition, column]
+        return df, partition, cluster
+
+    def save(self, name: str, df: DataFrame) -> None:
+        df, partition, cluster = self.layout(name, df)
+        if partition:
+            tables.write_partitioned(df, f"{self.root}/{name}", partition, cluster)
         else:
-            tables.rebuild(df, path)
+            tables.write_clustered(df, f"{self.root}/{name}", cluster)
+
+    def save_day(self, name: str, day: date | None, df: DataFrame) -> None:
+        """Replace one drop date of a table, None being the rows without one."""
+        df, partition, cluster = self.layout(name, df.drop(DROPPED))
+        tables.replace_slice(df, f"{self.root}/{name}", partition, day, cluster)
 
     def save_all(self, built: dict[str, DataFrame]) -> None:
         """Write tables that do not read one another."""
@@ -132,50 +165,140 @@ class Warehouse:
         empty = self.spark.createDataFrame([], StructType(columns))
         return pseudonymise(empty, self.salt) if file.identifying else empty
 
-    def build_bronze(self) -> None:
-        by_name = {file.name: file for file in self.files}
-
-        def build(name: str) -> None:
-            source, typed = bronze.TABLES[name]
-            self.save(f"bronze/{name}", typed(self.landed(by_name[source])))
+    def typed(self, name: str) -> DataFrame:
+        """A bronze table as the lake gives it; events carry their drop date."""
+        source, typed = bronze.TABLES[name]
+        lake = self.landed({file.name: file for file in self.files}[source])
+        return typed(lake, DROPPED) if name in EVENTS else typed(lake)
 
-        side_by_side(partial(build, name) for name in bronze.TABLES)
+    def build_bronze(self) -> None:
+        self.save_all({f"bronze/{name}": self.typed(name) for name in bronze.TABLES})
 
-    def cleaned(self) -> dict[str, silver.Cleaned]:
-        raw = self.layer("bronze", bronze.TABLES)
+    def entities(self) -> dict[str, silver.Cleaned]:
+        """What is built from all drops together."""
+        raw = self.layer("bronze", ("patients", "ref_services", "ref_service_desc"))
         return {
             "patients": silver.patients(raw["patients"], self.as_of_year),
             "services": silver.services(raw["ref_services"], raw["ref_service_desc"]),
-            "sejours": silver.sejours(raw["sejours"], raw["ref_services"]),
-            "monitoring": silver.monitoring(raw["monitoring"]),
-            "diagnostics": silver.diagnostics(raw["diagnostics"], raw["sejours"], raw["ref_cim10"]),
-            "actes": silver.actes(raw["actes"], raw["sejours"], raw["ref_ccam"]),
         }
 
+    def events(self, day: date | None = None) -> dict[str, silver.Cleaned]:
+        """Events of one drop date, or all. Their stays may have been dropped on any date."""
+        raw = {name: self.dated(f"bronze/{name}", day) for name in EVENTS}
+        stays = self.table("bronze/sejours")
+        refs = self.layer("bronze", ("ref_services", "ref_cim10", "ref_ccam"))
+        carried = [DROPPED]
+        return {
+            "sejours": silver.sejours(raw["sejours"], refs["ref_services"], carried),
+            "monitoring": silver.monitoring(raw["monitoring"], carried),
+            "diagnostics": silver.diagnostics(
+                raw["diagnostics"], stays, refs["ref_cim10"], carried=carried
+            ),
+            "actes": silver.actes(raw["actes"], stays, refs["ref_ccam"], carried=carried),
+        }
+
+    def cleaned(self) -> dict[str, silver.Cleaned]:
+        return self.entities() | self.events()
+
     def build_clean(self, steps: dict[str, silver.Cleaned] | None = None) -> None:
-        """The quarantine journal of all sources, partitioned by source."""
-        entries = quality.journal([step.rejects for step in (steps or self.cleaned()).values()])
-        tables.write_partitioned(entries, f"{self.root}/clean/rejects", "source", ["rule"])
+        """The quarantine journal of all sources, by drop date; entities have none."""
+        self.save(JOURNAL, quality.journal([s.rejects for s in (steps or self.cleaned()).values()]))
+
+    def observed(self) -> dict[str, DataFrame]:
+        return {
+            "silver/pathologies": silver.pathologies(
+                self.table("bronze/ref_cim10"), self.table("silver/diagnostics")
+            ),
+            "silver/ccam": silver.ccam(self.table("bronze/ref_ccam"), self.table("silver/actes")),
+        }
 
     def build_silver(self, steps: dict[str, silver.Cleaned] | None = None) -> None:
         steps = steps or self.cleaned()
         self.save_all({f"silver/{name}": step.kept for name, step in steps.items()})
-        codes = silver.pathologies(self.table("bronze/ref_cim10"), self.table("silver/diagnostics"))
-        acts = silver.ccam(self.table("bronze/ref_ccam"), self.table("silver/actes"))
-        self.save_all({"silver/pathologies": codes, "silver/ccam": acts})
+        self.save_all(self.observed())
 
-    def build_gold(self) -> None:
+    def star(self) -> dict[str, DataFrame]:
+        """Gold but for the procedures, which are kept by drop date."""
         clean = self.layer("silver", SILVER_TABLES)
-        self.save_all(
-            {
-                "gold/dim_service": clean["services"],
-                "gold/dim_cim10": clean["pathologies"],
-                "gold/dim_ccam": clean["ccam"],
-                "gold/dim_patient": gold.dim_patient(clean["patients"], clean["sejours"]),
-                "gold/fact_sejour": gold.fact_sejour(clean["sejours"], clean["diagnostics"]),
-                "gold/fact_acte": gold.fact_acte(clean["actes"], clean["ccam"]),
-            }
+        return {
+            "gold/dim_service": clean["services"],
+            "gold/dim_cim10": clean["pathologies"],
+            "gold/dim_ccam": clean["ccam"],
+            "gold/dim_patient": gold.dim_patient(clean["patients"], clean["sejours"]),
+            "gold/fact_sejour": gold.fact_sejour(clean["sejours"], clean["diagnostics"]),
+        }
+
+    def procedures(self, day: date | None = None) -> DataFrame:
+        return gold.fact_acte(self.dated("silver/actes", day), self.table("silver/ccam"), [DROPPED])
+
+    def build_gold(self) -> None:
+        self.save_all(self.star() | {"gold/fact_acte": self.procedures()})
+
+    # --- one day -------------------------------------------------------------------
+
+    def extendable(self) -> bool:
+        """Whether every table is there and the references say what they said before; a
+        changed reference may judge any row of any day anew."""
+        names = DATED | {f"bronze/{name}" for name in bronze.TABLES}
+        found = {name: if_present(self.stored, name) for name in names}
+        if any(df is None or (name in DATED and DROPPED not in df.columns) for name, df in found.items()):
+            return False
+        references = [name for name in bronze.TABLES if name.startswith("ref_")]
+        return not any(side_by_side(partial(self.reference_changed, name) for name in references))
+
+    def reference_changed(self, name: str) -> bool:
+        before, now = self.table(f"bronze/{name}"), self.typed(name)
+        return not (before.exceptAll(now).isEmpty() and now.exceptAll(before).isEmpty())
+
+    def days_to_refresh(self, day: date) -> list[date]:
+        """``day`` and the drop dates of facts whose stay it adds, changes or takes away.
+
+        Only the stay column of the facts is read; one row per date reaches the driver.
+        """
+        columns = ["stay_id", "patient_hash", "service_code"]
+        before = self.dated("bronze/sejours", day).select(*columns)
+        now = self.typed("sejours").filter(F.col(DROPPED) == F.lit(day)).select(*columns)
+        changed = before.exceptAll(now).union(now.exceptAll(before)).select("stay_id").distinct()
+        facts = self.dated("bronze/diagnostics").select("stay_id", DROPPED)
+        facts = facts.union(self.dated("bronze/actes").select("stay_id", DROPPED))
+        met = facts.join(changed, "stay_id", "left_semi").select(DROPPED).distinct().collect()
+        return sorted({day} | {row[DROPPED] for row in met})
+
+    def _build_day(self, day: date) -> None:
+        """Bring every table up to date after drops of one date."""
+        if not self.extendable():
+            self._build()
+            return
+        days = self.days_to_refresh(day)
+        side_by_side(
+            [
+                partial(self.save, "bronze/patients", self.typed("patients")),
+                *[
+                    partial(
+                        self.save_day,
+                        f"bronze/{name}",
+                        day,
+                        self.typed(name).filter(F.col(DROPPED) == F.lit(day)),
+                    )
+                    for name in EVENTS
+                ],
+            ]
         )
+        for each in days:
+            steps = self.events(each)
+            side_by_side(
+                [partial(self.save_day, f"silver/{name}", each, step.kept) for name, step in steps.items()]
+            )
+            self.save_day(JOURNAL, each, quality.journal([step.rejects for step in steps.values()]))
+        entities = self.entities()
+        self.save_all({f"silver/{name}": step.kept for name, step in entities.items()})
+        self.save_day(JOURNAL, None, quality.journal([step.rejects for step in entities.values()]))
+        self.save_all(self.observed())
+        self.save_all(self.star())
+        for each in days:
+            self.save_day("gold/fact_acte", each, self.procedures(each))
+
+    # --- jobs ----------------------------------------------------------------------
 
     def _build(self, layer: str | None = None) -> None:
         if layer:
@@ -222,17 +345,17 @@ class Warehouse:
         }
 
     def replay(self, date: str) -> None:
-        """Ingest a date again and rebuild; files the ledger knows are not read twice."""
+        """Ingest a date again and build it again; files the ledger knows do not land twice."""
         with audit.tracked(self.spark, self.runs, "replay", "", date):
             ingest(self.spark, self.drops, self.lake, [date], self.files, self.json_lines)
-            self._build()
+            self._build_day(datetime.fromisoformat(date).date())
 
     def run_daily(self, date: str | None = None, golden=None) -> DataFrame:
         """A whole day under one run: ingest, transform, verify."""
         date = date or datetime.now(UTC).date().isoformat()
         with audit.tracked(self.spark, self.runs, "run-daily", "", date):
             ingest(self.spark, self.drops, self.lake, [date], self.files, self.json_lines)
-            self._build()
+            self._build_day(datetime.fromisoformat(date).date())
             return reconcile.verify(self.checks(golden))
 
     def status(self, n: int = 15) -> DataFrame:

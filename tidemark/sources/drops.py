@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +56,31 @@ def read_parquet(spark: SparkSession, path: str, columns: StructType | None = No
     return reader.parquet(path)
 
 
+def read_parquet_by_type(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Parquet files as one DataFrame per set of column types.
+
+    A writer may store a column as integers one day and as floats the next. Spark's tasks
+    compare the footers; only where they disagree is the list of files halved and compared
+    again, so files that agree cost one comparison.
+    """
+    merging = spark.read.option("mergeSchema", True)
+
+    def runs(files: list[str]) -> list[tuple[StructType, list[str]]]:
+        try:
+            return [(merging.parquet(*files).schema, files)]
+        except Py4JJavaError as error:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception) or len(files) == 1:
+                raise
+            half = len(files) // 2
+            return runs(files[:half]) + runs(files[half:])
+
+    files = [row.path for row in listing(spark, path).select("path").orderBy("path").collect()]
+    alike: dict[StructType, list[str]] = {}
+    for columns, run in runs(files) if files else []:
+        alike.setdefault(columns, []).extend(run)
+    return [spark.read.schema(columns).parquet(*run) for columns, run in alike.items()]
+
+
 def read_files(
     spark: SparkSession,
     path: str,
@@ -62,12 +88,13 @@ def read_files(
     columns: StructType | None,
     json_lines: bool = False,
     multi_line: bool = True,
-) -> DataFrame:
+) -> list[DataFrame]:
+    """The files of one kind; in several parts where they carry differing types themselves."""
     if format == "csv":
-        return read_csv(spark, path, columns, multi_line)
+        return [read_csv(spark, path, columns, multi_line)]
     if format == "json":
-        return read_json(spark, path, columns, multi_line=not json_lines)
-    return read_parquet(spark, path, columns)
+        return [read_json(spark, path, columns, multi_line=not json_lines)]
+    return read_parquet_by_type(spark, path) if columns is None else [read_parquet(spark, path, columns)]
 
 
 def if_present(read, *args, **kwargs) -> DataFrame | None:

@@ -136,17 +136,23 @@ def record(landed: DataFrame, lake: Lake) -> None:
     tables.append(recorded, lake.ledger_path)
 
 
+def together(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_drop(
     spark: SparkSession,
     root: str,
     file: DropFile,
     dates: Sequence[str] | None,
     json_lines: bool = False,
-) -> DataFrame | None:
+) -> list[DataFrame]:
+    """The drops of one kind of file; none, one part, or one for each set of stored types."""
     path = f"{root}/{file.source}/{drops.date_folders(dates)}/{file.pattern}"
-    return drops.if_present(
+    found = drops.if_present(
         drops.read_files, spark, path, file.format, file.schema, json_lines, file.multi_line
     )
+    return found or []
 
 
 def ingest(
@@ -165,13 +171,13 @@ def ingest(
     found = {file: read_drop(spark, root, file, dates, json_lines) for file in files}
     landed = side_by_side(
         [
-            partial(land, prepare(rows, file, lake.salt), file, lake)
-            for file, rows in found.items()
-            if rows is not None
+            partial(land, together([prepare(rows, file, lake.salt) for rows in parts]), file, lake)
+            for file, parts in found.items()
+            if parts
         ]
     )
     if not landed:
         return inline(spark, (), schema(source=STRING, n_files=LONG))
-    together = reduce(DataFrame.unionByName, landed)
-    record(together, lake)
-    return together.groupBy("source").agg(F.count("*").alias("n_files"))
+    new = together(landed)
+    record(new, lake)
+    return new.groupBy("source").agg(F.count("*").alias("n_files"))

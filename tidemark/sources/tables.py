@@ -12,7 +12,11 @@ from pyspark.sql.types import StructType
 from tidemark.session import inline
 
 
-def rebuild(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
+def names(partition: str | Sequence[str] | None) -> list[str]:
+    return [partition] if isinstance(partition, str) else list(partition or ())
+
+
+def rebuild(df: DataFrame, path: str, partition: str | Sequence[str] | None = None) -> DataFrame:
     """Replace a table, schema included; running it again changes nothing.
 
     The new rows are complete in a folder beside the table before the old ones go, so a
@@ -20,19 +24,64 @@ def rebuild(df: DataFrame, path: str, partition: str | None = None) -> DataFrame
     """
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    (df.write.partitionBy(partition) if partition else df.write).parquet(beside)
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (path, beside))
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if partition and not any(status.isDirectory() for status in files.listStatus(new)):
+    (df.write.partitionBy(*names(partition)) if partition else df.write).parquet(beside)
+    if partition and not folders(spark, beside):
         # no rows, so no partition and no file that tells the schema
         df.limit(0).coalesce(1).write.mode("append").parquet(beside)
+    swap(spark, beside, path)
+    return spark.read.parquet(path)
+
+
+def located(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    at, files = located(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(at) if status.isDirectory()]
+
+
+def swap(spark: SparkSession, beside: str, path: str) -> None:
+    """Put a complete folder in the place of another one, if that exists."""
+    old, files = located(spark, path)
     files.delete(old, True)
-    if not files.rename(new, old):
+    if not files.rename(located(spark, beside)[0], old):
         raise OSError(f"{beside} could not be renamed to {path}")
-    return spark.read.parquet(path)
 
 
-def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> DataFrame:
+def replace_slice(
+    df: DataFrame,
+    path: str,
+    partition: Sequence[str],
+    value: object,
+    cluster: Sequence[str] = (),
+) -> None:
+    """Replace the rows of a table whose first partition column has ``value``.
+
+    ``df`` holds the new rows without that column (None: NULL). Other slices keep their
+    files; a slice without rows goes, unless it is the last, whose table is rebuilt empty.
+    """
+    spark, (first, *others) = df.sparkSession, partition
+    slice_name = f"{first}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    rows = laid_out(df, others, cluster)
+    (rows.write.partitionBy(*others) if others else rows.write).parquet(beside)
+    if spark.read.schema(df.schema).parquet(beside).isEmpty():
+        kept = [name for name in folders(spark, path) if name != slice_name]
+        if not kept:
+            rebuild(spark.read.parquet(path).limit(0), path, partition)
+            return
+        at, files = located(spark, f"{path}/{slice_name}")
+        files.delete(at, True)
+        return
+    swap(spark, beside, f"{path}/{slice_name}")
+
+
+def laid_out(
+    df: DataFrame, partition: str | Sequence[str] | None, cluster: Sequence[str]
+) -> DataFrame:
     """Few, well-sized, sorted files per partition value.
 
     REBALANCE gathers a partition value's rows but splits it again when it is large, so
@@ -40,15 +89,15 @@ def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> Da
     file narrows its row groups' ranges for later scans.
     """
     if partition:
-        df = df.hint("rebalance", partition)
-    order = [*([partition] if partition else []), *cluster]
+        df = df.hint("rebalance", *names(partition))
+    order = [*names(partition), *cluster]
     return df.sortWithinPartitions(*order) if order else df
 
 
 def write_partitioned(
     df: DataFrame,
     path: str,
-    partition: str,
+    partition: str | Sequence[str],
     cluster: Sequence[str] = (),
     only_given: bool = False,
 ) -> DataFrame:
@@ -56,7 +105,7 @@ def write_partitioned(
     rows = laid_out(df, partition, cluster)
     if not only_given:
         return rebuild(rows, path, partition)
-    writer = rows.write.mode("overwrite").partitionBy(partition)
+    writer = rows.write.mode("overwrite").partitionBy(*names(partition))
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return df.sparkSession.read.parquet(path)
 

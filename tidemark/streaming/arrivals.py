@@ -15,14 +15,15 @@ def arriving(
 ) -> DataFrame | None:
     """The drops of one kind of file as a stream of rows; None before the first drop.
 
-    Files that carry their own schema are read with that of the drops present.
+    Files that carry their own schema are read with that of the drops present; a file whose
+    types differ stops the stream, and is for the batch reader.
     """
     columns = file.schema
     if columns is None:
         present = read_drop(spark, root, file, None)
-        if present is None:
+        if not present:
             return None
-        columns = present.schema
+        columns = present[0].schema
     reader = spark.readStream.schema(columns)
     if file.format == "csv":
         reader = reader.options(**csv_options(file.multi_line))
