@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import fingerprint_groups
+from tidemark.operators import measures
 from tidemark.operators.measures import next_event
 from tidemark.operators.skew import hot_keys
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES
@@ -96,6 +97,22 @@ def test_next_event_without_times(frame, slot):
     assert answer([]) == answer(every) == answer(every[:1])
 
 
+def test_next_event_of_one_moment_copies_and_no_key(frame, monkeypatch):
+    """A bulk load at one time, rows that agree in everything, NULL keys and tie-breaks."""
+    rows = [("p", "2026-01-01 10:00:00", stay % 7) for stay in range(40)] + [("p", "2026-01-01 10:00:01", None)] * 2
+    rows += [(None, "2026-01-01 10:00:00", 1), (None, None, 2), (None, "2026-01-02 10:00:00", None), (None, None, 2)]
+    df = frame("patient string, at string, stay int", *rows).withColumn("at", F.col("at").cast("timestamp"))
+    every = [row.h for row in df.select(F.xxhash64("patient").alias("h")).distinct().collect()]
+
+    def answer(hot):
+        return sorted(map(repr, next_event(df, "patient", "at", "stay", "following", hot).collect()))
+
+    plain = answer([])
+    assert plain == answer(every) == answer(every[:1])
+    monkeypatch.setattr(measures, "hot_keys", lambda rows, keys: [r.h for r in rows.select(F.xxhash64(*keys).alias("h")).distinct().collect()])
+    assert plain == answer(every)
+
+
 def test_hot_keys_of_many_partitions(spark):
     df = spark.range(40_000, numPartitions=100).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
     assert hot_keys(df, ["k"], hot_rows=1000) == [spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]]

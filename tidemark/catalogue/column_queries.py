@@ -106,7 +106,21 @@ def timestamp_query(name: str) -> None:
 
 
 timestamp_query("prj_4_parse_timestamps")
-timestamp_query("dt_6_best_effort_timestamp")
+
+
+@query(
+    "dt_6_best_effort_timestamp",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS TIMESTAMP) END AS parsed
+       FROM orders""",
+)
+def _(t: Inputs) -> DataFrame:
+    """Order dates written as days only, with a time, or as the name of a priority."""
+    written = (
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderpriority"))
+        .when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    )
+    return t.orders.select("o_orderkey", timestamps.parse_timestamp(written).alias("parsed"))
 
 
 @query(

@@ -21,6 +21,7 @@ from tidemark.operators.measures import next_event, share_of_total, subjects_per
 from tidemark.operators.reconcile import scalar_mismatch, tagged, tagged_union
 from tidemark.operators.skew import hot_keys, link
 from tidemark.plans import gold, kpis
+from tidemark.sources import audit, tables
 
 # --- joins ----------------------------------------------------------------------------
 
@@ -370,6 +371,30 @@ def _(t: Inputs) -> DataFrame:
     return top(t.events, 15, F.desc("ts"), "event_id").select("event_id", "event_type", "user_id")
 
 
+@query(
+    "topk_2_last_runs",
+    """SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS action, started_at
+       FROM (SELECT *, date_trunc('second', ts) AS started_at FROM events)
+       ORDER BY started_at DESC, run_id LIMIT 15""",
+)
+def _(t: Inputs) -> DataFrame:
+    """The newest rows of an audit table with one row per event."""
+    path = t.scratch("runs")
+    started = F.date_trunc("second", "ts")
+    rows = t.events.select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("event_type").alias("action"),
+        F.lit("all").alias("layer"),
+        F.to_date("ts").alias("business_date"),
+        started.alias("started_at"),
+        started.alias("finished_at"),
+        F.lit("success").alias("status"),
+        F.lit("").alias("error"),
+    )
+    tables.append(rows, path)
+    return audit.last_runs(t.spark, path).select("run_id", "action", "started_at")
+
+
 # --- unions ---------------------------------------------------------------------------
 
 

@@ -15,8 +15,9 @@ from tidemark.catalogue.kpi_queries import mart
 from tidemark.catalogue.registry import Inputs, query
 from tidemark.functions.timestamps import day_key
 from tidemark.operators.reconcile import tagged_union
-from tidemark.plans import kpis, silver
+from tidemark.plans import bronze, kpis, silver
 from tidemark.plans.model import AUDIENCES, DIAGNOSTICS, DROP_FILES
+from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import audit, drops, publish, tables
 from tidemark.sources.ingest import Lake, ingest
 from tidemark.streaming.alerts import maintain_daily_alerts
@@ -62,6 +63,21 @@ def _(t: Inputs) -> DataFrame:
     return drops.read_parquet(t.spark, f"{root}/*/*.parquet").select("stay_id", "ts", "heart_rate", "spo2")
 
 
+@query("src_2_types_by_day", o.sql("SELECT stay_id, ts, heart_rate, spo2 FROM mon_bronze"))
+def _(t: Inputs) -> DataFrame:
+    """Readings dropped as integers on odd days and as doubles on even ones, in one batch."""
+    root, lake = t.scratch("drops"), Lake(t.scratch("lake"), SALT)
+    dated = t.activity.bronze_monitoring.withColumn("business_date", F.to_date("ts"))
+    odd = F.dayofmonth("business_date") % 2 == 1
+    for days, kind in ((odd, "bigint"), (~odd, "double")):
+        typed = dated.filter(days).withColumns({n: F.col(n).cast(kind) for n in ("heart_rate", "spo2")})
+        typed = typed.withColumn("temp_c", F.col("temp_c").cast("double")).hint("rebalance", "business_date")
+        typed.write.mode("append").partitionBy("business_date").parquet(f"{root}/monitoring")
+    ingest(t.spark, root, lake, files=[FILES["monitoring"]])
+    landed = t.spark.read.parquet(lake.path(FILES["monitoring"]))
+    return bronze.monitoring(landed).select("stay_id", "ts", "heart_rate", "spo2")
+
+
 @query("src_3_json_array_scan", o.sql("SELECT stay_id, code_cim10, type FROM cl_diag"))
 def _(t: Inputs) -> DataFrame:
     """One JSON array per line; every object of an array is a row."""
@@ -282,3 +298,20 @@ def _(t: Inputs) -> DataFrame:
     again = keyed.filter(F.col("jour") == DAYS[0])
     table = tables.write_partitioned(again, path, "jour", ["stay_id"], only_given=True)
     return table.groupBy(F.col("jour").cast("string").alias("jour")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "stm_3_warehouse_replay",
+    o.sql("SELECT stay_id, service_code, admission_ts, los_hours FROM ev_stays"),
+)
+def _(t: Inputs) -> DataFrame:
+    """Stays dropped day by day, built whole, then one day of them replayed by the warehouse."""
+    root = drop_csv(t.activity.raw_sejours, t.scratch("drops"), "sejours")
+    listed = t.activity.ref_services.withColumn("business_date", F.lit("2024-01-01"))
+    drop_csv(listed, root, "services")
+    files = tuple(replace(file, source=name) for name, file in FILES.items())
+    house = Warehouse(t.spark, root, t.scratch("house"), SALT, files=files)
+    house.ingest()
+    house.transform()
+    house.replay("2024-01-05")
+    return house.table("silver/sejours").select("stay_id", "service_code", "admission_ts", "los_hours")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import percent
 from tidemark.functions.timestamps import calendar_days
-from tidemark.operators.skew import hot_keys, key_hash
+from tidemark.operators.skew import hot_keys, key_hash, link
 
 K_MIN = 5
 
@@ -50,34 +50,48 @@ def next_event(
 ) -> DataFrame:
     """Add the time of the same key's next event, NULL for its last.
 
-    Ordinary keys are one window each. A hot key is cut into time slots, each its own
-    window; only the last event of a slot then lacks a successor, and takes the first
-    event of the key's next slot from a table with one row per hot key and slot. Events
-    without a time come first, in a slot of their own.
+    Events without a time come first; rows equal in key, time and ``tie_break`` follow one
+    another. Ordinary keys are one window each. Of a hot key, all events of a moment but the
+    last have their own time as the next, and the last has that of the key's next moment. So
+    its rows never meet in a window: they are reduced to moments, these are cut into slots,
+    and the last moment of a slot takes the first of the next from a table with one row per
+    slot. Rows find their moment through ``link``, which splits moments that are hot in turn.
     """
     hot = hot_keys(df, [key]) if hot is None else list(hot)
-    order = [at, tie_break]
+    window = Window.partitionBy(key).orderBy(at, tie_break)
     if not hot:
-        return df.withColumn(name, F.lead(at).over(Window.partitionBy(key).orderBy(*order)))
+        return df.withColumn(name, F.lead(at).over(window))
     is_hot = key_hash([key]).isin(*hot)
-    start = F.coalesce(F.date_trunc(slot, F.col(at)), F.timestamp_seconds(F.lit(0)))
-    cut = df.withColumn("_timed", F.when(is_hot, F.col(at).isNotNull()))
-    cut = cut.withColumn("_slot", F.when(is_hot, start))
-    slots = [key, "_timed", "_slot"]
-    starts = (
-        cut.filter(F.col("_slot").isNotNull())
-        .groupBy(*slots)
-        .agg(F.min(at).alias("_first"))
-        .withColumn("_following", F.lead("_first").over(Window.partitionBy(key).orderBy("_timed", "_slot")))
-        .select(*slots, "_following")
+    # One struct is the join key, since a NULL key or time inside it equals another.
+    rows = df.filter(is_hot).withColumn("_moment", F.struct(F.col(key).alias("key"), F.col(at).alias("at")))
+    linked = link(rows, moments(rows, tie_break, slot), "_moment", "left", hot_keys(rows, ["_moment"]))
+    at_end = F.col(tie_break).eqNullSafe(F.col("_end"))
+    stretch = Window.partitionBy("_moment", "_part").orderBy(tie_break)
+    split = (
+        linked.withColumn("_part", F.when(at_end, -1).otherwise(F.spark_partition_id()))
+        .withColumn("_last", (F.col("_part") == -1) & (F.row_number().over(stretch) == 1))
+        .withColumn(name, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(at)))
     )
-    within = Window.partitionBy(*slots).orderBy(*order)
+    cold = df.filter(~is_hot).withColumn(name, F.lead(at).over(window))
+    return cold.unionByName(split.select(*cold.columns))
+
+
+def moments(rows: DataFrame, tie_break: str, slot: str) -> DataFrame:
+    """Each ``_moment`` once, with its last ``tie_break`` and the time of the key's next one."""
+    at = F.col("_moment.at")
+    found = (
+        rows.groupBy("_moment")
+        .agg(F.max(tie_break).alias("_end"))
+        .withColumn("_slot", F.struct(F.col("_moment.key").alias("key"), F.date_trunc(slot, at).alias("start")))
+    )
+    starts = found.groupBy("_slot").agg(F.min(at).alias("_first"))
+    along = Window.partitionBy("_slot.key").orderBy("_slot.start")
+    following = starts.select("_slot", F.lead("_first").over(along).alias("_following"))
+    within = Window.partitionBy("_slot").orderBy("_moment.at")
     return (
-        cut.withColumn(name, F.lead(at).over(within))
-        .withColumn("_last", F.lead(F.lit(True)).over(within).isNull())
-        .join(starts, slots, "left")
-        .withColumn(name, F.when(F.col("_last"), F.col("_following")).otherwise(F.col(name)))
-        .select(*df.columns, name)
+        found.withColumn("_inside", F.lead(at).over(within))
+        .join(following, "_slot")
+        .select("_moment", "_end", F.coalesce("_inside", "_following").alias("_next"))
     )
 
 
