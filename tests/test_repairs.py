@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.functions.identity import fingerprint_groups
+from tidemark.functions.identity import fingerprint_groups, pseudonym
 from tidemark.operators import measures
 from tidemark.operators.measures import next_event
 from tidemark.operators.skew import hot_keys
@@ -171,5 +171,18 @@ def test_a_day_at_a_time_equals_a_full_build(spark, tmp_path):
     daily.replay(second)
     assert daily.table("silver/actes").filter(F.col("stay_id") == orphan).count() > 0
     stepwise = contents(daily)
+    counted = {row.step: tuple(row)[1:4] for row in daily.steps().join(daily.status(1), "run_id").select("step", "rows_in", "rows_kept", "journal_rows").collect()}
+    assert counted["actes"][1] == len(stepwise["silver/actes"]) and len(counted) == 6
+    assert sum(journal for *_, journal in counted.values()) == len(stepwise["clean/rejects"])
+    assert not list(Path(f"{daily.root}/meta/pending").iterdir())
     daily.transform()
     assert stepwise == contents(daily)
+
+
+def test_salt_is_in_no_printed_plan(spark, capsys):
+    named = spark.range(3).select(F.col("id").cast("string").alias("patient_id"))
+    hidden = named.select(pseudonym(F.col("patient_id"), "a-secret-salt").alias("patient_hash"))
+    for mode in ("extended", "formatted", "codegen", "cost"):
+        hidden.explain(mode)
+    printed = capsys.readouterr().out
+    assert "sha2" in printed and "a-secret-salt" not in printed

@@ -23,7 +23,7 @@ from tidemark.plans.model import AUDIENCES, DROP_FILES, DropFile
 from tidemark.session import side_by_side
 from tidemark.sources import audit, tables
 from tidemark.sources.drops import if_present
-from tidemark.sources.ingest import Lake, ingest, pseudonymise
+from tidemark.sources.ingest import Lake, ingest, pseudonymise, together
 from tidemark.sources.publish import publish
 
 LAYERS = ("bronze", "clean", "silver", "gold")
@@ -65,6 +65,10 @@ SILVER_TABLES = (
     "pathologies",
     "ccam",
 )
+# Of each step: the bronze table it is given and its name in the journal.
+STEPS = {"patients": ("patients", "patients"), "services": ("ref_services", "referentiels")} | {
+    name: (name, name) for name in EVENTS
+}
 GOLD_TABLES = ("dim_service", "dim_cim10", "dim_ccam", "dim_patient", "fact_sejour", "fact_acte")
 
 
@@ -300,6 +304,24 @@ class Warehouse:
 
     # --- jobs ----------------------------------------------------------------------
 
+    def count_steps(self, run_id: str) -> None:
+        """Add what each step now holds to the audit, under the run that built it."""
+        journal = self.table(JOURNAL)
+        counted = [
+            audit.step_counts(
+                step,
+                self.table(f"bronze/{given}"),
+                self.table(f"silver/{step}"),
+                journal.filter(F.col("source") == source),
+            )
+            for step, (given, source) in STEPS.items()
+        ]
+        rows = together(counted).withColumn("run_id", F.lit(run_id))
+        tables.append(rows.coalesce(1), f"{self.root}/meta/steps")
+
+    def steps(self) -> DataFrame:
+        return self.stored("meta/steps")
+
     def _build(self, layer: str | None = None) -> None:
         if layer:
             getattr(self, f"build_{layer}")()
@@ -314,8 +336,10 @@ class Warehouse:
         """Rebuild one layer or all; repeating it changes nothing."""
         if layer is not None and layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
-        with audit.tracked(self.spark, self.runs, "transform", layer or "all"):
+        with audit.tracked(self.spark, self.runs, "transform", layer or "all") as run_id:
             self._build(layer)
+            if layer is None:
+                self.count_steps(run_id)
 
     def marts(self) -> dict[str, DataFrame]:
         return kpis.marts(self.layer("gold", GOLD_TABLES), self.layer("silver", SILVER_TABLES), self.k)
@@ -346,16 +370,18 @@ class Warehouse:
 
     def replay(self, date: str) -> None:
         """Ingest a date again and build it again; files the ledger knows do not land twice."""
-        with audit.tracked(self.spark, self.runs, "replay", "", date):
+        with audit.tracked(self.spark, self.runs, "replay", "", date) as run_id:
             ingest(self.spark, self.drops, self.lake, [date], self.files, self.json_lines)
             self._build_day(datetime.fromisoformat(date).date())
+            self.count_steps(run_id)
 
     def run_daily(self, date: str | None = None, golden=None) -> DataFrame:
         """A whole day under one run: ingest, transform, verify."""
         date = date or datetime.now(UTC).date().isoformat()
-        with audit.tracked(self.spark, self.runs, "run-daily", "", date):
+        with audit.tracked(self.spark, self.runs, "run-daily", "", date) as run_id:
             ingest(self.spark, self.drops, self.lake, [date], self.files, self.json_lines)
             self._build_day(datetime.fromisoformat(date).date())
+            self.count_steps(run_id)
             return reconcile.verify(self.checks(golden))
 
     def status(self, n: int = 15) -> DataFrame:

@@ -101,16 +101,21 @@ def new_files(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
     )
 
 
-def land(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
+def pending(lake: Lake) -> str:
+    """A folder for the lists of new files of one batch, removed once they are recorded."""
+    return f"{lake.root}/meta/pending/{uuid.uuid4().hex}"
+
+
+def land(prepared: DataFrame, file: DropFile, lake: Lake, batch: str) -> DataFrame:
     """Write the new files of a batch to the lake; returns them, for ``record``.
 
     Each file has its own folder below its date: changed content replaces it, and so does
     a batch repeated after a crash.
     """
     spark = prepared.sparkSession
-    pending = f"{lake.root}/meta/pending/{uuid.uuid4().hex}"
-    new_files(prepared, file, lake).write.parquet(pending)
-    chosen = spark.read.parquet(pending)
+    listed = f"{batch}/{file.source}-{file.name}"
+    new_files(prepared, file, lake).write.parquet(listed)
+    chosen = spark.read.parquet(listed)
     (
         prepared.join(chosen.select(PATH), PATH, "left_semi")
         .withColumn("file", F.regexp_extract(PATH, r"([^/]+)$", 1))
@@ -169,15 +174,18 @@ def ingest(
     """
     require_salt(lake.salt)
     found = {file: read_drop(spark, root, file, dates, json_lines) for file in files}
+    batch = pending(lake)
     landed = side_by_side(
         [
-            partial(land, together([prepare(rows, file, lake.salt) for rows in parts]), file, lake)
+            partial(land, together([prepare(rows, file, lake.salt) for rows in parts]), file, lake, batch)
             for file, parts in found.items()
             if parts
         ]
     )
-    if not landed:
-        return inline(spark, (), schema(source=STRING, n_files=LONG))
-    new = together(landed)
-    record(new, lake)
-    return new.groupBy("source").agg(F.count("*").alias("n_files"))
+    counted: list[tuple] = []
+    if landed:
+        new = together(landed)
+        record(new, lake)
+        counted = [tuple(row) for row in new.groupBy("source").agg(F.count("*")).collect()]
+        tables.remove(spark, batch)
+    return inline(spark, counted, schema(source=STRING, n_files=LONG))

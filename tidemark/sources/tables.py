@@ -38,6 +38,11 @@ def located(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at, files = located(spark, path)
+    files.delete(at, True)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     at, files = located(spark, path)
     return [status.getPath().getName() for status in files.listStatus(at) if status.isDirectory()]
@@ -71,10 +76,11 @@ def replace_slice(
     if spark.read.schema(df.schema).parquet(beside).isEmpty():
         kept = [name for name in folders(spark, path) if name != slice_name]
         if not kept:
+            remove(spark, beside)
             rebuild(spark.read.parquet(path).limit(0), path, partition)
             return
-        at, files = located(spark, f"{path}/{slice_name}")
-        files.delete(at, True)
+        remove(spark, beside)
+        remove(spark, f"{path}/{slice_name}")
         return
     swap(spark, beside, f"{path}/{slice_name}")
 

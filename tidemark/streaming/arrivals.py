@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.identity import require_salt
 from tidemark.plans.model import DropFile
+from tidemark.sources import tables
 from tidemark.sources.drops import csv_options, date_folders
-from tidemark.sources.ingest import Lake, land, prepare, read_drop, record
+from tidemark.sources.ingest import Lake, land, pending, prepare, read_drop, record
 
 
 def arriving(
@@ -44,9 +45,15 @@ def ingest_arrivals(
     rows = arriving(spark, root, file, json_lines)
     if rows is None:
         return
+
+    def take(batch: DataFrame, _: int) -> None:
+        listed = pending(lake)
+        record(land(batch, file, lake, listed), lake)
+        tables.remove(spark, listed)
+
     query = (
         rows.transform(lambda rows: prepare(rows, file, lake.salt))
-        .writeStream.foreachBatch(lambda batch, _: record(land(batch, file, lake), lake))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", f"{lake.root}/meta/arrivals/{file.source}-{file.name}")
         .trigger(availableNow=True)
         .start()
