@@ -179,6 +179,56 @@ def test_a_day_at_a_time_equals_a_full_build(spark, tmp_path):
     assert stepwise == contents(daily)
 
 
+def test_a_daily_build_takes_in_every_landed_date(spark, tmp_path):
+    """Also one whose ledger entry a crash prevented."""
+    first, second, third = hospital.DAYS
+    daily = house(spark, tmp_path)
+    hospital.write_day(tmp_path / "drops", 0)
+    daily.replay(first)
+    for day in (1, 2):
+        hospital.write_day(tmp_path / "drops", day)
+    daily.ingest(second)
+    daily.replay(third)
+    assert daily.table("bronze/sejours").count() == 3 * len(hospital.stays(0))
+    stepwise = contents(daily)
+    daily.transform()
+    assert stepwise == contents(daily)
+
+
+def test_a_build_that_crashed_is_made_good(spark, tmp_path, monkeypatch):
+    """After bronze is replaced: a late stay's earlier facts, then a changed reference."""
+    first, second, _ = hospital.DAYS
+    daily = house(spark, tmp_path)
+    hospital.write_day(tmp_path / "drops", 0)
+    daily.replay(first)
+    hospital.write_day(tmp_path / "drops", 1)
+    orphan = daily.table("clean/rejects").filter("rule = 'sejour_inconnu' AND source = 'actes'").first().natural_key
+    stays = tmp_path / "drops/sejours" / second / "sejours.csv"
+    stays.write_text(stays.read_text().rstrip("\n") + f"\n{orphan},IPP0000001,CARDIO,2026-08-26 10:00:00,,urgence,\n")
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="lost"):
+        patched.setattr(daily, "events", crash)
+        daily.replay(second)
+    daily.replay(second)
+    stepwise = contents(daily)
+    daily.transform()
+    assert stepwise == contents(daily)
+
+    services = tmp_path / "drops/referentiels" / second / "services.csv"
+    services.parent.mkdir(parents=True)
+    services.write_text("service_code,service_label\nXXX,Nouveau\n")
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="lost"):
+        patched.setattr(daily, "events", crash)
+        daily.replay(second)
+    daily.replay(second)
+    stepwise = contents(daily)
+    daily.transform()
+    assert stepwise == contents(daily)
+
+
 def test_salt_is_in_no_printed_plan(spark, capsys):
     named = spark.range(3).select(F.col("id").cast("string").alias("patient_id"))
     hidden = named.select(pseudonym(F.col("patient_id"), "a-secret-salt").alias("patient_hash"))

@@ -2,8 +2,9 @@
 
 Layers are written as Parquet at each boundary. A later step reads the tables, so a lost
 executor repeats only its own step, and each table is computed once. Tables of events are
-kept by drop date: a day's run replaces that day's slices and those of earlier days whose
-facts belong to stays that the day brought or changed; other slices keep their files.
+kept by drop date: a day's run replaces the slices of that day, of every date landed since the
+last complete build, and of days whose facts belong to stays that these brought or changed;
+other slices keep their files. What a build covers is recorded once its gold is written.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from pyspark.sql.types import DateType, StructField, StructType
 from tidemark.operators import quality, reconcile
 from tidemark.operators.measures import K_MIN
 from tidemark.plans import bronze, checks, gold, kpis, silver
-from tidemark.plans.model import AUDIENCES, DROP_FILES, DropFile
-from tidemark.session import side_by_side
+from tidemark.plans.model import AUDIENCES, DATE, DROP_FILES, STRING, DropFile, schema
+from tidemark.session import inline, side_by_side
 from tidemark.sources import audit, tables
-from tidemark.sources.drops import if_present
+from tidemark.sources.drops import if_present, listing
 from tidemark.sources.ingest import Lake, ingest, pseudonymise, together
 from tidemark.sources.publish import publish
 
@@ -30,6 +31,9 @@ LAYERS = ("bronze", "clean", "silver", "gold")
 DROPPED = "business_date"
 EVENTS = ("sejours", "monitoring", "diagnostics", "actes")
 JOURNAL = "clean/rejects"
+# The lake's files: those the last complete build covered, those the build in progress found.
+COVERED, FOUND = "meta/covered", "meta/found"
+LAKE_FILES = schema(path=STRING, business_date=DATE)
 # Tables kept by drop date.
 DATED = {f"{layer}/{name}" for layer in ("bronze", "silver") for name in EVENTS} | {
     "gold/fact_acte",
@@ -238,12 +242,45 @@ class Warehouse:
     def build_gold(self) -> None:
         self.save_all(self.star() | {"gold/fact_acte": self.procedures()})
 
+    # --- what builds cover ---------------------------------------------------------
+
+    @property
+    def unfinished(self) -> str:
+        """Dates that builds since the last complete one set out to build."""
+        return f"{self.root}/meta/unfinished"
+
+    def note_found(self) -> None:
+        """List the lake's files. Every write gives its files new names, so changed content
+        shows, also where a crash kept it out of the ledger."""
+        files = if_present(listing, self.spark, f"{self.root}/lake")
+        if files is None:
+            tables.rebuild(inline(self.spark, (), LAKE_FILES), f"{self.root}/{FOUND}")
+            return
+        path = F.regexp_extract("path", rf"/([^/]+/[^/]+/{DROPPED}=[^/]*/.+)$", 1)
+        dropped = F.regexp_extract("path", rf"/{DROPPED}=([^/]*)/", 1).try_cast("date")
+        tables.rebuild(files.select(path.alias("path"), dropped.alias(DROPPED)), f"{self.root}/{FOUND}")
+
+    def uncover(self) -> None:
+        """Until the next complete build, no table can be relied on."""
+        tables.remove(self.spark, f"{self.root}/{COVERED}")
+
+    def cover(self) -> None:
+        """Record the files found by a build that is complete."""
+        tables.rebuild(self.stored(FOUND), f"{self.root}/{COVERED}")
+        tables.remove(self.spark, self.unfinished)
+
+    def uncovered(self) -> set[date | None]:
+        """Drop dates whose files came, changed or went since the last complete build."""
+        before, now = self.stored(COVERED), self.stored(FOUND)
+        changed = before.exceptAll(now).union(now.exceptAll(before))
+        return {row[DROPPED] for row in changed.select(DROPPED).distinct().collect()}
+
     # --- one day -------------------------------------------------------------------
 
     def extendable(self) -> bool:
-        """Whether every table is there and the references say what they said before; a
-        changed reference may judge any row of any day anew."""
-        names = DATED | {f"bronze/{name}" for name in bronze.TABLES}
+        """Whether the last full build was completed, every table is there and the references
+        say what they said before; a changed reference may judge any row of any day anew."""
+        names = DATED | {f"bronze/{name}" for name in bronze.TABLES} | {COVERED}
         found = {name: if_present(self.stored, name) for name in names}
         if any(df is None or (name in DATED and DROPPED not in df.columns) for name, df in found.items()):
             return False
@@ -254,37 +291,51 @@ class Warehouse:
         before, now = self.table(f"bronze/{name}"), self.typed(name)
         return not (before.exceptAll(now).isEmpty() and now.exceptAll(before).isEmpty())
 
-    def days_to_refresh(self, day: date) -> list[date]:
-        """``day`` and the drop dates of facts whose stay it adds, changes or takes away.
+    def days_to_refresh(self, days: set[date], stays: DataFrame) -> set[date | None]:
+        """``days``, those of unfinished builds, and the drop dates of facts whose stay
+        ``days`` add, change or take away; ``stays`` are typed ones of the lake.
 
         Only the stay column of the facts is read; one row per date reaches the driver.
         """
         columns = ["stay_id", "patient_hash", "service_code"]
-        before = self.dated("bronze/sejours", day).select(*columns)
-        now = self.typed("sejours").filter(F.col(DROPPED) == F.lit(day)).select(*columns)
+        of_days = F.col(DROPPED).isin(*days)
+        before = self.dated("bronze/sejours").filter(of_days).select(*columns)
+        now = stays.filter(of_days).select(*columns)
         changed = before.exceptAll(now).union(now.exceptAll(before)).select("stay_id").distinct()
         facts = self.dated("bronze/diagnostics").select("stay_id", DROPPED)
         facts = facts.union(self.dated("bronze/actes").select("stay_id", DROPPED))
-        met = facts.join(changed, "stay_id", "left_semi").select(DROPPED).distinct().collect()
-        return sorted({day} | {row[DROPPED] for row in met})
+        met = facts.join(changed, "stay_id", "left_semi").select(DROPPED)
+        begun = tables.read_or_empty(self.spark, self.unfinished, schema(business_date=DATE))
+        return days | {row[DROPPED] for row in met.union(begun).distinct().collect()}
 
     def _build_day(self, day: date) -> None:
-        """Bring every table up to date after drops of one date."""
+        """Bring every table up to date after drops of one date, and of any other date landed
+        since the last complete build."""
         if not self.extendable():
             self._build()
             return
-        days = self.days_to_refresh(day)
+        self.note_found()
+        landed = {name: self.typed(name) for name in ("patients", *EVENTS)}
+        brought = self.uncovered() | {day}
+        found = brought if None in brought else self.days_to_refresh(brought, landed["sejours"])
+        if None in found:  # rows without a drop date
+            self._build()
+            return
+        days = sorted(found)
+        begun = inline(self.spark, [(each,) for each in days], schema(business_date=DATE))
+        tables.append(begun.coalesce(1), self.unfinished)
         side_by_side(
             [
-                partial(self.save, "bronze/patients", self.typed("patients")),
+                partial(self.save, "bronze/patients", landed["patients"]),
                 *[
                     partial(
                         self.save_day,
                         f"bronze/{name}",
-                        day,
-                        self.typed(name).filter(F.col(DROPPED) == F.lit(day)),
+                        each,
+                        landed[name].filter(F.col(DROPPED) == F.lit(each)),
                     )
                     for name in EVENTS
+                    for each in sorted(brought)
                 ],
             ]
         )
@@ -301,6 +352,7 @@ class Warehouse:
         self.save_all(self.star())
         for each in days:
             self.save_day("gold/fact_acte", each, self.procedures(each))
+        self.cover()
 
     # --- jobs ----------------------------------------------------------------------
 
@@ -323,14 +375,18 @@ class Warehouse:
         return self.stored("meta/steps")
 
     def _build(self, layer: str | None = None) -> None:
+        if layer in (None, "bronze"):
+            self.uncover()
         if layer:
             getattr(self, f"build_{layer}")()
             return
+        self.note_found()
         self.build_bronze()
         steps = self.cleaned()
         self.build_clean(steps)
         self.build_silver(steps)
         self.build_gold()
+        self.cover()
 
     def transform(self, layer: str | None = None) -> None:
         """Rebuild one layer or all; repeating it changes nothing."""
