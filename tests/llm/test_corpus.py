@@ -256,6 +256,23 @@ def test_signatures_estimate_similarity():
     assert (neardup.signatures(bags[:1])[0] == neardup.signatures(bags)[0]).all()
 
 
+def test_near_copies_of_one_text_make_no_pairs(spark, monkeypatch):
+    """A group of different near copies is closed by its centres; no list of pairs is written."""
+    words = [f"w{n}" for n in range(400)]
+    rows = [(n, " ".join([*words[:n], f"own{n}", *words[n + 1 :]])) for n in range(300)]
+    tables = {}
+
+    def kept(frame, purpose):
+        tables[purpose] = written(frame, purpose)
+        return tables[purpose]
+
+    written = neardup.written
+    monkeypatch.setattr(neardup, "written", kept)
+    got = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {row.class_id for row in got} == {0} and len(got) == 300
+    assert "partners" not in tables["chosen"].columns and tables["chosen"].count() == 0
+
+
 def test_near_copies_against_all_pairs(spark, docs, awkward, empty):
     bags = [bag_of(row[1]) for row in awkward]
     near = defaultdict(set)

@@ -13,17 +13,19 @@ agree in a component with the probability of their similarity. Points come in or
 so a text needs those up to its latest component only: about M log M, whatever its length.
 
 Texts that agree in all ROWS components of a band are in one bucket. Exact copies are folded
-before, and buckets are never expanded into rows of pairs. A bucket is cut into chunks; a task
-holds one chunk, or two, compares their signatures, and returns for each text the partners it
-may be similar to. Every pair belongs to one of the bands that it shares, so it is looked at
-once. Another task holds the texts so chosen, takes their pairs by falling agreement, skips
-what is already connected there, verifies the rest exactly, and returns at most one link per
-text. Classes are the connected components of the links.
+before, and pairs are never written. Every text of a bucket is first compared with one centre,
+its smallest, and verified exactly: linear work, which closes groups of near copies. Then only
+texts outside the largest class of their bucket are compared with the others of it. A bucket
+is cut into chunks; a task holds one chunk, or two, compares their signatures, and returns the
+texts that may be similar to one of another class. Every pair belongs to one of the bands that
+it shares, so it is looked at once. Another task holds the texts so chosen, takes their pairs
+by falling agreement, skips what is already connected there, verifies the rest exactly, and
+returns at most one link per text. Classes are the connected components of all links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,43 +182,68 @@ def _owned(nodes_a: np.ndarray, nodes_b: np.ndarray, a: np.ndarray, b: np.ndarra
     return (first + turned.argmax(axis=1)) % BANDS == band
 
 
+_STAR = ["centre", "chunk"]
+_ALIKE = pa.schema([("centre", pa.int64()), ("chunk", pa.int64()), ("node", pa.int64())])
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each star to verify with its centre, and the centre if there are any."""
+    for star, group in _groups(batches, _STAR):
+        nodes, signature = group["node"].to_numpy(), _matrix(group)
+        near = _agreements(signature, signature[nodes == star[0]][:1])[:, 0] >= LEAST_AGREEMENT * M
+        if near.sum() > 1:
+            rows = [(*star, node) for node in nodes[near].tolist()]
+            yield _rows(rows, _ALIKE)
+
+
+def _starred(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """A link from each text of a star to its centre, if they are similar."""
+    for (centre, _), group in _groups(batches, _STAR):
+        nodes, texts = group["node"].to_pylist(), as_bytes(group["text"].combine_chunks())
+        middle = bag(next(hashed_words([texts[nodes.index(centre)]]))[1][0][0])
+        links = [
+            (nodes[first + n], centre)
+            for first, (part,) in hashed_words(texts)
+            for n, words in enumerate(part)
+            if nodes[first + n] != centre and similarity(bag(words), middle) >= least
+        ]
+        if links:
+            yield _rows(links, _LINKS)
+
+
 _TILE = ["key", "low", "high"]
-_CHOSEN = pa.schema(
-    [("key", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("node", pa.int64()), ("partners", pa.list_(pa.int64())), ("agreed", pa.list_(pa.int32()))]
-)
+_CHOSEN = pa.schema([(name, pa.int64()) for name in (*_TILE, "band", "chunk", "node")])
+
+
+def _matrix(group: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint32).reshape(-1, M)
+
+
+def _near(tile: tuple, group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of a tile to verify, and their agreement."""
+    nodes, signature = group["node"].to_numpy(), _matrix(group)
+    chunk, own = group["chunk"].to_numpy(), group["class"].to_numpy()
+    left, right = np.flatnonzero(chunk == tile[1]), np.flatnonzero(chunk == tile[2])
+    agreed = _agreements(signature[left], signature[right])
+    near = (agreed >= LEAST_AGREEMENT * M) & (own[left][:, None] != own[right][None, :])
+    if tile[1] == tile[2]:
+        near &= np.tri(len(left), k=-1, dtype=bool).T
+    x, y = np.nonzero(near)
+    keep = np.zeros(len(x), dtype=bool)
+    for start in range(0, len(x), 1 << 16):
+        part = slice(start, start + (1 << 16))
+        i, j = left[x[part]], right[y[part]]
+        keep[part] = _owned(nodes[i], nodes[j], signature[i], signature[j], int(group["band"][0].as_py()))
+    x, y = x[keep], y[keep]
+    return left[x], right[y], agreed[x, y]
 
 
 def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each tile, the texts that have a pair to verify, with their partners."""
-    rows: list[tuple] = []
+    """The texts of each tile that have a pair to verify."""
     for tile, group in _groups(batches, _TILE):
-        if group.num_rows < 2:
-            continue
-        nodes = group["node"].to_numpy()
-        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint32).reshape(-1, M)
-        chunk, band = group["chunk"].to_numpy(), int(group["band"][0].as_py())
-        left, right = np.flatnonzero(chunk == tile[1]), np.flatnonzero(chunk == tile[2])
-        agreed = _agreements(signature[left], signature[right])
-        near = agreed >= LEAST_AGREEMENT * M
-        if tile[1] == tile[2]:
-            near &= np.tri(len(left), k=-1, dtype=bool).T
-        x, y = np.nonzero(near)
-        keep = np.zeros(len(x), dtype=bool)
-        for start in range(0, len(x), 1 << 16):
-            part = slice(start, start + (1 << 16))
-            i, j = left[x[part]], right[y[part]]
-            keep[part] = _owned(nodes[i], nodes[j], signature[i], signature[j], band)
-        x, y = x[keep], y[keep]
-        edges = np.searchsorted(x, np.arange(len(left) + 1))
-        partners = {int(place): (nodes[right[y[a:b]]].tolist(), agreed[place, y[a:b]].tolist()) for place, a, b in zip(range(len(left)), edges[:-1], edges[1:], strict=True) if b > a}
-        own = {int(nodes[left[place]]): found for place, found in partners.items()}
-        for node in np.unique(np.concatenate([nodes[left[x]], nodes[right[y]]])).tolist():
-            rows.append((*tile, node, *own.get(node, ([], []))))
-        if len(rows) >= 4096:
-            yield _rows(rows, _CHOSEN)
-            rows = []
-    if rows:
-        yield _rows(rows, _CHOSEN)
+        one, other, _ = _near(tile, group)
+        if len(one):
+            yield from group.take(np.union1d(one, other)).select(_CHOSEN.names).cast(_CHOSEN).combine_chunks().to_batches()
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -224,10 +251,11 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)], schema=schema)
 
 
-def verified(nodes: list[int], texts: list[bytes], pairs: list[tuple[int, int, int]], least: float) -> list[tuple[int, int]]:
-    """Links among ``pairs`` (agreement, node, node), enough to connect what they connect."""
-    place = {node: number for number, node in enumerate(nodes)}
-    parent = list(range(len(nodes)))
+def verified(own: list[int], texts: list[bytes], pairs: Iterable[tuple[int, int]], least: float) -> list[tuple[int, int]]:
+    """Links among ``pairs`` of places, in their order, enough to connect what they connect;
+    texts of one class in ``own`` are connected already."""
+    first = {group: place for place, group in reversed(list(enumerate(own)))}
+    parent = [first[group] for group in own]
 
     def top(number: int) -> int:
         while parent[number] != number:
@@ -242,29 +270,22 @@ def verified(nodes: list[int], texts: list[bytes], pairs: list[tuple[int, int, i
         return bags[number]
 
     links = []
-    for _, a, b in sorted(pairs, reverse=True):
-        one, other = place[a], place[b]
+    for one, other in pairs:
         if top(one) != top(other) and similarity(bag_of(one), bag_of(other)) >= least:
             parent[top(one)] = top(other)
-            links.append((a, b))
+            links.append((one, other))
     return links
 
 
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    links: list[tuple[int, int]] = []
-    for _, group in _groups(batches, _TILE):
+    for tile, group in _groups(batches, _TILE):
+        one, other, agreed = _near(tile, group)
+        order = np.argsort(-agreed.astype(np.int64), kind="stable")
+        pairs = zip(one[order].tolist(), other[order].tolist(), strict=True)
         nodes, texts = group["node"].to_pylist(), as_bytes(group["text"].combine_chunks())
-        pairs = [
-            (agreed, node, partner)
-            for node, partners, all_agreed in zip(nodes, group["partners"].to_pylist(), group["agreed"].to_pylist(), strict=True)
-            for partner, agreed in zip(partners, all_agreed, strict=True)
-        ]
-        links += verified(nodes, texts, pairs, least)
-        if len(links) >= 4096:
+        links = [(nodes[a], nodes[b]) for a, b in verified(group["class"].to_pylist(), texts, pairs, least)]
+        if links:
             yield _rows(links, _LINKS)
-            links = []
-    if links:
-        yield _rows(links, _LINKS)
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -314,22 +335,45 @@ def _class_of_bodies(rows: DataFrame, least: float) -> DataFrame:
         F.struct(F.xxhash64(F.substring("signature", 4 * ROWS * band + 1, 4 * ROWS), F.lit(band)).alias("key"), F.lit(band).alias("band"))
         for band in range(BANDS)
     ]
-    bands = signed.select("node", F.explode(F.array(*slices)).alias("at")).select("node", "at.*")
-    buckets = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
-    members = bands.join(buckets, "key").select("key", "band", "node", chunks.alias("chunks"))
-    members = members.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    members = members.select("key", "band", "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    members = members.join(signed.select("node", "signature"), "node")
-    tiled = members.repartition(*_TILE).sortWithinPartitions(*_TILE)
-    chosen = tiled.mapInArrow(_chosen, "key long, low long, high long, node long, partners array<long>, agreed array<int>")
-    chosen = written(chosen, "chosen")
-    needed = signed.select("node", "_id", "body").join(chosen.select("node").distinct(), "node")
-    texts = rows.select("_id", "body", "text").join(needed, ["_id", "body"]).groupBy("_id", "body", "node").agg(F.first("text").alias("text"))
-    paired = chosen.join(texts, "node").repartition(*_TILE).sortWithinPartitions(*_TILE)
-    links = paired.select(*_TILE, "node", "partners", "agreed", "text").mapInArrow(lambda batches: _verified(batches, least), "a long, b long")
-    root = components(links)
+    bands = F.explode(F.array(*slices)).alias("at")
+
+    def texts_of(chosen: DataFrame) -> DataFrame:
+        needed = signed.select("node", "_id", "body").join(chosen.select("node").distinct(), "node")
+        found = rows.select("_id", "body", "text").join(needed, ["_id", "body"])
+        return found.groupBy("_id", "body", "node").agg(F.first("text").alias("text")).select("node", "text")
+
+    def dealt(members: DataFrame, keys: list[str]) -> DataFrame:
+        return members.repartition(*keys).sortWithinPartitions(*keys)
+
+    # every text with the centre of each of its buckets
+    inside = signed.select("node", bands).select("node", "at.key")
+    centres = inside.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    pairs = inside.join(centres, "key").where("node <> centre").select("centre", "node").distinct()
+    chunks = pairs.groupBy("centre").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
+    leaves = pairs.join(chunks, "centre").select("centre", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node")
+    middles = chunks.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("centre").alias("node"))
+    stars = leaves.unionByName(middles).join(signed.select("node", "signature"), "node")
+    alike = written(dealt(stars, _STAR).select(*_STAR, "node", "signature").mapInArrow(_alike, "centre long, chunk long, node long"), "alike")
+    starred = dealt(alike.join(texts_of(alike), "node"), _STAR).select(*_STAR, "node", "text")
+    root = components(starred.mapInArrow(lambda batches: _starred(batches, least), "a long, b long"))
+
+    # texts outside the largest class of a bucket, with the others of it
+    classed = signed.select("node", "signature").join(root, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+    members = classed.select("node", "class", bands).select("node", "class", "at.*")
+    largest = members.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key")
+    largest = largest.agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("top")).where("n > top.n")
+    outer, inner = (F.ceil(size / CHUNK).cast("long") for size in (F.col("n") - F.col("top.n"), F.col("top.n")))
+    members = members.join(largest.select("key", F.col("top.class").alias("largest"), outer.alias("outer"), inner.alias("inner")), "key")
+    apart, spread = F.col("class") != F.col("largest"), F.xxhash64("node")
+    members = members.withColumn("chunk", F.when(apart, F.pmod(spread, "outer")).otherwise(F.col("outer") + F.pmod(spread, "inner")))
+    met = F.when(apart, F.col("outer") + F.col("inner")).otherwise(F.col("outer"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+    members = members.select("key", F.col("band").cast("long"), "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    tiled = dealt(members.join(classed, "node"), _TILE)
+    chosen = written(tiled.mapInArrow(_chosen, ", ".join(f"{name} long" for name in _CHOSEN.names)), "chosen")
+    held = dealt(chosen.join(classed, "node").join(texts_of(chosen), "node"), _TILE)
+    links = held.mapInArrow(lambda batches: _verified(batches, least), "a long, b long")
+    root = components(links.unionByName(root.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     whole = signed.select("node", "_id", "body").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = whole.groupBy("root").agg(F.min("_id").alias("class_id"))
     whole = whole.join(smallest, "root")
