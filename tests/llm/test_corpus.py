@@ -256,6 +256,12 @@ def test_signatures_estimate_similarity():
     assert (neardup.signatures(bags[:1])[0] == neardup.signatures(bags)[0]).all()
 
 
+def test_the_signature_filter_misses_less_than_the_bands():
+    kept = math.ceil(neardup.LEAST_AGREEMENT * neardup.M)
+    missed = sum(math.comb(neardup.M, n) * 0.8**n * 0.2 ** (neardup.M - n) for n in range(kept))
+    assert missed < (1 - 0.8**neardup.ROWS) ** neardup.BANDS / 10
+
+
 def test_near_copies_of_one_text_make_no_pairs(spark, monkeypatch):
     """A group of different near copies is closed by its centres; no list of pairs is written."""
     words = [f"w{n}" for n in range(400)]
