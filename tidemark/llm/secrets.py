@@ -3,8 +3,8 @@
 Two first-order models give the likelihood of a token's characters, each given the one
 before it: one of random strings, one of ordinary identifiers. Both are trained on samples
 that the fixed patterns label in the whole corpus: what the patterns catch is random, every
-other token is ordinary. A token that the patterns left alone is reported when its mean
-log-likelihood ratio per character says random.
+other token is ordinary. A token, or what the patterns left of it, is reported when its total
+log-likelihood ratio and its mean per character say random.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ _CODES = np.full(128, STATES - 1, dtype=np.int64)
 _CODES[[ord(letter) for letter in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
 #: Counts added to each following character on average; chance of a sign in random strings.
 SMOOTHING, RARE = 0.5, 1e-4
-#: Least mean log-likelihood ratio per character, and characters a reported token has.
-THRESHOLD, LEAST_TOKEN = 0.75, 20
+#: Least mean log-likelihood ratio per character. The total is at least that of LEAST_TOKEN such
+#: characters, so a shorter token needs a higher mean; there a transition counts MOST at most,
+#: since the ratio of one that is in no sample comes from smoothing alone.
+THRESHOLD, LEAST_TOKEN, MOST = 0.75, 20, 3.0
 
 Span = tuple[int, int, int]
 
@@ -54,17 +56,20 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _outside(text: str, spans: list[Span], least: int) -> Iterator[re.Match]:
-    """Tokens of ``least`` characters or more that touch no span."""
+def _outside(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
+    """Start and end of tokens, and of what spans leave of those that they touch."""
     reach = at = 0
     for match in TOKEN.finditer(text):
-        if match.end() - match.start() < least:
-            continue
-        while at < len(spans) and spans[at][0] < match.end():
+        start, end = match.span()
+        start = max(start, reach)
+        while at < len(spans) and spans[at][0] < end:
+            if start < spans[at][0]:
+                yield start, spans[at][0]
             reach = max(reach, spans[at][2])
+            start = max(start, reach)
             at += 1
-        if match.start() >= reach:
-            yield match
+        if start < end:
+            yield start, end
 
 
 def _blanked(text: str, spans: list[Span]) -> str:
@@ -76,10 +81,12 @@ def _blanked(text: str, spans: list[Span]) -> str:
     return " ".join([*parts, text[at:]])
 
 
-def _pairs(token: str) -> np.ndarray:
-    """Codes of the token's transitions, the first from the start symbol."""
-    codes = _CODES[np.frombuffer(token.encode("ascii"), dtype=np.uint8)]
-    return np.concatenate(([0], codes[:-1])) * STATES + codes
+def _totals(tokens: list[str], ratios: np.ndarray) -> np.ndarray:
+    """Sum over the transitions of each token, the first from the start symbol."""
+    codes = _CODES[np.frombuffer("\n".join(["", *tokens, ""]).encode("ascii"), dtype=np.uint8)]
+    codes[codes == STATES - 1] = 0  # the line break between two tokens starts the next one
+    scores = np.where(codes[1:] > 0, ratios[codes[:-1] * STATES + codes[1:]], 0.0)
+    return np.add.reduceat(scores, np.flatnonzero(codes == 0)[:-1])
 
 
 def _counted(tokens: list[str]) -> np.ndarray:
@@ -140,11 +147,15 @@ def ratios_from(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
 def all_spans(text: str, ratios: np.ndarray, threshold: float = THRESHOLD, least: int = LEAST_TOKEN) -> list[Span]:
     """Base spans and the tokens that the models call random, by start, then kind."""
     spans = base_spans(text)
-    more = [
-        (match.start(), 3, match.end())
-        for match in _outside(text, spans, least)
-        if ratios[_pairs(match[0])].mean() >= threshold
-    ]
+    places = list(_outside(text, spans))
+    if not places:
+        return spans
+    tokens = [text[start:end] for start, end in places]
+    sizes = np.array([end - start for start, end in places])
+    random = _totals(tokens, ratios) >= threshold * np.maximum(sizes, least)
+    if (random & (sizes < least)).any():
+        random &= (sizes >= least) | (_totals(tokens, np.minimum(ratios, MOST)) >= threshold * least)
+    more = [(places[n][0], 3, places[n][1]) for n in np.flatnonzero(random).tolist()]
     return sorted(spans + more) if more else spans
 
 
