@@ -405,6 +405,21 @@ def test_repeats_against_every_window(spark, docs, awkward, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeated_rows_share_one_list_of_blocks(spark, monkeypatch):
+    text = sentence(random.Random(5), 90)
+    tables, written = {}, repeats.written
+
+    def kept(frame, purpose):
+        tables[purpose] = written(frame, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(repeats, "written", kept)
+    frame = spark.createDataFrame([(1, text)] * 20 + [(None, text)] * 20, "doc_id long, text string")
+    assert {row.n_removed for row in repeats.remove_repeats(frame).collect()} == {90}
+    blocks = [found for row in tables["packets"].collect() for found in row.blocks]
+    assert len(blocks) == 40 and max(map(len, blocks)) == 90 // 18
+
+
 @given
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_its_sql(spark, name):

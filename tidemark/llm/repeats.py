@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     own = rows.select("doc", "body", "text").mapInArrow(
         lambda batches: _anchors(batches, window, bits), "doc long, body long, block int, anchor long"
     )
-    blocks = own.join(hit, "anchor").groupBy("doc", "body").agg(F.collect_list("block").alias("blocks"))
+    blocks = own.join(hit, "anchor").groupBy("doc", "body").agg(F.collect_set("block").alias("blocks"))
     met = rows.join(blocks, ["doc", "body"], "left").select("doc_id", "text", "blocks")
     table = met.mapInArrow(_sorted_out, _PACKETS_SQL).withColumn("packet", F.monotonically_increasing_id())
     table = written(table, "packets")
