@@ -25,7 +25,7 @@ import corpus_pipeline
 
 import __spark_entry__
 from tidemark.catalogue.registry import TABLE_NAMES
-from tidemark.llm import components, embeddings, exchange, mixing, neardup, packing, quality, repeats, search, secrets, sharding, texts, toxicity
+from tidemark.llm import components, embeddings, exchange, labelled, mixing, neardup, packing, quality, repeats, search, secrets, sharding, texts, toxicity
 from tidemark.llm.queries import QUERIES, SQL
 
 SMALL, MEDIUM = Path("/root/testdata/sf0.001"), Path("/root/testdata/sf0.01")
@@ -405,6 +405,15 @@ def test_repeats_against_every_window(spark, docs, awkward, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_samples_hold_one_text_an_id(spark):
+    rows = [(1, f"text {n % 7}") for n in range(500)] + [(2, "two"), (2, None), (3, "three")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, label int")
+    one, other = (sorted(tuple(row) for row in labelled.texts_of(docs, chosen).collect()) for docs in (frame, frame.repartition(5)))
+    assert one == other and [(row[0], row[2]) for row in one] == [(1, 0), (1, 1), (2, 0)]
+    assert one[0][1] == one[1][1] and one[2][1] == "two"
+
+
 def test_repeated_rows_share_one_list_of_blocks(spark, monkeypatch):
     text = sentence(random.Random(5), 90)
     tables, written = {}, repeats.written

@@ -27,5 +27,8 @@ def known_labels(labels: DataFrame, name: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The texts of a bounded sample of ids; the sample is small enough to broadcast."""
-    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    """One text for each of a bounded sample of ids, of several the first by hash, so an id with
+    many rows neither weighs more nor fills a task. The sample is small enough to broadcast."""
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    first = F.min_by("text", F.xxhash64("text")).alias("text")
+    return found.groupBy(*chosen.columns).agg(first).select("doc_id", "text", *chosen.drop("doc_id").columns)
