@@ -143,6 +143,11 @@ class Warehouse:
         df, partition, cluster = self.layout(name, df.drop(DROPPED))
         tables.replace_slice(df, f"{self.root}/{name}", partition, day, cluster)
 
+    def save_days(self, name: str, days: list[date], df: DataFrame) -> None:
+        """Replace drop dates one after the other: an empty table is replaced whole."""
+        for day in days:
+            self.save_day(name, day, df.filter(F.col(DROPPED) == F.lit(day)))
+
     def save_all(self, built: dict[str, DataFrame]) -> None:
         """Write tables that do not read one another."""
         side_by_side(partial(self.save, name, df) for name, df in built.items())
@@ -328,14 +333,8 @@ class Warehouse:
             [
                 partial(self.save, "bronze/patients", landed["patients"]),
                 *[
-                    partial(
-                        self.save_day,
-                        f"bronze/{name}",
-                        each,
-                        landed[name].filter(F.col(DROPPED) == F.lit(each)),
-                    )
+                    partial(self.save_days, f"bronze/{name}", sorted(brought), landed[name])
                     for name in EVENTS
-                    for each in sorted(brought)
                 ],
             ]
         )
