@@ -27,9 +27,9 @@ SALT = "tidemark-demo-salt"
 FILES = {file.name: replace(file, pattern=f"*.{file.format}") for file in DROP_FILES}
 
 
-def drop_csv(df: DataFrame, root: str, source: str) -> str:
+def drop_csv(df: DataFrame, root: str, source: str, mode: str = "errorifexists") -> str:
     """Write rows as one CSV folder per drop date."""
-    writer = df.hint("rebalance", "business_date").write.partitionBy("business_date")
+    writer = df.hint("rebalance", "business_date").write.mode(mode).partitionBy("business_date")
     writer.option("header", True).option("escape", '"').csv(f"{root}/{source}")
     return root
 
@@ -80,11 +80,17 @@ def _(t: Inputs) -> DataFrame:
 
 @query("src_3_json_array_scan", o.sql("SELECT stay_id, code_cim10, type FROM cl_diag"))
 def _(t: Inputs) -> DataFrame:
-    """One JSON array per line; every object of an array is a row."""
-    root = t.scratch("json")
-    objects = F.to_json(F.array(F.struct("stay_id", "diagnostics")))
-    t.clinic.raw_diagnostics.select(objects.alias("value")).write.text(root)
-    read = drops.read_json(t.spark, root, DIAGNOSTICS, multi_line=False)
+    """One JSON array per line, and files holding one array each; every object is a row."""
+    root, raw = t.scratch("json"), t.clinic.raw_diagnostics
+    part = F.coalesce(F.pmod(F.xxhash64("stay_id"), F.lit(128)), F.lit(0))
+    held = F.struct("stay_id", "diagnostics")
+    lines = raw.filter(part >= 64).select(F.to_json(F.array(held)).alias("value"))
+    lines.write.text(f"{root}/lines")
+    whole = raw.filter(part < 64).groupBy(part.alias("part")).agg(F.collect_list(held).alias("all"))
+    whole = whole.select("part", F.to_json("all", {"pretty": "true"}).alias("value"))
+    whole.write.partitionBy("part").text(f"{root}/whole")
+    read = drops.read_json(t.spark, f"{root}/lines", DIAGNOSTICS, multi_line=False)
+    read = read.unionByName(drops.read_json(t.spark, f"{root}/whole/*", DIAGNOSTICS))
     return read.select("stay_id", F.explode("diagnostics").alias("d")).select(
         "stay_id", "d.code_cim10", "d.type"
     )
@@ -305,13 +311,19 @@ def _(t: Inputs) -> DataFrame:
     o.sql("SELECT stay_id, service_code, admission_ts, los_hours FROM ev_stays"),
 )
 def _(t: Inputs) -> DataFrame:
-    """Stays dropped day by day, built whole, then one day of them replayed by the warehouse."""
-    root = drop_csv(t.activity.raw_sejours, t.scratch("drops"), "sejours")
+    """Stays dropped day by day and built whole; then late stays of two dates arrive, one date is
+    only ingested, and the other is replayed by the warehouse."""
+    stays, day = t.activity.raw_sejours, F.col("business_date").cast("string")
+    late = day.isin("2024-01-05", "2024-01-06") & (F.pmod(F.xxhash64("stay_id"), F.lit(3)) == 0)
+    late = F.coalesce(late, F.lit(False))
+    root = drop_csv(stays.filter(~late), t.scratch("drops"), "sejours")
     listed = t.activity.ref_services.withColumn("business_date", F.lit("2024-01-01"))
     drop_csv(listed, root, "services")
     files = tuple(replace(file, source=name) for name, file in FILES.items())
     house = Warehouse(t.spark, root, t.scratch("house"), SALT, files=files)
     house.ingest()
     house.transform()
+    drop_csv(stays.filter(late), root, "sejours", "append")
+    house.ingest("2024-01-06")
     house.replay("2024-01-05")
     return house.table("silver/sejours").select("stay_id", "service_code", "admission_ts", "los_hours")
