@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embeddings, mixing, neardup, packing, quality, repeats, search, secrets, sharding, toxicity
+from tidemark.llm import embeddings, licences, mixing, neardup, packing, quality, repeats, runs, search, secrets, sharding, signatures, toxicity
+from tidemark.llm.terms import TERM
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +58,18 @@ def op10_block_anchor_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, folder, "documents")).drop("kept")
 
 
+def op11_bit_sliced_search(spark: SparkSession, folder: str) -> DataFrame:
+    return signatures.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.collapse(_table(spark, folder, "documents"), plant=True).drop("runs", "collapsed")
+
+
+def op13_license_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
@@ -70,10 +83,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_length_buckets,
         op9_subword_quality,
         op10_block_anchor_repeats,
+        op11_bit_sliced_search,
+        op12_periodic_runs,
+        op13_license_templates,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')"
+
+
+def _pattern(template: str) -> str:
+    """A template as a regular expression over words that each follow a space."""
+    parts = []
+    for mark in template.lower().replace("[[", " [[ ").replace("]]", " ]] ").split():
+        low, _, high = mark.strip("{}").partition(",")
+        parts.append({"[[": "(?:", "]]": ")?"}.get(mark, f"(?: [^ ]+){{{low},{high}}}" if high else f" {mark}"))
+    return "".join(parts) + " "
+
+
+_LABELLED = ", ".join(f"('{name}', {auto.mandatory}, '{_pattern(text)}')" for (name, text), auto in zip(licences.TEMPLATES, licences.Scanner().automata, strict=True))
+_PHRASED = ", ".join(f"('{name}', {len(phrase.split())}, {phrase.split()})" for phrase, name in licences.PHRASES)
+
 _REACHED = """
 reach(a, b) AS (
     SELECT a, b FROM links
@@ -188,5 +219,76 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
        sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
            list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]), ' ') END) AS kept_sha256
 FROM words LEFT JOIN lost ON lost.doc_id = words.doc_id
+""",
+    "op11_bit_sliced_search": f"""
+WITH terms AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS t FROM documents),
+sizes AS (SELECT d, doc_id, len(t) AS n FROM terms WHERE len(t) > 0),
+corpus AS (SELECT count(*) AS docs, sum(n)::HUGEINT AS words FROM sizes),
+norms AS (SELECT d, doc_id, (100 - 90 + (90 * n::HUGEINT * docs) // words)::BIGINT AS m FROM sizes, corpus),
+held AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM terms) GROUP BY d, term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+spread AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+weighed AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM spread, corpus),
+scored AS (
+    SELECT item_id, doc_id, d, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN norms USING (d) GROUP BY item_id, doc_id, d
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+""",
+    "op12_periodic_runs": f"""
+WITH spoken AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+keyed AS (
+    SELECT *, len(w) AS n, xor(4294967295, list_reduce(
+        flatten([[4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+        lambda h, x: CASE WHEN x >= 0 THEN xor(h, x) WHEN h % 2 = 1 THEN xor(h // 2, 3988292384::BIGINT) ELSE h // 2 END)) AS h
+    FROM spoken
+),
+shaped AS (SELECT *, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM keyed),
+stepped AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM shaped),
+texts AS (
+    SELECT doc_id, n, CASE WHEN planted
+        THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w
+    FROM stepped
+),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM texts),
+lagged AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM lagged),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+found AS (SELECT doc_id, s, length, min(q) AS q FROM stretches WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, s, length),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS listing,
+        first(s ORDER BY length DESC, s, q) AS s, first(length ORDER BY length DESC, s, q) AS length, first(q ORDER BY length DESC, s, q) AS q
+    FROM found GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM found),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, length, q AS period, 1000 * length // q AS exponent_milli,
+       sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON l.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+""",
+    "op13_license_templates": f"""
+WITH spoken AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+joined AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS body FROM spoken),
+phrases(label, size, words) AS (VALUES {_PHRASED}),
+templates(label, size, pattern) AS (VALUES {_LABELLED}),
+places AS (
+    SELECT doc_id, label, size, unnest(list_filter(range(0, len(w) - size + 1), lambda i: w[i + 1:i + size] = words)) AS i
+    FROM joined, phrases WHERE contains(body, ' ' || array_to_string(words, ' ') || ' ')
+),
+counted AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
+matched AS (
+    SELECT doc_id, label, size, true AS base FROM places
+    UNION ALL SELECT doc_id, label, size, false FROM joined, templates WHERE regexp_matches(body, pattern)
+),
+named AS (
+    SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+        max(size) AS size FROM matched GROUP BY doc_id
+)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(size / (size + {licences.DOUBT}), 0)::DOUBLE AS score
+FROM spoken s LEFT JOIN counted c ON c.doc_id = s.doc_id LEFT JOIN named m ON m.doc_id = s.doc_id
 """,
 }
