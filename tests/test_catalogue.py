@@ -46,3 +46,25 @@ def test_query_agrees_with_its_sql(spark, db, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+# Queries that look for hot keys while they run.
+HEATED = (
+    "join_1_link_facts join_1_link_hot_customers join_7_orphans win_1_next_event win_1_next_event_hot_keys kpi_3_readmission_30d "
+    "kpi_7_prevalence_k5 kpi_10_acts_per_service kpi_13_billing_by_service bld_4_diagnostics bld_5_procedures bld_8_fact_stays "
+    "rul_14_rejects_summary chk_9_golden_values chk_10_procedures_vs_silver src_14_audit_step_counts stm_3_warehouse_replay"
+).split()
+
+
+@pytest.mark.parametrize("setting", ["enabled", "coalescePartitions.enabled"])
+@pytest.mark.parametrize("name", [name for name in sorted(REGISTRY) if any(name.startswith(part) for part in HEATED)])
+def test_query_without_adaptive_execution(spark, db, name, setting):
+    """Many shuffle partitions stay empty, and nothing is planned anew while the query runs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(f"spark.sql.adaptive.{setting}", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        test_query_agrees_with_its_sql(spark, db, name)
+    finally:
+        spark.conf.set(f"spark.sql.adaptive.{setting}", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import linking, measures, quality, reconcile
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.quality import Rule
-from tidemark.operators.skew import hot_keys, link
+from tidemark.operators.skew import dealt, heat, hot_keys, link, pieces_of
 
 START = datetime(2026, 8, 1)
 
@@ -215,3 +216,70 @@ def test_verify_raises_with_samples(frame):
     assert Counter(r.n_violations for r in reconcile.verify({"good": good}).collect()) == {0: 1}
     with pytest.raises(reconcile.VerificationError, match="bad.*41"):
         reconcile.verify({"good": good, "bad": bad})
+
+
+# --- skew -----------------------------------------------------------------------------
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def rows_per_task(df):
+    return sorted(row["count"] for row in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+@pytest.mark.parametrize("setting", ["spark__sql__adaptive__enabled", "spark__sql__adaptive__coalescePartitions__enabled"])
+def test_heat_with_empty_partitions(spark, setting):
+    df = spark.range(40_000, numPartitions=5).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    with settings(spark, **{setting: "false", "spark__sql__shuffle__partitions": "72"}):
+        found = heat(df, ["k"], hot_rows=1000)
+        assert list(found.values()) == [64] and heat(df.limit(0), ["k"], hot_rows=0) == {}
+        assert heat(df, ["k"], hot_rows=10_000) == {next(iter(found)): 8}
+
+
+@pytest.mark.parametrize("identical", [False, True])
+def test_hot_rows_that_lie_together_are_dealt_evenly(spark, identical):
+    """After a shuffle on the join key all rows of a hot key are in one input partition."""
+    plain = {f"spark__sql__adaptive__{name}__enabled": "false" for name in ("skewJoin", "coalescePartitions")}
+    number = "CAST(0 AS bigint)" if identical else "id"
+    with settings(spark, **plain, spark__sql__shuffle__partitions="16", spark__sql__autoBroadcastJoinThreshold="-1"):
+        facts = spark.range(400_000).selectExpr("if(id % 5 > 0, 7, id) AS k", f"{number} AS n").repartition(16, "k")
+        parents = spark.range(400_000).withColumnRenamed("id", "k")
+        joined = link(facts, parents, "k", "inner", heat(facts, ["k"], hot_rows=1000))
+        sizes = rows_per_task(joined)
+    assert sum(sizes) == 400_000 and len(sizes) == 16 and sizes[-1] < 60_000
+
+
+def test_rows_are_dealt_alike_whatever_their_order(spark):
+    rows = [(7, n % 50) for n in range(1000)] + [(n, n) for n in range(100, 200)]
+
+    def pieces(order):
+        df = spark.createDataFrame(order, "k int, v int").coalesce(1)
+        return sorted(map(tuple, dealt(df, pieces_of(["k"], {key: 8}), "piece").collect()))
+
+    key = spark.sql("SELECT xxhash64(7) AS h").first().h
+    assert pieces(rows) == pieces(random.Random(1).sample(rows, len(rows)))
+
+
+def test_marks_can_be_split(spark):
+    split = {"skewedPartitionThresholdInBytes": "1k", "skewedPartitionFactor": "1.2"}
+    values = {f"spark__sql__adaptive__skewJoin__{name}": value for name, value in split.items()}
+    values |= {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold": "0"}
+    with settings(spark, **values, spark__sql__adaptive__advisoryPartitionSizeInBytes="4k", spark__sql__shuffle__partitions="8"):
+        facts = spark.range(0, 60_000, 1, 6).selectExpr("if(id % 5 > 0, 7, id) AS k", "id AS n")
+        reference = spark.range(0, 60_000, 10, 2).selectExpr("id AS k").union(spark.range(5).selectExpr("id AS k"))
+        marked = linking.mark_known(facts, reference, "k", "known")
+        assert marked.groupBy("known").count().collect()
+        marked.write.format("noop").mode("overwrite").save()
+        marked.collect()
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.timestamps import second_text, to_second
 from tidemark.operators.linking import lookup
-from tidemark.operators.skew import hot_keys
+from tidemark.operators.skew import heat, hot_keys
 from tidemark.plans import gold, silver
 from tidemark.plans.model import text_schema
 from tidemark.session import inline
@@ -251,9 +251,9 @@ class Clinic:
         )
 
     @cached_property
-    def hot_stays(self) -> list[int]:
+    def hot_stays(self) -> dict[int, int]:
         """Stays with very many lines, found once for codes and procedures alike."""
-        return hot_keys(self.given.lineitem.select(text("l_orderkey").alias("stay_id")), ["stay_id"])
+        return heat(self.given.lineitem.select(text("l_orderkey").alias("stay_id")), ["stay_id"])
 
     @cached_property
     def bronze_actes(self) -> DataFrame:

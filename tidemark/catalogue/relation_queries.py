@@ -19,7 +19,7 @@ from tidemark.operators.linking import (
 )
 from tidemark.operators.measures import next_event, share_of_total, subjects_per_group, top
 from tidemark.operators.reconcile import scalar_mismatch, tagged, tagged_union
-from tidemark.operators.skew import hot_keys, link
+from tidemark.operators.skew import heat, hot_keys, link
 from tidemark.plans import gold, kpis
 from tidemark.sources import audit, tables
 
@@ -44,7 +44,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     """The same link with its hot keys forced, so that customers are dealt and repeated."""
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    hot = hot_keys(orders, ["c_custkey"], hot_rows=10)
+    hot = heat(orders, ["c_custkey"], hot_rows=10)
     named = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     return link(orders, named, "c_custkey", "inner", hot).select("o_orderkey", "c_name", "c_mktsegment")
 

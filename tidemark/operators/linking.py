@@ -21,9 +21,14 @@ def lookup(df: DataFrame, reference: DataFrame, on: str | Sequence[str]) -> Data
 
 
 def mark_known(df: DataFrame, reference: DataFrame, key: str, mark: str) -> DataFrame:
-    """Add a boolean telling whether ``key`` is in the reference; rows never multiply."""
-    known = reference.select(key).distinct().withColumn(mark, F.lit(True))
-    return lookup(df, known, key).withColumn(mark, F.coalesce(mark, F.lit(False)))
+    """Add a boolean telling whether ``key`` is in the reference; rows never multiply.
+
+    The distinct keys are partitioned by more than the join needs, so the join shuffles them
+    once more; with a shuffle right below it on both sides, a skewed key of ``df`` is split.
+    """
+    known = reference.select(key, F.xxhash64(key).alias("_finer")).distinct()
+    marked = lookup(df, known.select(key, F.lit(True).alias(mark)), key)
+    return marked.withColumn(mark, F.coalesce(mark, F.lit(False)))
 
 
 def only_known(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:

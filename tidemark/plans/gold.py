@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +10,7 @@ from tidemark.functions.coding import age_band, flag
 from tidemark.functions.numbers import half_even
 from tidemark.functions.timestamps import day
 from tidemark.operators.linking import lookup, with_defaults
-from tidemark.operators.skew import hot_keys, link
+from tidemark.operators.skew import heat, link
 from tidemark.plans.model import EMERGENCY_MODE, PRINCIPAL
 
 
@@ -54,7 +54,7 @@ def stay_measures(silver_sejours: DataFrame) -> DataFrame:
 
 
 def fact_sejour(
-    silver_sejours: DataFrame, silver_diagnostics: DataFrame, hot: Sequence[int] | None = None
+    silver_sejours: DataFrame, silver_diagnostics: DataFrame, hot: Mapping[int, int] | Sequence[int] | None = None
 ) -> DataFrame:
     """One row per valid stay with its principal code, '' when it has none.
 
@@ -62,7 +62,7 @@ def fact_sejour(
     shuffle by stay serves both merging copies and the join; only when some stay is hot are
     copies merged on their own first, before the shuffle.
     """
-    hot = hot_keys(silver_sejours, ["stay_id"]) if hot is None else hot
+    hot = heat(silver_sejours, ["stay_id"]) if hot is None else hot
     stays = silver_sejours if hot else silver_sejours.repartition("stay_id")
     principal = principal_codes(silver_diagnostics)
     coded = link(stay_measures(stays), principal, "stay_id", "left", hot)

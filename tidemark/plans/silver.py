@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import cached_property
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,7 +14,7 @@ from tidemark.operators import quality
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.linking import enrich_with_gaps, mark_known, observed_codes
 from tidemark.operators.quality import Rule
-from tidemark.operators.skew import hot_keys, link
+from tidemark.operators.skew import heat, link
 from tidemark.plans.model import (
     DETAILS,
     FIRST_BIRTH_YEAR,
@@ -182,7 +182,7 @@ def coded_facts(
     code: str,
     source: str,
     from_stay: Sequence[str],
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | Sequence[int] | None = None,
     carried: Sequence[str] = (),
 ) -> Cleaned:
     """Facts of a stay that exists, with a known code, plus columns of the stay.
@@ -190,19 +190,24 @@ def coded_facts(
     The stays are the *bronze* ones: a stay dropped for its dates still happened. Unknown
     codes are journalled before the link, so a repeated stay cannot repeat them. Orphans
     are found by an anti-join of two narrow columns, cheaper than staging the linked facts.
+    ``hot`` (see ``skew.heat``) is looked for when a table is first used, unless given.
     """
     marked = mark_known(bronze, reference, code, "_code_known")
     parents = stays.select("stay_id", *from_stay)
     unknown_code = Rule(f"{code}_hors_referentiel", ~F.col("_code_known"), F.col(code))
     unknown_stay = Rule("sejour_inconnu", F.lit(True), F.col(code))
-    hot = hot_keys(bronze, ["stay_id"]) if hot is None else hot
+
+    @cache
+    def heavy() -> Mapping[int, int] | Sequence[int]:
+        return heat(bronze, ["stay_id"]) if hot is None else hot
 
     def kept() -> DataFrame:
         known = quality.kept(marked, [unknown_code]).drop("_code_known")
-        return link(known, parents, "stay_id", "inner", hot)
+        return link(known, parents, "stay_id", "inner", heavy())
 
     def rejects() -> DataFrame:
-        orphans = link(bronze, parents.select("stay_id"), "stay_id", "left_anti", hot)
+        given = bronze.select("stay_id", code, *carried)
+        orphans = link(given, parents.select("stay_id"), "stay_id", "left_anti", heavy())
         return quality.journal(
             [
                 quality.rejects(rows, [rule], source, F.col("stay_id"), carried=carried)
@@ -217,7 +222,7 @@ def diagnostics(
     bronze: DataFrame,
     bronze_sejours: DataFrame,
     ref_cim10: DataFrame,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | Sequence[int] | None = None,
     carried: Sequence[str] = (),
 ) -> Cleaned:
     cleaned = coded_facts(
@@ -231,7 +236,7 @@ def actes(
     bronze: DataFrame,
     bronze_sejours: DataFrame,
     ref_ccam: DataFrame,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | Sequence[int] | None = None,
     carried: Sequence[str] = (),
 ) -> Cleaned:
     """Procedures take their service from the stay, here and only here."""
