@@ -12,7 +12,7 @@ from tidemark.operators.reconcile import VerificationError
 from tidemark.plans import checks, kpis
 from tidemark.plans.model import DROP_FILES
 from tidemark.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
-from tidemark.sources import drops
+from tidemark.sources import drops, tables
 from tidemark.sources.ingest import Lake, ingest
 from tidemark.sources.publish import NotAllowed, publish, register_views
 from tidemark.streaming.alerts import maintain_daily_alerts
@@ -47,10 +47,10 @@ def test_drop_dates(spark, warehouse):
 
 
 def test_nothing_identifying_reaches_the_lake(spark, warehouse):
-    patients = spark.read.parquet(warehouse.lake.path(FILES["patients"]))
+    patients = tables.read(spark, warehouse.lake.path(FILES["patients"]))
     assert {"nir", "nom", "prenom", "patient_id", "birth_date"}.isdisjoint(patients.columns)
     assert patients.filter(F.length("patient_hash") != 16).count() == 0
-    stays = spark.read.parquet(warehouse.lake.path(FILES["sejours"]))
+    stays = tables.read(spark, warehouse.lake.path(FILES["sejours"]))
     assert "patient_id" not in stays.columns
     known = stays.join(patients.select("patient_hash").distinct(), "patient_hash", "left_semi")
     assert known.count() == stays.count()
@@ -68,7 +68,7 @@ def test_patients(spark, warehouse):
     silver = warehouse.table("silver/patients")
     assert silver.count() == 12
     years = dict(
-        spark.read.parquet(warehouse.lake.path(FILES["patients"]))
+        tables.read(spark, warehouse.lake.path(FILES["patients"]))
         .join(silver.withColumnRenamed("birth_year", "kept"), "patient_hash")
         .groupBy("patient_hash")
         .agg(F.max("birth_year").alias("newest"), F.max("kept").alias("kept"))
@@ -210,7 +210,7 @@ def test_publishing_respects_the_lists(spark, warehouse, tmp_path):
     marts = warehouse.marts()
     allowed = {"kpi_recherche_prevalence": marts["kpi_recherche_prevalence"]}
     assert publish("recherche", allowed, str(tmp_path)) == ["kpi_recherche_prevalence"]
-    assert spark.read.parquet(f"{tmp_path}/recherche/kpi_recherche_prevalence").count() == 4
+    assert tables.read(spark, f"{tmp_path}/recherche/kpi_recherche_prevalence").count() == 4
     with pytest.raises(NotAllowed):
         publish("recherche", {"kpi_pilotage_dms": marts["kpi_pilotage_dms"]}, str(tmp_path))
     with pytest.raises(NotAllowed):
@@ -255,13 +255,13 @@ def test_identical_and_changed_files(spark, site, per_date):
     later.parent.mkdir()
     shutil.copy(first, later)
     assert stays_only(spark, site, lake, "2026-08-30") == ({"sejours": 1} if per_date else {})
-    dates = {str(r[0]) for r in spark.read.parquet(table).select("business_date").distinct().collect()}
+    dates = {str(r[0]) for r in tables.read(spark, table).select("business_date").distinct().collect()}
     assert dates == ({"2026-08-26", "2026-08-30"} if per_date else {"2026-08-26"})
 
     lines = first.read_text().splitlines()
     first.write_text("\n".join(lines[:4]) + "\n")
     assert stays_only(spark, site, lake, "2026-08-26") == {"sejours": 1}
-    assert spark.read.parquet(table).filter("business_date = '2026-08-26'").count() == 3
+    assert tables.read(spark, table).filter("business_date = '2026-08-26'").count() == 3
     recorded = lake.ledger(spark).filter("business_date = '2026-08-26'")
     assert recorded.count() == 2 and recorded.select("path").distinct().count() == 1
 
@@ -295,7 +295,7 @@ def test_integers_and_floats_from_day_to_day(spark, site):
     lake = Lake(str(site / "lake"), hospital.SALT)
     for dropped in hospital.DAYS[:2]:
         ingest(spark, str(site / "drops"), lake, [dropped], [FILES["monitoring"]])
-    table = spark.read.parquet(lake.path(FILES["monitoring"]))
+    table = tables.read(spark, lake.path(FILES["monitoring"]))
     assert table.count() == 17 + len(frame) and dict(table.dtypes)["spo2"] == "double"
 
 
@@ -328,10 +328,10 @@ def test_arrivals_stream(spark, tmp_path):
         hospital.write_day(tmp_path / "drops", day)
         for name in ("sejours", "diagnostics", "monitoring"):
             ingest_arrivals(spark, str(tmp_path / "drops"), FILES[name], lake)
-        stays = spark.read.parquet(lake.path(FILES["sejours"]))
+        stays = tables.read(spark, lake.path(FILES["sejours"]))
         assert stays.count() == (day + 1) * len(hospital.stays(0))
     assert lake.ledger(spark).count() == 6
-    nested = spark.read.parquet(lake.path(FILES["diagnostics"]))
+    nested = tables.read(spark, lake.path(FILES["diagnostics"]))
     assert nested.select(F.explode("diagnostics")).count() == 2 * 19
 
 
@@ -343,6 +343,6 @@ def test_alerts_stream_agrees_with_the_batch(spark, warehouse, tmp_path):
         bronze.filter(F.to_date("ts") == day).write.mode("append").parquet(source)
         readings = spark.readStream.schema(schema).parquet(source)
         maintain_daily_alerts(readings, str(tmp_path / "alerts"), str(tmp_path / "checkpoint"))
-    streamed = spark.read.parquet(str(tmp_path / "alerts"))
+    streamed = tables.read(spark, str(tmp_path / "alerts"))
     batch = warehouse.marts()["kpi_pilotage_alertes_constantes"]
     assert rows(streamed, *batch.columns) == rows(batch, *batch.columns)

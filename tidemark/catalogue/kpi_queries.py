@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.catalogue import oracle as o
 from tidemark.catalogue.registry import Inputs, query
 from tidemark.plans import gold, kpis
+from tidemark.sources import tables
 from tidemark.sources.ingest import pseudonymise
 
 SERVICE = "signup"
@@ -220,7 +221,8 @@ def _(t: Inputs) -> DataFrame:
 
 @query("bld_9_fact_procedures", o.sql("SELECT * FROM cl_fact_acte"))
 def _(t: Inputs) -> DataFrame:
-    return gold.fact_acte(t.clinic.actes.kept, t.clinic.dim_ccam)
+    """The observed tariffs are a table first, as in the warehouse, so the lookup can be split."""
+    return gold.fact_acte(t.clinic.actes.kept, tables.rebuild(t.clinic.dim_ccam, t.scratch("ccam")))
 
 
 HASHED = f"substr(sha256('{SALT}:' || patient_id), 1, 16) AS patient_hash"

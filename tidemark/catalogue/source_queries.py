@@ -74,7 +74,7 @@ def _(t: Inputs) -> DataFrame:
         typed = typed.withColumn("temp_c", F.col("temp_c").cast("double")).hint("rebalance", "business_date")
         typed.write.mode("append").partitionBy("business_date").parquet(f"{root}/monitoring")
     ingest(t.spark, root, lake, files=[FILES["monitoring"]])
-    landed = t.spark.read.parquet(lake.path(FILES["monitoring"]))
+    landed = tables.read(t.spark, lake.path(FILES["monitoring"]))
     return bronze.monitoring(landed).select("stay_id", "ts", "heart_rate", "spo2")
 
 
@@ -135,7 +135,7 @@ PER_DAY = "SELECT CAST(ts AS DATE) AS business_date, count(*) AS n FROM events G
     ),
 )
 def _(t: Inputs) -> DataFrame:
-    lake = t.spark.read.parquet(ingested(t).path(FILES["sejours"]))
+    lake = tables.read(t.spark, ingested(t).path(FILES["sejours"]))
     return lake.select("stay_id", "patient_hash", "business_date")
 
 
@@ -220,7 +220,7 @@ def _(t: Inputs) -> DataFrame:
     for audience, names in AUDIENCES.items():
         publish.publish(audience, {name: mart(t, name) for name in names}, root)
         for name in names:
-            rows = t.spark.read.parquet(f"{root}/{audience}/{name}")
+            rows = tables.read(t.spark, f"{root}/{audience}/{name}")
             counts.append(
                 rows.agg(F.count("*").alias("n")).select(
                     F.lit(audience).alias("audience"), F.lit(name).alias("mart"), "n"
@@ -278,7 +278,7 @@ def _(t: Inputs) -> DataFrame:
     lake = Lake(t.scratch("lake"), SALT)
     for _ in range(2):
         ingest_arrivals(t.spark, root, FILES["sejours"], lake)
-    landed = t.spark.read.parquet(lake.path(FILES["sejours"]))
+    landed = tables.read(t.spark, lake.path(FILES["sejours"]))
     return landed.groupBy("business_date").agg(F.count("*").alias("n"))
 
 
@@ -289,7 +289,7 @@ def _(t: Inputs) -> DataFrame:
     schema = t.spark.read.parquet(root).schema
     readings = t.spark.readStream.schema(schema).parquet(root)
     maintain_daily_alerts(readings, target, t.scratch("alerts-checkpoint"))
-    return t.spark.read.parquet(target)
+    return tables.read(t.spark, target)
 
 
 @query(

@@ -107,6 +107,9 @@ DROP_FILES = (
 LEDGER = schema(
     path=STRING, sha256=STRING, source=STRING, business_date=DATE, rows=LONG, ingested_at=TIMESTAMP
 )
+# New files of a batch, and drop files as they were listed when last read.
+LANDED = schema(source=STRING, business_date=DATE, file=STRING, sha256=STRING, rows=LONG)
+SEEN = schema(source=STRING, name=STRING, path=STRING, length=LONG, modified=TIMESTAMP, salted=STRING)
 RUNS = schema(
     run_id=STRING,
     action=STRING,

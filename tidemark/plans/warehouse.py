@@ -3,12 +3,15 @@
 Layers are written as Parquet at each boundary. A later step reads the tables, so a lost
 executor repeats only its own step, and each table is computed once. Tables of events are
 kept by drop date: a day's run replaces the slices of that day, of every date landed since the
-last complete build, and of days whose facts belong to stays that these brought or changed;
-other slices keep their files. What a build covers is recorded once its gold is written.
+last complete build, and of days whose facts belong to stays that these brought or changed,
+all of them in one job per table; other slices keep their files. What a build covers is
+recorded once its gold is written.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
@@ -22,9 +25,9 @@ from tidemark.operators.measures import K_MIN
 from tidemark.plans import bronze, checks, gold, kpis, silver
 from tidemark.plans.model import AUDIENCES, DATE, DROP_FILES, STRING, DropFile, schema
 from tidemark.session import inline, side_by_side
-from tidemark.sources import audit, tables
-from tidemark.sources.drops import if_present, listing
-from tidemark.sources.ingest import Lake, ingest, pseudonymise, together
+from tidemark.sources import audit, snapshots, tables
+from tidemark.sources.drops import if_present
+from tidemark.sources.ingest import FILE, Lake, ingest, pseudonymise, together
 from tidemark.sources.publish import publish
 
 LAYERS = ("bronze", "clean", "silver", "gold")
@@ -98,15 +101,15 @@ class Warehouse:
         return f"{self.root}/meta/runs"
 
     def stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return tables.read(self.spark, f"{self.root}/{name}")
 
-    def dated(self, name: str, day: date | None = None) -> DataFrame:
-        """A table of events with its drop date; of one day, or all."""
+    def dated(self, name: str, days: Sequence[date] | None = None) -> DataFrame:
+        """A table of events with its drop date; of some days, or all."""
         df = self.stored(name)
         if name in LAYOUT:
             df = df.drop(LAYOUT[name][0])
         df = df.withColumn(DROPPED, F.col(DROPPED).cast("date"))
-        return df if day is None else df.filter(F.col(DROPPED) == F.lit(day))
+        return df if days is None else df.filter(F.col(DROPPED).isin(*days))
 
     def table(self, name: str) -> DataFrame:
         if name in DATED:
@@ -138,15 +141,11 @@ class Warehouse:
         else:
             tables.write_clustered(df, f"{self.root}/{name}", cluster)
 
-    def save_day(self, name: str, day: date | None, df: DataFrame) -> None:
-        """Replace one drop date of a table, None being the rows without one."""
-        df, partition, cluster = self.layout(name, df.drop(DROPPED))
-        tables.replace_slice(df, f"{self.root}/{name}", partition, day, cluster)
-
-    def save_days(self, name: str, days: list[date], df: DataFrame) -> None:
-        """Replace drop dates one after the other: an empty table is replaced whole."""
-        for day in days:
-            self.save_day(name, day, df.filter(F.col(DROPPED) == F.lit(day)))
+    def save_days(self, name: str, days: Sequence[date | None], df: DataFrame) -> None:
+        """Replace drop dates of a table in one job, None being the rows without one; ``df``
+        holds their new rows."""
+        df, partition, cluster = self.layout(name, df)
+        tables.replace_slices(df, f"{self.root}/{name}", partition, days, cluster)
 
     def save_all(self, built: dict[str, DataFrame]) -> None:
         """Write tables that do not read one another."""
@@ -171,9 +170,9 @@ class Warehouse:
 
     def landed(self, file: DropFile) -> DataFrame:
         """What the lake holds of one kind of file; no rows before the first one arrives."""
-        present = if_present(self.spark.read.parquet, self.lake.path(file))
+        present = if_present(tables.read, self.spark, self.lake.path(file))
         if present is not None:
-            return present
+            return present.drop(FILE)
         columns = [*(file.stored or file.schema).fields, StructField("business_date", DateType())]
         empty = self.spark.createDataFrame([], StructType(columns))
         return pseudonymise(empty, self.salt) if file.identifying else empty
@@ -195,9 +194,9 @@ class Warehouse:
             "services": silver.services(raw["ref_services"], raw["ref_service_desc"]),
         }
 
-    def events(self, day: date | None = None) -> dict[str, silver.Cleaned]:
-        """Events of one drop date, or all. Their stays may have been dropped on any date."""
-        raw = {name: self.dated(f"bronze/{name}", day) for name in EVENTS}
+    def events(self, days: Sequence[date] | None = None) -> dict[str, silver.Cleaned]:
+        """Events of some drop dates, or all. Their stays may have been dropped on any date."""
+        raw = {name: self.dated(f"bronze/{name}", days) for name in EVENTS}
         stays = self.table("bronze/sejours")
         refs = self.layer("bronze", ("ref_services", "ref_cim10", "ref_ccam"))
         carried = [DROPPED]
@@ -241,8 +240,8 @@ class Warehouse:
             "gold/fact_sejour": gold.fact_sejour(clean["sejours"], clean["diagnostics"]),
         }
 
-    def procedures(self, day: date | None = None) -> DataFrame:
-        return gold.fact_acte(self.dated("silver/actes", day), self.table("silver/ccam"), [DROPPED])
+    def procedures(self, days: Sequence[date] | None = None) -> DataFrame:
+        return gold.fact_acte(self.dated("silver/actes", days), self.table("silver/ccam"), [DROPPED])
 
     def build_gold(self) -> None:
         self.save_all(self.star() | {"gold/fact_acte": self.procedures()})
@@ -255,15 +254,16 @@ class Warehouse:
         return f"{self.root}/meta/unfinished"
 
     def note_found(self) -> None:
-        """List the lake's files. Every write gives its files new names, so changed content
-        shows, also where a crash kept it out of the ledger."""
-        files = if_present(listing, self.spark, f"{self.root}/lake")
-        if files is None:
-            tables.rebuild(inline(self.spark, (), LAKE_FILES), f"{self.root}/{FOUND}")
-            return
-        path = F.regexp_extract("path", rf"/([^/]+/[^/]+/{DROPPED}=[^/]*/.+)$", 1)
-        dropped = F.regexp_extract("path", rf"/{DROPPED}=([^/]*)/", 1).try_cast("date")
-        tables.rebuild(files.select(path.alias("path"), dropped.alias(DROPPED)), f"{self.root}/{FOUND}")
+        """List what the lake holds: each file's slice and the version that has it. Every write
+        is a version of its own, so changed content shows, also where a crash kept it out of
+        the ledger."""
+        held = []
+        for file in self.files:
+            now = snapshots.current(self.spark, self.lake.path(file))
+            for name, version in now.slices.items() if now else ():
+                day = re.match(rf"{DROPPED}=(\d{{4}}-\d{{2}}-\d{{2}})/", name)
+                held.append((f"{file.source}/{file.name}/{version}/{name}", date.fromisoformat(day[1]) if day else None))
+        tables.rebuild(inline(self.spark, held, LAKE_FILES), f"{self.root}/{FOUND}")
 
     def uncover(self) -> None:
         """Until the next complete build, no table can be relied on."""
@@ -329,28 +329,31 @@ class Warehouse:
         days = sorted(found)
         begun = inline(self.spark, [(each,) for each in days], schema(business_date=DATE))
         tables.append(begun.coalesce(1), self.unfinished)
+        came = sorted(brought)
         side_by_side(
             [
                 partial(self.save, "bronze/patients", landed["patients"]),
                 *[
-                    partial(self.save_days, f"bronze/{name}", sorted(brought), landed[name])
+                    partial(self.save_days, f"bronze/{name}", came, landed[name].filter(F.col(DROPPED).isin(*came)))
                     for name in EVENTS
                 ],
             ]
         )
-        for each in days:
-            steps = self.events(each)
-            side_by_side(
-                [partial(self.save_day, f"silver/{name}", each, step.kept) for name, step in steps.items()]
-            )
-            self.save_day(JOURNAL, each, quality.journal([step.rejects for step in steps.values()]))
+        steps = self.events(days)
+        rejects = quality.journal([step.rejects for step in steps.values()])
+        side_by_side(
+            [
+                *[partial(self.save_days, f"silver/{name}", days, step.kept) for name, step in steps.items()],
+                partial(self.save_days, JOURNAL, days, rejects),
+            ]
+        )
         entities = self.entities()
         self.save_all({f"silver/{name}": step.kept for name, step in entities.items()})
-        self.save_day(JOURNAL, None, quality.journal([step.rejects for step in entities.values()]))
+        undated = quality.journal([step.rejects for step in entities.values()])
+        self.save_days(JOURNAL, [None], undated.withColumn(DROPPED, F.lit(None).cast("date")))
         self.save_all(self.observed())
         self.save_all(self.star())
-        for each in days:
-            self.save_day("gold/fact_acte", each, self.procedures(each))
+        self.save_days("gold/fact_acte", days, self.procedures(days))
         self.cover()
 
     # --- jobs ----------------------------------------------------------------------

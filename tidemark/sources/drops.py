@@ -37,12 +37,12 @@ def csv_options(multi_line: bool) -> dict[str, bool | str]:
     return {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multi_line}
 
 
-def read_csv(spark: SparkSession, path: str, columns: StructType, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], columns: StructType, multi_line: bool = False) -> DataFrame:
     """Header CSV with RFC 4180 quotes; splittable unless fields may hold line breaks."""
     return spark.read.schema(columns).options(**csv_options(multi_line)).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, columns: StructType, multi_line: bool = True) -> DataFrame:
+def read_json(spark: SparkSession, path: str | Sequence[str], columns: StructType, multi_line: bool = True) -> DataFrame:
     """JSON arrays of objects, one row per object.
 
     ``multi_line`` reads a file holding one array. A drop with one array (or object) per
@@ -51,12 +51,14 @@ def read_json(spark: SparkSession, path: str, columns: StructType, multi_line: b
     return spark.read.schema(columns).option("multiLine", multi_line).json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: StructType | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str | Sequence[str], columns: StructType | None = None
+) -> DataFrame:
     reader = spark.read if columns is None else spark.read.schema(columns)
-    return reader.parquet(path)
+    return reader.parquet(*[path] if isinstance(path, str) else path)
 
 
-def read_parquet_by_type(spark: SparkSession, path: str) -> list[DataFrame]:
+def read_parquet_by_type(spark: SparkSession, path: str | Sequence[str]) -> list[DataFrame]:
     """Parquet files as one DataFrame per set of column types.
 
     A writer may store a column as integers one day and as floats the next. Spark's tasks
@@ -74,7 +76,10 @@ def read_parquet_by_type(spark: SparkSession, path: str) -> list[DataFrame]:
             half = len(files) // 2
             return runs(files[:half]) + runs(files[half:])
 
-    files = [row.path for row in listing(spark, path).select("path").orderBy("path").collect()]
+    if isinstance(path, str):
+        found = listing(spark, path).select("path").orderBy("path").collect()
+        path = [row.path for row in found]
+    files = list(path)
     alike: dict[StructType, list[str]] = {}
     for columns, run in runs(files) if files else []:
         alike.setdefault(columns, []).extend(run)
@@ -83,7 +88,7 @@ def read_parquet_by_type(spark: SparkSession, path: str) -> list[DataFrame]:
 
 def read_files(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     format: str,
     columns: StructType | None,
     json_lines: bool = False,

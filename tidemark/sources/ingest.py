@@ -1,20 +1,26 @@
-"""Incremental ingest: drops to a pseudonymised lake, guarded by a ledger of fingerprints."""
+"""Incremental ingest: drops to a pseudonymised lake, guarded by a ledger of fingerprints.
+
+A drop file is listed first; one that has the length and time it had when last seen is not
+opened. The others are parsed once, into a version of the lake that no reader sees yet. They are
+fingerprinted as they lie there, and those with content that the ledger does not know become
+part of the lake by one manifest; the rest is swept. No row is moved or written twice.
+"""
 
 from __future__ import annotations
 
-import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.identity import fingerprint_groups, pseudonym, require_salt, year_prefix
-from tidemark.plans.model import DROP_FILES, IDENTIFIERS, LEDGER, LONG, STRING, DropFile, schema
+from tidemark.plans.model import DROP_FILES, IDENTIFIERS, LANDED, LEDGER, LONG, SEEN, STRING, DropFile, schema
 from tidemark.session import inline, side_by_side
-from tidemark.sources import drops, tables
+from tidemark.sources import drops, snapshots, tables
 
-PATH, DATE = "_path", "business_date"
+PATH, DATE, FILE = "_path", "business_date", "file"
 
 
 def pseudonymise(
@@ -51,6 +57,10 @@ class Lake:
     def ledger_path(self) -> str:
         return f"{self.root}/meta/ingested_files"
 
+    @property
+    def seen_path(self) -> str:
+        return f"{self.root}/meta/seen_files"
+
     def path(self, file: DropFile) -> str:
         return f"{self.root}/lake/{file.source}/{file.name}"
 
@@ -63,7 +73,7 @@ class Lake:
 
 
 def prepare(rows: DataFrame, file: DropFile, salt: str) -> DataFrame:
-    """Hidden identities plus each row's file and drop date; nothing is written before this."""
+    """Hidden identities plus each row's drop date and file; nothing is written before this."""
     own = (
         [F.col(name) for name in rows.columns]
         if file.stored is None
@@ -71,95 +81,135 @@ def prepare(rows: DataFrame, file: DropFile, salt: str) -> DataFrame:
     )
     located = rows.select(
         *own,
-        drops.relative_path(F.col("_metadata.file_path")).alias(PATH),
         drops.path_date(F.col("_metadata.file_path")).alias(DATE),
+        F.col("_metadata.file_name").alias(FILE),
     )
     return pseudonymise(located, salt) if file.identifying else located
 
 
-def new_files(prepared: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
-    """Fingerprint every file and keep those the ledger does not know.
+def new_files(staged: DataFrame, file: DropFile, lake: Lake) -> DataFrame:
+    """Fingerprint every staged file and keep those the ledger does not know.
 
     Of files with equal content in one batch, the earliest counts and the others are
     skipped, as if the dates had come one after the other.
     """
-    spark = prepared.sparkSession
-    columns = [name for name in prepared.columns if name not in (PATH, DATE)]
+    spark = staged.sparkSession
+    columns = [name for name in staged.columns if name not in (DATE, FILE)]
     seen = [*(["source", DATE] if lake.per_date else []), "sha256"]
-    prints = (
-        fingerprint_groups(prepared, PATH, columns)
-        .withColumn(DATE, drops.path_date(F.col(PATH)))
-        .withColumn("source", F.lit(file.source))
+    one = F.struct(F.col(DATE).cast("date").alias(DATE), F.col(FILE).cast("string").alias(FILE))
+    prints = fingerprint_groups(staged.withColumn("_file", one), "_file", columns).select(
+        F.lit(file.source).alias("source"), "_file.*", "sha256", "rows"
     )
     unknown = prints.join(lake.ledger(spark).select(*seen).distinct(), seen, "left_anti")
     if lake.per_date:
-        return unknown.select("source", PATH, DATE, "sha256", "rows")
+        return unknown.select("source", DATE, FILE, "sha256", "rows")
     return (
         unknown.groupBy("source", "sha256")
-        .agg(F.min(F.struct(DATE, PATH, "rows")).alias("_first"))
-        .select("source", f"_first.{PATH}", f"_first.{DATE}", "sha256", "_first.rows")
+        .agg(F.min(F.struct(DATE, FILE, "rows")).alias("_first"))
+        .select("source", f"_first.{DATE}", f"_first.{FILE}", "sha256", "_first.rows")
     )
 
 
-def pending(lake: Lake) -> str:
-    """A folder for the lists of new files of one batch, removed once they are recorded."""
-    return f"{lake.root}/meta/pending/{uuid.uuid4().hex}"
-
-
-def land(prepared: DataFrame, file: DropFile, lake: Lake, batch: str) -> DataFrame:
-    """Write the new files of a batch to the lake; returns them, for ``record``.
+def land(prepared: DataFrame, file: DropFile, lake: Lake) -> list[tuple]:
+    """Bring the new files of a batch into the lake; returns them, for ``record``.
 
-    Each file has its own folder below its date: changed content replaces it, and so does
-    a batch repeated after a crash.
+    Each file is a slice of its date: changed content replaces it, and so does a batch
+    repeated after a crash. One row per new file reaches the driver, as it must for the
+    manifest to name it.
     """
     spark = prepared.sparkSession
-    listed = f"{batch}/{file.source}-{file.name}"
-    new_files(prepared, file, lake).write.parquet(listed)
-    chosen = spark.read.parquet(listed)
-    (
-        prepared.join(chosen.select(PATH), PATH, "left_semi")
-        .withColumn("file", F.regexp_extract(PATH, r"([^/]+)$", 1))
-        .drop(PATH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE, "file")
-        .parquet(lake.path(file))
-    )
+    write = snapshots.Write(spark, lake.path(file), (DATE, FILE), depth=2)
+    write.stage(prepared)
+    if not write.found():
+        write.abandon()
+        return []
+    chosen = [tuple(row) for row in new_files(write.staged(), file, lake).collect()]
+    if not chosen:
+        write.abandon()
+        return []
+    new = [snapshots.slice_name(spark, (DATE, FILE), row[1:3]) for row in chosen]
+    write.commit(gone=(), only=new)
     return chosen
 
 
-def record(landed: DataFrame, lake: Lake) -> None:
-    """Add landed files to the ledger, only once their rows are in the lake."""
-    recorded = landed.select(
-        F.col(PATH).alias("path"),
+def record(landed: Sequence[tuple], paths: DataFrame | None, spark: SparkSession, lake: Lake) -> None:
+    """Add landed files to the ledger, only once their rows are in the lake.
+
+    ``paths`` lists the drop files of the batch; a landed file takes its path from there, or
+    else, as from a stream, is known by source, date and name.
+    """
+    rows = inline(spark, landed, LANDED)
+    own = F.concat_ws("/", "source", F.col(DATE).cast("string"), FILE)
+    if paths is not None:
+        named = paths.groupBy("source", DATE, FILE).agg(F.min("path").alias("path"))
+        same = [rows[name].eqNullSafe(named[name]) for name in ("source", DATE, FILE)]
+        rows = rows.join(named, reduce(Column.__and__, same), "left").select(*[rows[name] for name in rows.columns], "path")
+        own = F.coalesce("path", own)
+    recorded = rows.select(
+        own.alias("path"),
         "sha256",
         "source",
         DATE,
         "rows",
         F.date_trunc("second", F.current_timestamp()).alias("ingested_at"),
     )
-    tables.append(recorded, lake.ledger_path)
+    tables.append(recorded.coalesce(1), lake.ledger_path)
 
 
 def together(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def glob(root: str, file: DropFile, dates: Sequence[str] | None) -> str:
+    return f"{root}/{file.source}/{drops.date_folders(dates)}/{file.pattern}"
+
+
 def read_drop(
     spark: SparkSession,
-    root: str,
+    paths: str | Sequence[str],
     file: DropFile,
-    dates: Sequence[str] | None,
     json_lines: bool = False,
 ) -> list[DataFrame]:
     """The drops of one kind of file; none, one part, or one for each set of stored types."""
-    path = f"{root}/{file.source}/{drops.date_folders(dates)}/{file.pattern}"
     found = drops.if_present(
-        drops.read_files, spark, path, file.format, file.schema, json_lines, file.multi_line
+        drops.read_files, spark, paths, file.format, file.schema, json_lines, file.multi_line
     )
     return found or []
 
 
+def listed(spark: SparkSession, path: str, file: DropFile) -> DataFrame | None:
+    """The drop files of one kind: where they are, their length and time; none is opened."""
+    found = drops.if_present(drops.listing, spark, path)
+    if found is None:
+        return None
+    return found.select(
+        F.lit(file.source).alias("source"),
+        F.lit(file.name).alias("name"),
+        drops.relative_path(F.col("path")).alias("path"),
+        drops.path_date(F.col("path")).alias(DATE),
+        F.element_at(F.split("path", "/"), -1).alias(FILE),
+        "length",
+        F.col("modificationTime").alias("modified"),
+        F.col("path").alias("location"),
+    )
+
+
+def unseen(found: DataFrame, lake: Lake) -> list[str] | None:
+    """Where the files lie that are new or changed; None if none of them was ever seen.
+
+    A file counts as seen by this salt only: another one hides identities anew.
+    """
+    spark = found.sparkSession
+    keys = ["source", "name", "path", "length", "modified"]
+    seen = tables.read_or_empty(spark, lake.seen_path, SEEN)
+    seen = seen.filter(F.col("salted") == pseudonym(F.lit("seen"), lake.salt)).select(*keys).distinct()
+    marked = found.join(seen.withColumn("_seen", F.lit(True)), keys, "left")
+    some = marked.agg(F.count("_seen").alias("known")).first()
+    if not some.known:
+        return None
+    return [row.location for row in marked.filter("_seen IS NULL").select("location").collect()]
+
+
 def ingest(
     spark: SparkSession,
     root: str,
@@ -170,22 +220,32 @@ def ingest(
 ) -> DataFrame:
     """Bring the drops of the given dates (all when None) into the lake.
 
-    Returns ``(source, n_files)`` for the sources with new files.
+    Returns ``(source, n_files)`` for the sources with new files. Files are listed before they
+    are read and remembered as they were listed, so one that changes meanwhile is read again.
     """
     require_salt(lake.salt)
-    found = {file: read_drop(spark, root, file, dates, json_lines) for file in files}
-    batch = pending(lake)
-    landed = side_by_side(
-        [
-            partial(land, together([prepare(rows, file, lake.salt) for rows in parts]), file, lake, batch)
-            for file, parts in found.items()
-            if parts
-        ]
-    )
-    counted: list[tuple] = []
+
+    def bring(file: DropFile) -> tuple[list[tuple], DataFrame | None]:
+        found = listed(spark, glob(root, file, dates), file)
+        if found is None:
+            return [], None
+        found = tables.rebuild(found, f"{lake.root}/meta/listed/{file.source}-{file.name}")
+        new = unseen(found, lake)
+        if new is not None:
+            if not new:
+                return [], None
+            found = found.filter(F.col("location").isin(new))
+        parts = read_drop(spark, glob(root, file, dates) if new is None else new, file, json_lines)
+        rows = [prepare(part, file, lake.salt) for part in parts]
+        return land(together(rows), file, lake) if rows else [], found
+
+    brought = side_by_side([partial(bring, file) for file in files])
+    opened = [found for _, found in brought if found is not None]
+    landed = [row for rows, _ in brought for row in rows]
     if landed:
-        new = together(landed)
-        record(new, lake)
-        counted = [tuple(row) for row in new.groupBy("source").agg(F.count("*")).collect()]
-        tables.remove(spark, batch)
-    return inline(spark, counted, schema(source=STRING, n_files=LONG))
+        record(landed, together(opened), spark, lake)
+    if opened:
+        salted = pseudonym(F.lit("seen"), lake.salt).alias("salted")
+        tables.append(together(opened).select("source", "name", "path", "length", "modified", salted).coalesce(1), lake.seen_path)
+    counted = Counter(row[0] for row in landed)
+    return inline(spark, sorted(counted.items()), schema(source=STRING, n_files=LONG))

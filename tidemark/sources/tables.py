@@ -1,8 +1,11 @@
-"""Parquet tables: full rebuilds, partitioned and clustered layouts, appends."""
+"""Parquet tables: full rebuilds, partitioned and clustered layouts, slices, appends.
+
+Tables that are replaced, whole or in slices, are kept as versions (see ``snapshots``) and read
+with ``read``; tables that only grow are plain folders.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.session import inline
+from tidemark.sources.snapshots import Write, read, remove, slice_name
+
+__all__ = [
+    "append",
+    "laid_out",
+    "names",
+    "read",
+    "read_or_empty",
+    "rebuild",
+    "remove",
+    "replace_slices",
+    "write_clustered",
+    "write_partitioned",
+]
 
 
 def names(partition: str | Sequence[str] | None) -> list[str]:
@@ -19,70 +36,32 @@ def names(partition: str | Sequence[str] | None) -> list[str]:
 def rebuild(df: DataFrame, path: str, partition: str | Sequence[str] | None = None) -> DataFrame:
     """Replace a table, schema included; running it again changes nothing.
 
-    The new rows are complete in a folder beside the table before the old ones go, so a
-    table may be computed from its own content, and a write that fails leaves it as it was.
+    Readers see the old rows until the new ones are complete, so a table may be computed from
+    its own content, and a write that fails leaves it as it was.
     """
-    spark = df.sparkSession
-    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    (df.write.partitionBy(*names(partition)) if partition else df.write).parquet(beside)
-    if partition and not folders(spark, beside):
-        # no rows, so no partition and no file that tells the schema
-        df.limit(0).coalesce(1).write.mode("append").parquet(beside)
-    swap(spark, beside, path)
-    return spark.read.parquet(path)
-
-
-def located(spark: SparkSession, path: str):
-    """A Hadoop path and its file system."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    at, files = located(spark, path)
-    files.delete(at, True)
+    write = Write(df.sparkSession, path, names(partition))
+    write.stage(df)
+    write.commit()
+    return read(df.sparkSession, path)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    at, files = located(spark, path)
-    return [status.getPath().getName() for status in files.listStatus(at) if status.isDirectory()]
-
-
-def swap(spark: SparkSession, beside: str, path: str) -> None:
-    """Put a complete folder in the place of another one, if that exists."""
-    old, files = located(spark, path)
-    files.delete(old, True)
-    if not files.rename(located(spark, beside)[0], old):
-        raise OSError(f"{beside} could not be renamed to {path}")
-
-
-def replace_slice(
+def replace_slices(
     df: DataFrame,
     path: str,
     partition: Sequence[str],
-    value: object,
+    values: Sequence[object],
     cluster: Sequence[str] = (),
-) -> None:
-    """Replace the rows of a table whose first partition column has ``value``.
+) -> DataFrame:
+    """Replace the rows of a table whose first partition column has one of ``values``.
 
-    ``df`` holds the new rows without that column (None: NULL). Other slices keep their
-    files; a slice without rows goes, unless it is the last, whose table is rebuilt empty.
+    ``df`` holds the new rows of all of them, written by one job and shown at once; None stands
+    for NULL. Other slices keep their files, and a slice without rows goes.
     """
-    spark, (first, *others) = df.sparkSession, partition
-    slice_name = f"{first}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
-    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    rows = laid_out(df, others, cluster)
-    (rows.write.partitionBy(*others) if others else rows.write).parquet(beside)
-    if spark.read.schema(df.schema).parquet(beside).isEmpty():
-        kept = [name for name in folders(spark, path) if name != slice_name]
-        if not kept:
-            remove(spark, beside)
-            rebuild(spark.read.parquet(path).limit(0), path, partition)
-            return
-        remove(spark, beside)
-        remove(spark, f"{path}/{slice_name}")
-        return
-    swap(spark, beside, f"{path}/{slice_name}")
+    spark = df.sparkSession
+    write = Write(spark, path, partition)
+    write.stage(laid_out(df, partition, cluster))
+    write.commit(gone=[slice_name(spark, partition, [value]) for value in values])
+    return read(spark, path)
 
 
 def laid_out(
@@ -111,9 +90,7 @@ def write_partitioned(
     rows = laid_out(df, partition, cluster)
     if not only_given:
         return rebuild(rows, path, partition)
-    writer = rows.write.mode("overwrite").partitionBy(*names(partition))
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return replace_slices(df, path, names(partition), (), cluster)
 
 
 def write_clustered(df: DataFrame, path: str, cluster: Sequence[str]) -> DataFrame:
@@ -125,7 +102,7 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def read_or_empty(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    """A table that may not have been written yet."""
+    """A table of appended rows that may not have been written yet."""
     try:
         return spark.read.schema(columns).parquet(path)
     except AnalysisException as error:

@@ -8,6 +8,7 @@ from tidemark.functions.numbers import percent
 from tidemark.operators.quality import kept
 from tidemark.plans.kpis import is_alert
 from tidemark.plans.silver import vitals_rule
+from tidemark.sources import tables
 
 
 def daily_alerts(readings: DataFrame) -> DataFrame:
@@ -25,11 +26,12 @@ def daily_alerts(readings: DataFrame) -> DataFrame:
 
 
 def maintain_daily_alerts(readings: DataFrame, target: str, checkpoint: str) -> None:
-    """Bring the table at ``target`` up to date with all readings that have arrived."""
+    """Bring the table at ``target`` up to date with all readings that have arrived; readers
+    (``tables.read``) see the old counts until the new ones are complete."""
 
     def replace(batch: DataFrame, _: int) -> None:
         rate = percent(F.col("nb_alertes"), F.col("nb_releves"), 1)
-        batch.withColumn("taux_alertes_pct", rate).write.mode("overwrite").parquet(target)
+        tables.rebuild(batch.withColumn("taux_alertes_pct", rate), target)
 
     query = (
         daily_alerts(readings)

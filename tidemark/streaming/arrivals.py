@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.identity import require_salt
 from tidemark.plans.model import DropFile
-from tidemark.sources import tables
-from tidemark.sources.drops import csv_options, date_folders
-from tidemark.sources.ingest import Lake, land, pending, prepare, read_drop, record
+from tidemark.sources.drops import csv_options
+from tidemark.sources.ingest import Lake, glob, land, prepare, read_drop, record
 
 
 def arriving(
@@ -21,7 +20,7 @@ def arriving(
     """
     columns = file.schema
     if columns is None:
-        present = read_drop(spark, root, file, None)
+        present = read_drop(spark, glob(root, file, None), file)
         if not present:
             return None
         columns = present[0].schema
@@ -30,7 +29,7 @@ def arriving(
         reader = reader.options(**csv_options(file.multi_line))
     elif file.format == "json":
         reader = reader.option("multiLine", not json_lines)
-    return reader.format(file.format).load(f"{root}/{file.source}/{date_folders(None)}/{file.pattern}")
+    return reader.format(file.format).load(glob(root, file, None))
 
 
 def ingest_arrivals(
@@ -47,9 +46,9 @@ def ingest_arrivals(
         return
 
     def take(batch: DataFrame, _: int) -> None:
-        listed = pending(lake)
-        record(land(batch, file, lake, listed), lake)
-        tables.remove(spark, listed)
+        landed = land(batch, file, lake)
+        if landed:
+            record(landed, None, spark, lake)
 
     query = (
         rows.transform(lambda rows: prepare(rows, file, lake.salt))
