@@ -88,13 +88,12 @@ def brute_next(made):
 
 
 @pytest.mark.parametrize("seed", [3, 4])
-@pytest.mark.parametrize("slot", ["hour", "day"])
-def test_next_event_with_and_without_hot_keys(frame, seed, slot):
+def test_next_event_with_and_without_hot_keys(frame, seed):
     made = stays(seed)
     df = frame("stay string, patient string, at timestamp", *made)
     expected = brute_next(made)
     for hot in ([], hot_keys(df, ["patient"], hot_rows=5), hot_keys(df, ["patient"], hot_rows=100)):
-        ahead = measures.next_event(df, "patient", "at", "stay", "following", hot, slot)
+        ahead = measures.next_event(df, "patient", "at", "stay", "following", hot)
         assert {row.stay: row.following for row in ahead.collect()} == expected
 
 
@@ -283,3 +282,20 @@ def test_marks_can_be_split(spark):
         marked.write.format("noop").mode("overwrite").save()
         marked.collect()
         assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("identical", [False, True])
+def test_pieces_of_one_key_are_even_and_in_order(spark, identical):
+    """Rows that agree in everything, all in one input partition, still become many tasks."""
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16"):
+        number = "0" if identical else "id % 1000"
+        rows = spark.range(200_000).selectExpr("'p' AS patient", f"timestamp_seconds({number}) AS at", f"{number} AS stay")
+        pieces = measures.ordered_pieces(rows.repartition(16, "patient"), ["patient", "at", "stay"])
+        sizes = [(row.n, row.low, row.high) for row in pieces.groupBy("_piece").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).orderBy("_piece").collect()]
+        assert len(sizes) == 16 and max(n for n, _, _ in sizes) < 20_000
+        assert all(one[2] <= other[1] for one, other in zip(sizes, sizes[1:], strict=False))
+        key = spark.sql("SELECT xxhash64('p') AS h").first().h
+        ahead = measures.next_event(rows, "patient", "at", "stay", "following", [key])
+        plain = measures.next_event(rows, "patient", "at", "stay", "following", [])
+        counted = [sorted(map(tuple, df.groupBy("at", "following").count().collect()), key=repr) for df in (ahead, plain)]
+    assert counted[0] == counted[1]

@@ -10,7 +10,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import fingerprint_groups, pseudonym
-from tidemark.operators import measures
 from tidemark.operators.measures import next_event
 from tidemark.operators.skew import hot_keys
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES
@@ -84,20 +83,19 @@ def test_reference_dropped_twice_and_sources_that_never_came(spark, tmp_path):
     warehouse.verify()
 
 
-@pytest.mark.parametrize("slot", ["hour", "day"])
-def test_next_event_without_times(frame, slot):
+def test_next_event_without_times(frame):
     at = [None, None, "1970-01-01 00:30:00", "1970-01-01 00:10:00", "2026-01-01 10:00:00", "2026-01-01 10:00:00", "2026-01-03 00:00:00"]
     rows = [(key, time, stay) for key in ("p", "q") for stay, time in enumerate(at)] + [("r", None, 1)]
     df = frame("patient string, at string, stay int", *rows).withColumn("at", F.col("at").cast("timestamp"))
     every = [row.h for row in df.select(F.xxhash64("patient").alias("h")).distinct().collect()]
 
     def answer(hot):
-        return sorted(map(repr, next_event(df, "patient", "at", "stay", "following", hot, slot).collect()))
+        return sorted(map(repr, next_event(df, "patient", "at", "stay", "following", hot).collect()))
 
     assert answer([]) == answer(every) == answer(every[:1])
 
 
-def test_next_event_of_one_moment_copies_and_no_key(frame, monkeypatch):
+def test_next_event_of_one_moment_copies_and_no_key(frame):
     """A bulk load at one time, rows that agree in everything, NULL keys and tie-breaks."""
     rows = [("p", "2026-01-01 10:00:00", stay % 7) for stay in range(40)] + [("p", "2026-01-01 10:00:01", None)] * 2
     rows += [(None, "2026-01-01 10:00:00", 1), (None, None, 2), (None, "2026-01-02 10:00:00", None), (None, None, 2)]
@@ -109,8 +107,6 @@ def test_next_event_of_one_moment_copies_and_no_key(frame, monkeypatch):
 
     plain = answer([])
     assert plain == answer(every) == answer(every[:1])
-    monkeypatch.setattr(measures, "hot_keys", lambda rows, keys: [r.h for r in rows.select(F.xxhash64(*keys).alias("h")).distinct().collect()])
-    assert plain == answer(every)
 
 
 def test_hot_keys_of_many_partitions(spark):

@@ -311,7 +311,7 @@ def _(t: Inputs) -> DataFrame:
 
 @query("win_1_next_event_hot_keys", o.sql(NEXT))
 def _(t: Inputs) -> DataFrame:
-    """The same with busy patients cut into hourly slots."""
+    """The same with the stays of busy patients cut into ordered pieces."""
     return following(t, hot_keys(t.activity.bronze_sejours, ["patient_hash"], hot_rows=20))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import percent
 from tidemark.functions.timestamps import calendar_days
-from tidemark.operators.skew import hot_keys, key_hash, link
+from tidemark.operators.skew import heat, key_hash
+from tidemark.session import written
 
 K_MIN = 5
 
@@ -45,54 +46,46 @@ def next_event(
     at: str,
     tie_break: str,
     name: str,
-    hot: Sequence[int] | None = None,
-    slot: str = "hour",
+    hot: Iterable[int] | None = None,
 ) -> DataFrame:
     """Add the time of the same key's next event, NULL for its last.
 
     Events without a time come first; rows equal in key, time and ``tie_break`` follow one
-    another. Ordinary keys are one window each. Of a hot key, all events of a moment but the
-    last have their own time as the next, and the last has that of the key's next moment. So
-    its rows never meet in a window: they are reduced to moments, these are cut into slots,
-    and the last moment of a slot takes the first of the next from a table with one row per
-    slot. Rows find their moment through ``link``, which splits moments that are hot in turn.
+    another. Ordinary keys are one window each. The rows of hot keys (hashes, see ``skew.heat``)
+    are cut into ordered pieces, see ``ordered_pieces``: a window runs inside each piece, and the
+    last row of a piece takes the time of the first in the next from a table with one row per
+    key and piece. So no task gets more than a piece, even of rows that agree in everything.
     """
-    hot = hot_keys(df, [key]) if hot is None else list(hot)
+    hot = heat(df, [key]) if hot is None else hot
     window = Window.partitionBy(key).orderBy(at, tie_break)
     if not hot:
         return df.withColumn(name, F.lead(at).over(window))
     is_hot = key_hash([key]).isin(*hot)
-    # One struct is the join key, since a NULL key or time inside it equals another.
-    rows = df.filter(is_hot).withColumn("_moment", F.struct(F.col(key).alias("key"), F.col(at).alias("at")))
-    linked = link(rows, moments(rows, tie_break, slot), "_moment", "left", hot_keys(rows, ["_moment"]))
-    at_end = F.col(tie_break).eqNullSafe(F.col("_end"))
-    stretch = Window.partitionBy("_moment", "_part").orderBy(tie_break)
-    split = (
-        linked.withColumn("_part", F.when(at_end, -1).otherwise(F.spark_partition_id()))
-        .withColumn("_last", (F.col("_part") == -1) & (F.row_number().over(stretch) == 1))
-        .withColumn(name, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(at)))
-    )
+    pieces = ordered_pieces(df.filter(is_hot), [key, at, tie_break])
+    # One struct is the join key, since a NULL key inside it equals another.
+    pieces = pieces.withColumn("_spot", F.struct(F.col(key).alias("key"), "_piece"))
+    first = F.when(F.count("*") == F.count(at), F.min(at)).alias("_first")  # no time comes first
+    along = Window.partitionBy("_spot.key").orderBy("_spot._piece")
+    firsts = pieces.groupBy("_spot").agg(first).select("_spot", F.lead("_first").over(along).alias("_carry"))
+    inside = Window.partitionBy("_spot").orderBy(at, tie_break, "_row")
+    led = pieces.withColumns({name: F.lead(at).over(inside), "_inner": F.lead(F.lit(True)).over(inside)})
+    carried = led.join(firsts, "_spot").withColumn(name, F.when(F.col("_inner"), F.col(name)).otherwise(F.col("_carry")))
     cold = df.filter(~is_hot).withColumn(name, F.lead(at).over(window))
-    return cold.unionByName(split.select(*cold.columns))
-
-
-def moments(rows: DataFrame, tie_break: str, slot: str) -> DataFrame:
-    """Each ``_moment`` once, with its last ``tie_break`` and the time of the key's next one."""
-    at = F.col("_moment.at")
-    found = (
-        rows.groupBy("_moment")
-        .agg(F.max(tie_break).alias("_end"))
-        .withColumn("_slot", F.struct(F.col("_moment.key").alias("key"), F.date_trunc(slot, at).alias("start")))
-    )
-    starts = found.groupBy("_slot").agg(F.min(at).alias("_first"))
-    along = Window.partitionBy("_slot.key").orderBy("_slot.start")
-    following = starts.select("_slot", F.lead("_first").over(along).alias("_following"))
-    within = Window.partitionBy("_slot").orderBy("_moment.at")
-    return (
-        found.withColumn("_inside", F.lead(at).over(within))
-        .join(following, "_slot")
-        .select("_moment", "_end", F.coalesce("_inside", "_following").alias("_next"))
-    )
+    return cold.unionByName(carried.select(*cold.columns))
+
+
+def ordered_pieces(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows cut into pieces of like size, each wholly before the next in ``order``, as a written
+    table with ``_piece`` and a ``_row`` that tells equal rows apart.
+
+    Rows are numbered by their content inside an input partition, so that one read again after
+    an executor was lost numbers them alike. Written, since a second pass would sample other
+    borders.
+    """
+    content = [F.col(f"`{field.name}`") for field in rows.schema if "map<" not in field.dataType.simpleString()]
+    numbered = rows.sortWithinPartitions(F.xxhash64(*content)).withColumn("_row", F.monotonically_increasing_id())
+    cut = numbered.repartitionByRange(*order, "_row").withColumn("_piece", F.spark_partition_id())
+    return written(cut, "pieces")
 
 
 def followed_within(end: Column, following: Column, days: int) -> Column:

@@ -72,6 +72,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame`` as a Parquet table in the shared folder: lineage ends there, and executors
+    lost later cost only a read. It stays until that folder is cleared."""
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def inline(spark: SparkSession, rows: Sequence[tuple], columns: StructType) -> DataFrame:
     """A few constant rows as part of the plan, so that Spark knows how small they are."""
     values = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
