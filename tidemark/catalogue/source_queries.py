@@ -18,7 +18,7 @@ from tidemark.operators.reconcile import tagged_union
 from tidemark.plans import bronze, kpis, silver
 from tidemark.plans.model import AUDIENCES, DIAGNOSTICS, DROP_FILES
 from tidemark.plans.warehouse import Warehouse
-from tidemark.sources import audit, drops, publish, tables
+from tidemark.sources import audit, drops, publish, splitting, tables
 from tidemark.sources.ingest import Lake, ingest
 from tidemark.streaming.alerts import maintain_daily_alerts
 from tidemark.streaming.arrivals import ingest_arrivals
@@ -55,6 +55,19 @@ def _(t: Inputs) -> DataFrame:
     return patients.select("nir", "nom", "prenom")
 
 
+@query(
+    "src_1_csv_split_records",
+    o.sql("SELECT nir, replace(nom, ', ', ',' || chr(10)) AS nom, prenom FROM ev_patients"),
+)
+def _(t: Inputs) -> DataFrame:
+    """Every record runs over a line break in quotes, and files are still read in splits."""
+    broken = F.replace("nom", F.lit(", "), F.lit(",\n"))
+    root = drop_csv(t.activity.raw_patients.withColumn("nom", broken), t.scratch("csv"), "patients")
+    paths = [f"{root}/patients/*/*.csv"]
+    patients = splitting.split_csv(t.spark, paths, FILES["patients"].schema, drops.csv_options(True))
+    return patients.select("nir", "nom", "prenom")
+
+
 @query("src_2_parquet_scan", o.sql("SELECT stay_id, ts, heart_rate, spo2 FROM mon_bronze"))
 def _(t: Inputs) -> DataFrame:
     root = t.scratch("parquet")
@@ -96,6 +109,20 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("src_3_json_split_array", o.sql("SELECT stay_id, code_cim10, type FROM cl_diag"))
+def _(t: Inputs) -> DataFrame:
+    """Files holding one printed array each, read in splits of their lines."""
+    root, raw = t.scratch("json"), t.clinic.raw_diagnostics
+    part = F.coalesce(F.pmod(F.xxhash64("stay_id"), F.lit(64)), F.lit(0)).alias("part")
+    whole = raw.groupBy(part).agg(F.collect_list(F.struct("stay_id", "diagnostics")).alias("all"))
+    printed = whole.select("part", F.to_json("all", {"pretty": "true"}).alias("value"))
+    printed.write.partitionBy("part").text(root)
+    read = splitting.split_json(t.spark, [f"{root}/part=*"], DIAGNOSTICS)
+    return read.select("stay_id", F.explode("diagnostics").alias("d")).select(
+        "stay_id", "d.code_cim10", "d.type"
+    )
+
+
 @query(
     "src_4_path_date",
     o.sql("SELECT stay_id, CAST(admission_ts AS DATE) AS business_date FROM ev_bronze"),

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.sources.splitting import split_csv, split_json
+
 DATE_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
 DROP_IN_PATH = r"([^/]+/[^/]*\d{4}-\d{2}-\d{2}[^/]*/[^/]+)$"
 
@@ -94,14 +96,33 @@ def read_files(
     json_lines: bool = False,
     multi_line: bool = True,
 ) -> list[DataFrame]:
-    """The files of one kind; in several parts where they carry differing types themselves."""
-    if format == "csv":
-        return [read_csv(spark, path, columns, multi_line)]
-    if format == "json":
-        return [read_json(spark, path, columns, multi_line=not json_lines)]
+    """The files of one kind; in several parts where they carry differing types themselves, or
+    where some are larger than one task should read and records run over lines."""
+    if format == "csv" and not multi_line:
+        return [read_csv(spark, path, columns)]
+    if format == "json" and json_lines:
+        return [read_json(spark, path, columns, multi_line=False)]
+    if format in ("csv", "json"):
+        one_task, many_tasks = by_length(spark, path)
+        whole, split = (read_csv, split_csv) if format == "csv" else (read_json, split_json)
+        parts = [whole(spark, one_task, columns, multi_line=True)] if one_task else []
+        extra = [csv_options(True)] if format == "csv" else []
+        return parts + ([split(spark, many_tasks, columns, *extra)] if many_tasks else [])
     return read_parquet_by_type(spark, path) if columns is None else [read_parquet(spark, path, columns)]
 
 
+def by_length(spark: SparkSession, path: str | Sequence[str]) -> tuple[str | Sequence[str], list[str]]:
+    """Files that one task may read, and those longer than a split. As a rule none is, and the
+    first are what was given."""
+    found = listing(spark, path)
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    large = [row.path for row in found.filter(F.col("length") > split).select("path").collect()]
+    if not large:
+        return path, []
+    others = found.filter(F.col("length") <= split).select("path")
+    return [row.path for row in others.collect()], large
+
+
 def if_present(read, *args, **kwargs) -> DataFrame | None:
     """None when no file matches: a source may well skip a day."""
     try:
@@ -112,7 +133,7 @@ def if_present(read, *args, **kwargs) -> DataFrame | None:
         raise
 
 
-def listing(spark: SparkSession, path: str) -> DataFrame:
+def listing(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Path, size and time of the files under ``path``; their content is not read."""
     return (
         spark.read.format("binaryFile")

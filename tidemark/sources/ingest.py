@@ -75,7 +75,7 @@ class Lake:
 def prepare(rows: DataFrame, file: DropFile, salt: str) -> DataFrame:
     """Hidden identities plus each row's drop date and file; nothing is written before this."""
     own = (
-        [F.col(name) for name in rows.columns]
+        [F.col(name) for name in rows.columns if name != "_metadata"]
         if file.stored is None
         else [F.col(field.name).try_cast(field.dataType).alias(field.name) for field in file.stored]
     )
