@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalogue import oracle as o
+from tidemark.catalogue.kpi_queries import mart
 from tidemark.catalogue.registry import Inputs, query
 from tidemark.functions.coding import SEX_SYNONYMS, normalise_code
 from tidemark.operators import quality, reconcile
@@ -407,35 +408,80 @@ def _(t: Inputs) -> DataFrame:
     return found.groupBy("anomalie", "code").agg(F.count("*").alias("n"))
 
 
+def chain_sql(facts: str, observed: str, reference: str, code: str) -> str:
+    return f"""SELECT (SELECT count(*) FROM {facts} WHERE {code} NOT IN (SELECT {code} FROM {observed}))
+                    + (SELECT count(*) FROM {observed} WHERE {code} NOT IN (SELECT {code} FROM {reference}))"""
+
+
+REPORTED = (
+    ("readmission_30j_numerateur", -1.0, 0.0),
+    ("dms_1_jours", 0.0, 1000.0),
+    ("urgences_1990-01-01_passages", 46.0, 0.0),
+)
+
+
 @query(
     "chk_13_checks_report",
     o.sql(
         verdict_sql(
             **{
-                "01_fact_vs_silver_sejours": "SELECT 0",
-                "02_sejours_conservation": "SELECT 0",
-                "05_coherence_temporelle": "SELECT 0",
-                "06_urgences_reconciliation": "SELECT 0",
-                "07_monitoring_borne": "SELECT 0",
-                "07_monitoring_brut": f"SELECT count(*) FROM mon_bronze WHERE {o.OUT_OF_RANGE}",
+                "01_fact_vs_silver_sejours": DIFFER.format(
+                    "SELECT count(*) FROM cl_fact", "SELECT count(*) FROM cl_stays"
+                ),
+                "02_sejours_conservation": """SELECT count(*) FROM cl_stays
+                    WHERE stay_id NOT IN (SELECT stay_id FROM cl_bronze)
+                       OR stay_id IN (SELECT natural_key FROM cl_stay_rejects)""",
+                "03_patients_dedup": DIFFER.format(
+                    "SELECT count(DISTINCT patient_hash) FROM cl_versions", "SELECT count(*) FROM cl_patients"
+                ),
+                "04_kanonymat": f"""SELECT (SELECT count(*) FROM ({o.prevalence(1)}) WHERE nb_patients < 5)
+                    + (SELECT count(*) FROM ({o.cohorte(1)}) WHERE nb_patients < 5)""",
+                "05_coherence_temporelle": """SELECT count(*) FROM cl_stays
+                    WHERE los_hours < 0 OR discharge_ts < admission_ts""",
+                "06_urgences_reconciliation": DIFFER.format(
+                    f"SELECT coalesce(sum(nb_passages), 0) FROM ({o.urgences_jour('cl_measures', '1')})",
+                    "SELECT count(*) FROM cl_fact WHERE service_code = '1'",
+                ),
+                "07_monitoring_borne": f"SELECT count(*) FROM mon_bronze WHERE {o.OUT_OF_RANGE}",
+                "08_pathologies_integrite": chain_sql("cl_silver_diag", "cl_dim_cim10", "cl_cim10", "code_cim10"),
+                "09_corrige_niveau1": f"""SELECT 1 + (SELECT count(*) FROM ({o.readmission('cl_measures', 30)})
+                    WHERE nb_readmissions_30j <> -1)""",
+                "10_fact_acte_vs_silver": DIFFER.format(
+                    "SELECT count(*) FROM cl_fact_acte", "SELECT count(*) FROM cl_silver_actes"
+                ),
+                "11_actes_service_provenance": """SELECT count(*)
+                    FROM (SELECT DISTINCT stay_id, service_code FROM cl_fact_acte) a
+                    JOIN cl_fact f ON f.stay_id = a.stay_id WHERE a.service_code <> f.service_code""",
+                "12_ccam_integrite": chain_sql("cl_silver_actes", "cl_dim_ccam", "cl_ccam", "code_ccam"),
             }
         )
     ),
 )
 def _(t: Inputs) -> DataFrame:
-    a = t.activity
-    fact, stays = a.fact_sejour, a.sejours
+    """All twelve checks over one warehouse; unmasked cohorts, raw readings and wrong published
+    figures break three of them."""
+    c = t.clinic
+    bronze = {
+        "sejours": c.bronze_sejours,
+        "patients": c.bronze_patients,
+        "ref_cim10": c.ref_cim10,
+        "ref_ccam": c.ref_ccam,
+    }
+    kept = {
+        "sejours": c.sejours.kept,
+        "patients": c.patients.kept,
+        "monitoring": t.activity.bronze_monitoring,
+        "diagnostics": c.diagnostics.kept,
+        "pathologies": c.dim_cim10,
+        "actes": c.actes.kept,
+        "ccam": c.dim_ccam,
+    }
+    gold = {"fact_sejour": c.fact_sejour, "fact_acte": c.fact_acte}
+    shown = ("readmission_30j", "dms", "alertes_constantes", "urgences_jour")
+    marts = {f"kpi_pilotage_{name}": mart(t, f"kpi_pilotage_{name}") for name in shown} | {
+        "kpi_recherche_prevalence": kpis.prevalence(c.diagnostics.kept, c.ref_cim10, 1),
+        "kpi_recherche_cohorte_age_sexe": kpis.cohorte_age_sexe(c.diagnostics.kept, c.dim_patient, 1),
+    }
     return reconcile.report(
-        {
-            "01_fact_vs_silver_sejours": checks.fact_vs_silver_sejours(fact, stays.kept),
-            "02_sejours_conservation": checks.sejours_conservation(
-                stays.kept, a.bronze_sejours, stays.rejects
-            ),
-            "05_coherence_temporelle": checks.coherence_temporelle(stays.kept),
-            "06_urgences_reconciliation": checks.urgences_reconciliation(
-                kpis.urgences_jour(fact, "signup"), fact, "signup"
-            ),
-            "07_monitoring_borne": checks.monitoring_borne(a.monitoring.kept),
-            "07_monitoring_brut": checks.monitoring_borne(a.bronze_monitoring),
-        }
+        checks.all_checks(bronze, kept, gold, c.sejours.rejects, marts, REPORTED, "1")
     )

@@ -7,17 +7,19 @@ folder, and read back.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalogue import oracle as o
-from tidemark.catalogue.kpi_queries import mart
 from tidemark.catalogue.registry import Inputs, query
+from tidemark.catalogue.rule_queries import PATIENT_REJECTS, SERVICE_REJECTS
 from tidemark.functions.timestamps import day_key
 from tidemark.operators.reconcile import tagged_union
 from tidemark.plans import bronze, kpis, silver
 from tidemark.plans.model import AUDIENCES, DIAGNOSTICS, DROP_FILES
 from tidemark.plans.warehouse import Warehouse
+from tidemark.session import side_by_side
 from tidemark.sources import audit, drops, publish, splitting, tables
 from tidemark.sources.ingest import Lake, ingest
 from tidemark.streaming.alerts import maintain_daily_alerts
@@ -123,6 +125,33 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+CUSTOMER_LINE = "c_custkey || '|' || c_name || '|' || coalesce(c_mktsegment, '')"
+
+
+@query(
+    "cry_2_file_digests",
+    f"""WITH written AS (
+            SELECT c_nationkey, {CUSTOMER_LINE} AS line,
+                   (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 8 AS chunk, c_custkey
+            FROM customer),
+        chunks AS (
+            SELECT c_nationkey, chunk, sha256(string_agg(sha256(line), '' ORDER BY c_custkey)) AS digest,
+                   sum(strlen(line) + 1)::BIGINT AS size
+            FROM written GROUP BY 1, 2)
+        SELECT 'c_nationkey=' || c_nationkey AS folder, sum(size)::BIGINT AS length,
+               sha256(sum(size)::BIGINT || ':' || string_agg(digest, '' ORDER BY chunk)) AS sha256
+        FROM chunks GROUP BY c_nationkey""",
+)
+def _(t: Inputs) -> DataFrame:
+    """One file per nation, in the order of its customers, digested in chunks of eight lines."""
+    root = t.scratch("digests")
+    lines = t.customer.select("c_nationkey", "c_custkey", F.expr(CUSTOMER_LINE).alias("value"))
+    ordered = lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.select("value", "c_nationkey").write.partitionBy("c_nationkey").text(root)
+    digests = splitting.file_digests(t.spark, [f"{root}/*"], chunk=8)
+    return digests.select(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("folder"), "length", "sha256")
+
+
 @query(
     "src_4_path_date",
     o.sql("SELECT stay_id, CAST(admission_ts AS DATE) AS business_date FROM ev_bronze"),
@@ -241,11 +270,23 @@ AUDIENCE_SQL = " UNION ALL ".join(
 
 @query("src_13_audience_publish", o.sql(AUDIENCE_SQL))
 def _(t: Inputs) -> DataFrame:
-    """Each audience's folder holds its own marts; their rows are counted from there."""
-    root = t.scratch("published")
+    """Facts and dimensions are written once, and the marts published from them; each audience's
+    folder holds its own, whose rows are counted from there."""
+    c, house, root = t.clinic, t.scratch("gold"), t.scratch("published")
+    built = {
+        "fact_sejour": c.stay_measures,
+        "fact_acte": c.fact_acte,
+        "dim_service": c.dim_service,
+        "dim_patient": c.dim_patient,
+        "diagnostics": c.diagnostics.kept,
+        "monitoring": t.activity.monitoring.kept,
+    }
+    side_by_side(partial(tables.rebuild, df, f"{house}/{name}") for name, df in built.items())
+    gold = {name: tables.read(t.spark, f"{house}/{name}") for name in built}
+    marts = kpis.marts(gold | {"dim_ccam": c.ref_ccam, "dim_cim10": c.ref_cim10}, gold, emergency_service="1")
     counts = []
     for audience, names in AUDIENCES.items():
-        publish.publish(audience, {name: mart(t, name) for name in names}, root)
+        publish.publish(audience, {name: marts[name] for name in names}, root)
         for name in names:
             rows = tables.read(t.spark, f"{root}/{audience}/{name}")
             counts.append(
@@ -267,6 +308,8 @@ def step_sql(step: str, given: str, kept: str, rejected: str) -> str:
     o.sql(
         " UNION ALL ".join(
             [
+                step_sql("patients", "cl_versions", "cl_patients", f"({PATIENT_REJECTS})"),
+                step_sql("services", "cl_services", "cl_dim_service", f"({SERVICE_REJECTS})"),
                 step_sql("sejours", "ev_bronze", "ev_stays", "ev_rejects"),
                 step_sql(
                     "monitoring",
@@ -274,24 +317,26 @@ def step_sql(step: str, given: str, kept: str, rejected: str) -> str:
                     "mon_silver",
                     f"(SELECT 1 FROM mon_bronze WHERE {o.OUT_OF_RANGE})",
                 ),
+                step_sql("diagnostics", "cl_diag", "cl_silver_diag", "cl_diag_rejects"),
                 step_sql("actes", "cl_actes", "cl_silver_actes", "cl_acte_rejects"),
             ]
         )
     ),
 )
 def _(t: Inputs) -> DataFrame:
-    """A tracked job appends its steps' counts; they are read back from the audit table."""
+    """A tracked job appends its six steps' counts; they are read back from the audit table."""
     a, c, path = t.activity, t.clinic, t.scratch("audit")
     steps = {
+        "patients": (c.bronze_patients, c.patients),
+        "services": (c.ref_services, c.services),
         "sejours": (a.bronze_sejours, a.sejours),
         "monitoring": (a.bronze_monitoring, a.monitoring),
+        "diagnostics": (c.bronze_diagnostics, c.diagnostics),
         "actes": (c.bronze_actes, c.actes),
     }
+    counted = [audit.step_counts(step, given, cleaned.kept, cleaned.rejects) for step, (given, cleaned) in steps.items()]
     with audit.tracked(t.spark, f"{path}/runs", "transform", "silver"):
-        for step, (given, cleaned) in steps.items():
-            tables.append(
-                audit.step_counts(step, given, cleaned.kept, cleaned.rejects), f"{path}/steps"
-            )
+        tables.append(tagged_union(counted).coalesce(1), f"{path}/steps")
     return t.spark.read.parquet(f"{path}/steps")
 
 

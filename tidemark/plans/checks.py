@@ -174,7 +174,13 @@ def actes_service_provenance(fact_acte: DataFrame, fact_sejour: DataFrame) -> Da
 
 
 def all_checks(
-    bronze: Tables, silver: Tables, gold: Tables, rejects: DataFrame, marts: Tables, golden=None
+    bronze: Tables,
+    silver: Tables,
+    gold: Tables,
+    rejects: DataFrame,
+    marts: Tables,
+    golden=None,
+    emergency_service: str = EMERGENCY_SERVICE,
 ) -> dict[str, DataFrame]:
     """The checks by name; the golden one only where its frozen data set is loaded."""
     prevalence, cohortes = marts["kpi_recherche_prevalence"], marts["kpi_recherche_cohorte_age_sexe"]
@@ -187,7 +193,7 @@ def all_checks(
         "04_kanonymat": kanonymat(prevalence, cohortes),
         "05_coherence_temporelle": coherence_temporelle(silver["sejours"]),
         "06_urgences_reconciliation": urgences_reconciliation(
-            marts["kpi_pilotage_urgences_jour"], gold["fact_sejour"]
+            marts["kpi_pilotage_urgences_jour"], gold["fact_sejour"], emergency_service
         ),
         "07_monitoring_borne": monitoring_borne(silver["monitoring"]),
         "08_pathologies_integrite": pathologies_integrite(
