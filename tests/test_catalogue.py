@@ -52,7 +52,7 @@ def test_entry(spark):
 HEATED = (
     "join_1_link_facts join_1_link_hot_customers join_7_orphans win_1_next_event win_1_next_event_hot_keys kpi_3_readmission_30d "
     "kpi_7_prevalence_k5 kpi_10_acts_per_service kpi_13_billing_by_service bld_4_diagnostics bld_5_procedures bld_8_fact_stays "
-    "rul_14_rejects_summary chk_9_golden_values chk_10_procedures_vs_silver src_14_audit_step_counts stm_3_warehouse_replay"
+    "rul_14_rejects_summary chk_9_golden_values chk_10_procedures_vs_silver src_14_audit_step_counts"
 ).split()
 
 

@@ -10,8 +10,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark.plans import kpis, silver
 from tidemark.plans.model import DROP_FILES
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
 from tidemark.sources import drops, ingest, snapshots, tables
 from tidemark.sources.ingest import Lake
 
@@ -218,3 +219,43 @@ def test_a_failed_write_leaves_nothing_to_read(spark, tmp_path):
     with pytest.raises(PySparkException):
         tables.rebuild(spark.range(5).select(F.raise_error(F.lit("stop")).alias("id")), path)
     assert drops.if_present(tables.read, spark, path) is None
+
+
+def read_by(df):
+    """The drop dates that a plan reads, by its partition filters."""
+    return {str(row.business_date) for row in df.select("business_date").distinct().collect()}
+
+
+def test_a_day_reads_its_own_snapshot_and_partials(spark, tmp_path, monkeypatch):
+    """A new day merges into the kept state without the older snapshots of patients, and makes
+    its own partials; marts equal those computed from all facts."""
+    daily = Warehouse(spark, str(tmp_path / "drops"), str(tmp_path / "house"), "a-secret-salt", as_of_year=2026, k=1)
+    stated, parts = [], []
+    state, made = silver.patient_state, Warehouse.parts
+    monkeypatch.setattr(silver, "patient_state", lambda rows: stated.append(read_by(rows)) or state(rows))
+    monkeypatch.setattr(Warehouse, "parts", lambda self, days=None: parts.append(days) or made(self, days))
+
+    def equal():
+        facts = {name: daily.table(f"gold/{name}") for name in GOLD_TABLES}
+        cleaned = {name: daily.table(f"silver/{name}") for name in SILVER_TABLES}
+        kept = ("alertes_constantes", "actes_service", "actes_type", "montant_t2a", "prevalence", "cohorte_age_sexe")
+        for name, mart in kpis.marts(facts, cleaned, 1).items():
+            if not name.endswith(kept):
+                continue
+            assert sorted(map(repr, mart.collect())) == sorted(map(repr, daily.marts()[name].collect())), name
+        plain = silver.patients(daily.dated("bronze/patients"), 2026)
+        kept = daily.table("silver/patients")
+        assert sorted(map(repr, plain.kept.collect())) == sorted(map(repr, kept.collect()))
+
+    for day in range(3):
+        hospital.write_day(tmp_path / "drops", day)
+        daily.replay(hospital.DAYS[day])
+    assert stated[1:] == [{day} for day in hospital.DAYS[1:3]]
+    # the first day is a full build; a later one also takes in days whose facts it completes
+    assert parts[0] is None and all(date.fromisoformat(day) in some for day, some in zip(hospital.DAYS[1:], parts[1:], strict=True))
+    again = tmp_path / "drops/patients" / hospital.DAYS[1] / "patients.csv"
+    lines = again.read_text().splitlines()
+    again.write_text("\n".join(lines[:-3]) + "\n")
+    daily.replay(hospital.DAYS[1])
+    assert stated[-1] == set(hospital.DAYS[:3])
+    equal()

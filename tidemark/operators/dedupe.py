@@ -19,13 +19,39 @@ def latest_per_key(
     key with millions of versions costs one row per task; a window would bring them all
     to one. Further ``version`` columns break ties of the first.
     """
+    state = latest_state(df, key, version, columns)
+    return state.select(*[name for name in state.columns if not name.endswith(SINCE)])
+
+
+# Ends the name of the column that holds the version a value is from.
+SINCE = "_since"
+
+
+def latest_state(
+    df: DataFrame,
+    key: str | Sequence[str],
+    version: Sequence[str],
+    columns: Mapping[str, Column] | Sequence[str],
+) -> DataFrame:
+    """``latest_per_key`` with the version of each value beside it, so that it can be kept and
+    merged with the state of rows that come later."""
     if not isinstance(columns, Mapping):
         columns = {name: F.col(name) for name in columns}
     newest = F.struct(*version) if len(version) > 1 else F.col(version[0])
-    # An aggregate ignores the rows where the ordering is NULL, hence the CASE.
-    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(
-        *[
-            F.max_by(value, F.when(value.isNotNull(), newest)).alias(name)
-            for name, value in columns.items()
-        ]
-    )
+    kept = []
+    for name, value in columns.items():
+        # An aggregate ignores the rows where the ordering is NULL, hence the CASE.
+        known = F.when(value.isNotNull(), newest)
+        kept += [F.max_by(value, known).alias(name), F.max(known).alias(f"{name}{SINCE}")]
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(*kept)
+
+
+def merged_state(one: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The state of all rows from the states of two parts of them."""
+    keys = [key] if isinstance(key, str) else list(key)
+    kept = []
+    for name in one.columns:
+        if name not in keys and not name.endswith(SINCE):
+            since = f"{name}{SINCE}"
+            kept += [F.max_by(name, since).alias(name), F.max(since).alias(since)]
+    return one.unionByName(other).groupBy(*keys).agg(*kept)

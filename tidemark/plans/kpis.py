@@ -98,11 +98,45 @@ def is_alert() -> Column:
     )
 
 
+# Kept partials: what marts add up, by the columns ``carried`` (a drop date). A mart takes the
+# facts or the partials made of them; a replaced date replaces its own partials only.
+
+
+def alert_parts(silver_monitoring: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Readings and alerts per day."""
+    return silver_monitoring.groupBy(*carried, day(F.col("ts")).alias("jour")).agg(
+        F.count("*").alias("nb_releves"), F.count_if(is_alert()).alias("nb_alertes")
+    )
+
+
+def act_parts(fact_acte: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Procedures and their amount per service and code."""
+    return fact_acte.groupBy(*carried, "service_code", "code_ccam").agg(
+        F.count("*").alias("nb_actes"), F.sum("tarif_euros").alias("montant_euros")
+    )
+
+
+def patient_pairs(silver_diagnostics: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Who has which code: distinct counts are not sums, but pairs of several dates merge."""
+    return silver_diagnostics.select(*carried, "code_cim10", "type", "patient_hash").distinct()
+
+
+def acts_by(acts: DataFrame, key: str) -> DataFrame:
+    """Procedures and their amount per key, from facts or their partials."""
+    kept = "nb_actes" in acts.columns
+    number = F.sum("nb_actes") if kept else F.count("*")
+    amount = F.sum("montant_euros" if kept else "tarif_euros")
+    return acts.groupBy(key).agg(number.alias("nb_actes"), amount.alias("montant_total_euros"))
+
+
 def alertes_constantes(silver_monitoring: DataFrame) -> DataFrame:
+    daily = (
+        silver_monitoring.groupBy("jour").agg(*[F.sum(n).alias(n) for n in ("nb_releves", "nb_alertes")])
+        if "nb_releves" in silver_monitoring.columns
+        else alert_parts(silver_monitoring)
+    )
     return (
-        silver_monitoring.groupBy(day(F.col("ts")).alias("jour"))
-        .agg(F.count("*").alias("nb_releves"), F.count_if(is_alert()).alias("nb_alertes"))
-        .withColumn("taux_alertes_pct", percent(F.col("nb_alertes"), F.col("nb_releves"), 1))
+        daily.withColumn("taux_alertes_pct", percent(F.col("nb_alertes"), F.col("nb_releves"), 1))
         .orderBy("jour")
     )
 
@@ -195,7 +229,7 @@ def activite_categorie(fact_sejour: DataFrame, dim_service: DataFrame) -> DataFr
 
 def actes_service(fact_acte: DataFrame, fact_sejour: DataFrame, dim_service: DataFrame) -> DataFrame:
     """Procedures per service and per stay: two facts, each aggregated before they meet."""
-    acts = fact_acte.groupBy("service_code").agg(F.count("*").alias("nb_actes"))
+    acts = acts_by(fact_acte, "service_code").drop("montant_total_euros")
     stays = fact_sejour.groupBy("service_code").agg(F.count("*").alias("nb_sejours"))
     joined = acts.join(stays, "service_code", "left").na.fill(0, ["nb_sejours"])
     return (
@@ -212,7 +246,7 @@ def actes_service(fact_acte: DataFrame, fact_sejour: DataFrame, dim_service: Dat
 
 
 def actes_type(fact_acte: DataFrame, dim_ccam: DataFrame) -> DataFrame:
-    per_code = fact_acte.groupBy("code_ccam").agg(F.count("*").alias("nb_actes"))
+    per_code = acts_by(fact_acte, "code_ccam")
     return (
         labelled(share_of_total(per_code, "nb_actes", "part_pct"), dim_ccam, "code_ccam", "libelle")
         .select("code_ccam", "libelle", "nb_actes", "part_pct")
@@ -222,7 +256,7 @@ def actes_type(fact_acte: DataFrame, dim_ccam: DataFrame) -> DataFrame:
 
 def densite_actes_lit(fact_acte: DataFrame, dim_service: DataFrame) -> DataFrame:
     """Procedures per bed; a service without known beds has none and comes last."""
-    acts = fact_acte.groupBy("service_code").agg(F.count("*").alias("nb_actes"))
+    acts = acts_by(fact_acte, "service_code")
     beds = dim_service.select("service_code", "service_label", "capacite_lits")
     return (
         lookup(acts, beds, "service_code")
@@ -238,9 +272,7 @@ def densite_actes_lit(fact_acte: DataFrame, dim_service: DataFrame) -> DataFrame
 
 
 def montant_t2a(fact_acte: DataFrame, dim_service: DataFrame) -> DataFrame:
-    billed = fact_acte.groupBy("service_code").agg(
-        F.count("*").alias("nb_actes"), F.sum("tarif_euros").alias("montant_total_euros")
-    )
+    billed = acts_by(fact_acte, "service_code")
     mean = ratio(F.col("montant_total_euros"), F.col("nb_actes"))
     return (
         labelled(billed, dim_service, "service_code", "service_label")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import cache, cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.coding import SEX_SYNONYMS, any_of, normalise_code, outside, within_or_null
 from tidemark.functions.numbers import number_text
 from tidemark.functions.timestamps import calendar_days, day, hours_between, second_text
 from tidemark.operators import quality
-from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.dedupe import latest_per_key, latest_state
 from tidemark.operators.linking import enrich_with_gaps, mark_known, observed_codes
 from tidemark.operators.quality import Rule
 from tidemark.operators.skew import heat, link
@@ -39,6 +39,19 @@ class Cleaned:
         return self._rejects()
 
 
+def patient_columns() -> dict[str, Column]:
+    return {
+        "birth_year": F.col("birth_year"),
+        "sex": normalise_code(F.col("sex"), SEX_SYNONYMS),
+        "region_code": F.col("region_code"),
+    }
+
+
+def patient_state(bronze: DataFrame, version: Sequence[str] = ("business_date",)) -> DataFrame:
+    """The newest known values of each patient and the drops they are from."""
+    return latest_state(bronze, "patient_hash", version, patient_columns())
+
+
 def patients(
     bronze: DataFrame, as_of_year: int, version: Sequence[str] = ("business_date",)
 ) -> Cleaned:
@@ -47,16 +60,11 @@ def patients(
     Years out of range are blanked and unknown sexes left '': both are journalled, the
     row stays.
     """
-    newest = latest_per_key(
-        bronze,
-        "patient_hash",
-        version,
-        {
-            "birth_year": F.col("birth_year"),
-            "sex": normalise_code(F.col("sex"), SEX_SYNONYMS),
-            "region_code": F.col("region_code"),
-        },
-    )
+    return judged_patients(latest_per_key(bronze, "patient_hash", version, patient_columns()), as_of_year)
+
+
+def judged_patients(newest: DataFrame, as_of_year: int) -> Cleaned:
+    """``patients`` from the newest values, however they were kept."""
     year = F.col("birth_year")
     rules = [
         Rule(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark.operators import quality, reconcile
+from tidemark.operators.dedupe import merged_state
 from tidemark.operators.measures import K_MIN
 from tidemark.plans import bronze, checks, gold, kpis, silver
 from tidemark.plans.model import AUDIENCES, DATE, DROP_FILES, STRING, DropFile, schema
@@ -37,10 +38,20 @@ JOURNAL = "clean/rejects"
 # The lake's files: those the last complete build covered, those the build in progress found.
 COVERED, FOUND = "meta/covered", "meta/found"
 LAKE_FILES = schema(path=STRING, business_date=DATE)
+# What marts add up, made of one drop date's rows of a table each.
+PARTS = {
+    "gold/part_alertes": ("silver/monitoring", kpis.alert_parts),
+    "gold/part_actes": ("gold/fact_acte", kpis.act_parts),
+    "gold/part_patients": ("silver/diagnostics", kpis.patient_pairs),
+}
+# The newest values of every patient, into which a date's snapshot merges.
+STATE = "bronze/patient_state"
 # Tables kept by drop date.
 DATED = {f"{layer}/{name}" for layer in ("bronze", "silver") for name in EVENTS} | {
+    "bronze/patients",
     "gold/fact_acte",
     JOURNAL,
+    *PARTS,
 }
 
 # Partition column (computed from the named one) and sort order of the large tables.
@@ -53,7 +64,8 @@ LAYOUT = {
     "gold/fact_acte": ("mois", "acte_date", "yyyyMM", ["service_code", "acte_date", "stay_id"]),
 }
 CLUSTERED = {
-    "bronze/patients": ["patient_hash", "business_date"],
+    "bronze/patients": ["patient_hash"],
+    STATE: ["patient_hash"],
     "bronze/sejours": ["stay_id"],
     "bronze/diagnostics": ["stay_id", "code_cim10"],
     "silver/patients": ["patient_hash"],
@@ -185,12 +197,14 @@ class Warehouse:
 
     def build_bronze(self) -> None:
         self.save_all({f"bronze/{name}": self.typed(name) for name in bronze.TABLES})
+        self.save(STATE, silver.patient_state(self.dated("bronze/patients")))
 
     def entities(self) -> dict[str, silver.Cleaned]:
         """What is built from all drops together."""
-        raw = self.layer("bronze", ("patients", "ref_services", "ref_service_desc"))
+        raw = self.layer("bronze", ("ref_services", "ref_service_desc"))
+        newest = self.table(STATE).select("patient_hash", *silver.patient_columns())
         return {
-            "patients": silver.patients(raw["patients"], self.as_of_year),
+            "patients": silver.judged_patients(newest, self.as_of_year),
             "services": silver.services(raw["ref_services"], raw["ref_service_desc"]),
         }
 
@@ -243,8 +257,13 @@ class Warehouse:
     def procedures(self, days: Sequence[date] | None = None) -> DataFrame:
         return gold.fact_acte(self.dated("silver/actes", days), self.table("silver/ccam"), [DROPPED])
 
+    def parts(self, days: Sequence[date] | None = None) -> dict[str, DataFrame]:
+        """The partials of some drop dates, or all."""
+        return {name: part(self.dated(source, days), [DROPPED]) for name, (source, part) in PARTS.items()}
+
     def build_gold(self) -> None:
         self.save_all(self.star() | {"gold/fact_acte": self.procedures()})
+        self.save_all(self.parts())
 
     # --- what builds cover ---------------------------------------------------------
 
@@ -285,7 +304,7 @@ class Warehouse:
     def extendable(self) -> bool:
         """Whether the last full build was completed, every table is there and the references
         say what they said before; a changed reference may judge any row of any day anew."""
-        names = DATED | {f"bronze/{name}" for name in bronze.TABLES} | {COVERED}
+        names = DATED | {f"bronze/{name}" for name in bronze.TABLES} | {STATE, COVERED}
         found = {name: if_present(self.stored, name) for name in names}
         if any(df is None or (name in DATED and DROPPED not in df.columns) for name, df in found.items()):
             return False
@@ -327,18 +346,16 @@ class Warehouse:
             self._build()
             return
         days = sorted(found)
+        came = sorted(brought)
+        later = self.only_adds_patients(came)
         begun = inline(self.spark, [(each,) for each in days], schema(business_date=DATE))
         tables.append(begun.coalesce(1), self.unfinished)
-        came = sorted(brought)
         side_by_side(
-            [
-                partial(self.save, "bronze/patients", landed["patients"]),
-                *[
-                    partial(self.save_days, f"bronze/{name}", came, landed[name].filter(F.col(DROPPED).isin(*came)))
-                    for name in EVENTS
-                ],
-            ]
+            partial(self.save_days, f"bronze/{name}", came, df.filter(F.col(DROPPED).isin(*came)))
+            for name, df in landed.items()
         )
+        state = silver.patient_state(self.dated("bronze/patients", came if later else None))
+        self.save(STATE, merged_state(self.table(STATE), state, "patient_hash") if later else state)
         steps = self.events(days)
         rejects = quality.journal([step.rejects for step in steps.values()])
         side_by_side(
@@ -354,8 +371,17 @@ class Warehouse:
         self.save_all(self.observed())
         self.save_all(self.star())
         self.save_days("gold/fact_acte", days, self.procedures(days))
+        side_by_side(partial(self.save_days, name, days, df) for name, df in self.parts(days).items())
         self.cover()
 
+    def only_adds_patients(self, days: Sequence[date]) -> bool:
+        """Whether snapshots of ``days`` can be merged into the kept state: none of them replaces
+        one that is in it, and no build was begun and left."""
+        held = snapshots.current(self.spark, f"{self.root}/bronze/patients").slices
+        names = {snapshots.slice_name(self.spark, [DROPPED], [day]) for day in days}
+        begun = tables.read_or_empty(self.spark, self.unfinished, schema(business_date=DATE))
+        return names.isdisjoint(held) and begun.isEmpty()
+
     # --- jobs ----------------------------------------------------------------------
 
     def count_steps(self, run_id: str) -> None:
@@ -400,7 +426,10 @@ class Warehouse:
                 self.count_steps(run_id)
 
     def marts(self) -> dict[str, DataFrame]:
-        return kpis.marts(self.layer("gold", GOLD_TABLES), self.layer("silver", SILVER_TABLES), self.k)
+        """The marts; those of readings, procedures and diagnoses add up the kept partials."""
+        alerts, acts, pairs = (self.table(name) for name in PARTS)
+        kept = {"monitoring": alerts, "diagnostics": pairs}
+        return kpis.marts(self.layer("gold", GOLD_TABLES) | {"fact_acte": acts}, self.layer("silver", SILVER_TABLES) | kept, self.k)
 
     def checks(self, golden=None) -> dict[str, DataFrame]:
         return checks.all_checks(
