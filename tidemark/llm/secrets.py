@@ -3,7 +3,8 @@
 Two first-order models give the likelihood of a token's characters, each given the one
 before it: one of random strings, one of ordinary identifiers. Both are trained on samples
 that the fixed patterns label in the whole corpus: what the patterns catch is random, every
-other token is ordinary. A token, or what the patterns left of it, is reported when its total
+other token is ordinary, and so are identifiers made of those words by the usual rules of
+naming (see ``named``). A token, or what the patterns left of it, is reported when its total
 log-likelihood ratio and its mean per character say random.
 """
 
@@ -29,10 +30,15 @@ HEX = re.compile(r"[0-9a-f]+")
 #: Runs without 32 such characters are never looked at by Python code.
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "markov")
-LEAST_ASSIGNED, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
-
-#: Tokens the models are trained on and judge.
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
+
+#: Least total log-likelihood ratio of a token, and least mean per character. A transition counts
+#: MOST at most, since the ratio of one that is in no sample comes from smoothing alone.
+TOTAL, THRESHOLD, MOST = 15.0, 0.75, 3.0
+#: Tokens the models are trained on and judge; no shorter one can reach the total.
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % -(-TOTAL // MOST))
+#: Random by nature, but a name: a UUID is ordinary.
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: The models' alphabet; a start symbol comes before it, anything else after it.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 2
@@ -40,10 +46,9 @@ _CODES = np.full(128, STATES - 1, dtype=np.int64)
 _CODES[[ord(letter) for letter in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
 #: Counts added to each following character on average; chance of a sign in random strings.
 SMOOTHING, RARE = 0.5, 1e-4
-#: Least mean log-likelihood ratio per character. The total is at least that of LEAST_TOKEN such
-#: characters, so a shorter token needs a higher mean; there a transition counts MOST at most,
-#: since the ratio of one that is in no sample comes from smoothing alone.
-THRESHOLD, LEAST_TOKEN, MOST = 0.75, 20, 3.0
+#: Identifiers of each style of naming for one word of the corpus, and how often a word of one
+#: ends with a digit.
+NAMED, NUMBERED = 0.05, 0.1
 
 Span = tuple[int, int, int]
 
@@ -128,6 +133,59 @@ def learn(docs: DataFrame) -> np.ndarray:
     return ratios_from(counts[1], counts[0])
 
 
+def named(ordinary: np.ndarray) -> np.ndarray:
+    """Expected transitions in identifiers made of the corpus's words.
+
+    Words follow each other as in camelCase, PascalCase, snake_case, CONSTANT_CASE, kebab-case
+    and paths, some with a number at the end; each style has NAMED words for a word of the
+    corpus. Counted from how words begin, go on and end there, whatever their case.
+    """
+    lower = np.array([ALPHABET.index(letter) + 1 for letter in "abcdefghijklmnopqrstuvwxyz"])
+    upper = np.array([ALPHABET.index(letter) + 1 for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+    digit = np.array([ALPHABET.index(number) + 1 for number in "0123456789"])
+    inside = sum(ordinary[np.ix_(one, other)] for one in (lower, upper) for other in (lower, upper))
+    begin = ordinary[0, lower] + ordinary[0, upper]
+    held = inside.sum(axis=0) + begin
+    end = np.maximum(held - inside.sum(axis=1), 0)
+    words = max(begin.sum(), 1.0)
+    begin, end = begin / words, end / max(end.sum(), 1.0)
+    inside = inside / words
+    onward = inside / np.maximum(inside.sum(axis=1, keepdims=True), 1e-9)
+    found = np.zeros((STATES, STATES))
+
+    def word(letters: np.ndarray, first: np.ndarray) -> None:
+        """One word; where its first letter has another case, so has what follows it."""
+        found[np.ix_(letters, letters)] += inside
+        if first is not letters:
+            found[np.ix_(first, letters)] += begin[:, None] * onward
+
+    def joined(last: np.ndarray, sign: str, first: np.ndarray) -> None:
+        """The end of one word, a sign or none, and the beginning of the next."""
+        for tail, share in ((last, 1 - NUMBERED), (digit, NUMBERED)):
+            ends = end * share if tail is last else np.full(len(digit), share / len(digit))
+            if sign:
+                at = ALPHABET.index(sign) + 1
+                found[tail, at] += ends
+                found[at, first] += begin * share
+            else:
+                found[np.ix_(tail, first)] += ends[:, None] * begin
+        found[np.ix_(last, digit)] += end[:, None] * NUMBERED / len(digit)
+        found[np.ix_(digit, digit)] += NUMBERED / len(digit) ** 2
+
+    for letters, sign, first in (
+        (lower, "", upper),
+        (lower, "", upper),
+        (lower, "_", lower),
+        (upper, "_", upper),
+        (lower, "-", lower),
+        (lower, "/", lower),
+    ):
+        word(letters, first)
+        joined(letters, sign, first)
+        found[0, first] += begin
+    return found * words * NAMED
+
+
 def ratios_from(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio of every transition from counts of both kinds of samples.
 
@@ -139,22 +197,22 @@ def ratios_from(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     uniform[1:63] = 1 / 62
     seen = random.sum(axis=1, keepdims=True)
     shown = np.where(seen > 0, random / np.maximum(seen, 1), uniform)
+    ordinary = ordinary + named(ordinary)
     following = ordinary.sum(axis=0) + SMOOTHING
     smooth = ordinary + SMOOTHING * STATES * following / following.sum()
-    return (np.log((shown + uniform) / 2) - np.log(smooth / smooth.sum(axis=1, keepdims=True))).ravel()
+    ratios = np.log((shown + uniform) / 2) - np.log(smooth / smooth.sum(axis=1, keepdims=True))
+    return np.minimum(ratios, MOST).ravel()
 
 
-def all_spans(text: str, ratios: np.ndarray, threshold: float = THRESHOLD, least: int = LEAST_TOKEN) -> list[Span]:
+def all_spans(text: str, ratios: np.ndarray, threshold: float = THRESHOLD, total: float = TOTAL) -> list[Span]:
     """Base spans and the tokens that the models call random, by start, then kind."""
     spans = base_spans(text)
-    places = list(_outside(text, spans))
+    places = [(start, end) for start, end in _outside(text, spans) if not UUID.fullmatch(text, start, end)]
     if not places:
         return spans
     tokens = [text[start:end] for start, end in places]
     sizes = np.array([end - start for start, end in places])
-    random = _totals(tokens, ratios) >= threshold * np.maximum(sizes, least)
-    if (random & (sizes < least)).any():
-        random &= (sizes >= least) | (_totals(tokens, np.minimum(ratios, MOST)) >= threshold * least)
+    random = _totals(tokens, ratios) >= np.maximum(threshold * sizes, total)
     more = [(places[n][0], 3, places[n][1]) for n in np.flatnonzero(random).tolist()]
     return sorted(spans + more) if more else spans
 
