@@ -104,7 +104,7 @@ def _taken(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, copies, taken``.
+    """One row per document: ``doc_id, size, source_size, target, taken, copies``.
 
     ``size`` counts words; a null or empty text has none and may still be copied, which takes
     no words. A null source is a source. Equal documents, and equal rows, are taken
@@ -115,7 +115,7 @@ def mix(docs: DataFrame) -> DataFrame:
     ready(docs.sparkSession)
     rows = written(_sized(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    return _taken(rows).select("doc_id", "size", "source_size", "target", "copies", taken)
+    return _taken(rows).select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

@@ -184,7 +184,7 @@ best AS (
         SELECT source, n, abs(sum(copies * size)::BIGINT - any_value(target)) AS far FROM crossed GROUP BY source, n
     ) GROUP BY source
 )
-SELECT doc_id, size, source_size, target, copies, copies * size AS taken
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies
 FROM crossed JOIN best ON best.source IS NOT DISTINCT FROM crossed.source AND best.n = crossed.n
 """,
     "op6_bagminhash_classes": f"""
