@@ -4,15 +4,12 @@ Dynamic programming over the histogram of all lengths chooses the bucket boundar
 minimise padding; inside a bucket, batches take as many rows as fit the token budget when
 each is padded to the bucket's longest row.
 
-Boundaries are chosen among the ends of histogram bins: single lengths up to FINE, then bins
-of relative width 1 / FINE, so the histogram has some thousand bins whatever the corpus.
-A bin knows its row count, sum of lengths and longest row, so padding is counted exactly.
+The histogram has one row per length that occurs, and every length may end a bucket. Rows are
+numbered by length, then id, so reruns pack alike however the table is partitioned.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,38 +22,29 @@ from tidemark.session import inline
 BUCKETS = 16
 #: Padded tokens of one batch; a longer row has a batch of its own.
 BUDGET = 16384
-FINE = 256
-
 
-def length_bin(length: Column) -> Column:
-    """Histogram bin: the length itself up to FINE, then FINE bins to each doubling."""
-    octave = F.floor(F.log2(F.greatest(length, F.lit(FINE)).cast("double") / FINE))
-    step = F.pow(F.lit(2.0), octave)
-    return F.when(length <= FINE, length).otherwise(octave * FINE + F.floor(length / step))
 
+def best_buckets(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
+    """Last place of each bucket, in order, for the least padding; ``lengths`` rise.
 
-def best_buckets(counts: np.ndarray, sums: np.ndarray, longest: np.ndarray, buckets: int) -> list[int]:
-    """Last bin of each bucket, in order, for the least padding; bins are in order of length.
-
-    The padding of bins i..j in one bucket is ``longest[j] * rows - words``. ``best[j]`` is
-    the least padding of bins up to j; each round allows one bucket more.
+    The padding of places i..j in one bucket is ``lengths[j] * rows - words``. ``best[j]`` is
+    the least padding of the first j places; each round allows one bucket more. As the best
+    start of the last bucket never moves back when j grows, a round halves its ranges: all
+    middles of a level are solved at once, each within what its neighbours leave.
     """
-    bins = len(counts)
-    if not bins:
+    size = len(lengths)
+    if not size:
         return []
     rows = np.concatenate(([0], np.cumsum(counts)))
-    words = np.concatenate(([0], np.cumsum(sums)))
-    best = np.concatenate(([0.0], longest * rows[1:] - words[1:].astype(float)))
-    cuts = [np.zeros(bins + 1, dtype=np.int64)]
-    for _ in range(min(buckets, bins) - 1):
-        now, cut = np.zeros(bins + 1), np.zeros(bins + 1, dtype=np.int64)
-        for j in range(1, bins + 1):
-            cost = best[:j] + longest[j - 1] * (rows[j] - rows[:j]) - (words[j] - words[:j])
-            cut[j] = np.argmin(cost)
-            now[j] = cost[cut[j]]
+    words = np.concatenate(([0], np.cumsum(counts * lengths)))
+    tops = np.concatenate(([0], lengths))
+    best = tops * rows - words
+    cuts = [np.zeros(size + 1, dtype=np.int64)]
+    for _ in range(min(buckets, size) - 1):
+        now, cut = _one_more(best, tops, rows, words)
         best = now
         cuts.append(cut)
-    ends, j = [], bins
+    ends, j = [], size
     for cut in reversed(cuts):
         if j == 0:
             break
@@ -65,18 +53,45 @@ def best_buckets(counts: np.ndarray, sums: np.ndarray, longest: np.ndarray, buck
     return ends[::-1]
 
 
+def _one_more(best: np.ndarray, tops: np.ndarray, rows: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``best`` with one bucket more, and where the last bucket starts for each place."""
+    size = len(best) - 1
+    now, cut = np.zeros_like(best), np.zeros(size + 1, dtype=np.int64)
+    low, high = np.array([1]), np.array([size])  # open ranges of places, and of their starts
+    least, most = np.array([0]), np.array([size - 1])
+    while len(low):
+        middle = (low + high) // 2
+        width = np.minimum(most, middle - 1) - least + 1
+        first = np.cumsum(width) - width
+        which = np.repeat(np.arange(len(middle)), width)
+        start = np.arange(width.sum()) - first[which] + least[which]
+        j = middle[which]
+        cost = best[start] + tops[j] * (rows[j] - rows[start]) - (words[j] - words[start])
+        now[middle] = np.minimum.reduceat(cost, first)
+        hit = np.flatnonzero(cost == now[j])
+        found = start[hit[np.searchsorted(which[hit], np.arange(len(middle)))]]
+        cut[middle] = found
+        low, high, least, most = (
+            np.concatenate([low, middle + 1]),
+            np.concatenate([middle - 1, high]),
+            np.concatenate([least, found]),
+            np.concatenate([found, most]),
+        )
+        some = low <= high
+        low, high, least, most = low[some], high[some], least[some], most[some]
+    return now, cut
+
+
 def choose_boundaries(lengths: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket_start, bucket_length`` (shortest and longest bin length) per ``bucket``."""
+    """``bucket_start, bucket_length`` (shortest and longest length) per ``bucket``.
+
+    One row per distinct length is collected; n rows of distinct lengths hold n * n / 2 tokens
+    at least, so these are few whatever the corpus.
+    """
     spark = lengths.sparkSession
-    histogram = (
-        lengths.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
-        .agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("longest"))
-        .orderBy("bin")
-        .collect()  # one row per bin, see the module's text
-    )
-    columns = [np.array([row[name] for row in histogram], dtype=np.int64) for name in ("rows", "tokens", "longest")]
-    ends = best_buckets(*columns, buckets)
-    tops = [int(columns[2][end]) for end in ends]
+    histogram = lengths.groupBy("n_tokens").agg(F.count("*").alias("rows")).orderBy("n_tokens").toPandas()
+    found = histogram["n_tokens"].to_numpy(dtype=np.int64)
+    tops = [int(found[end]) for end in best_buckets(found, histogram["rows"].to_numpy(dtype=np.int64), buckets)]
     rows = [(number, ([-1, *tops])[number] + 1, top) for number, top in enumerate(tops)]
     fields = [StructField("bucket", IntegerType()), StructField("bucket_start", LongType()), StructField("bucket_length", LongType())]
     return inline(spark, rows, StructType(fields))
@@ -98,7 +113,9 @@ def pack(
     bounds = choose_boundaries(rows, buckets).collect()  # at most ``buckets`` rows
     tops = F.array(*[F.lit(row["bucket_length"]) for row in bounds]) if bounds else F.array(F.lit(0).cast("long"))
     bucket = F.size(F.filter(tops, lambda top: top < F.col("n_tokens"))).cast("int")
-    placed = numbered(rows.withColumn("bucket", bucket), ["bucket"], "packing")
+    order = ["n_tokens", "doc_id"]
+    ranged = rows.withColumn("bucket", bucket).repartitionByRange("bucket", *order)
+    placed = numbered(ranged, ["bucket"], "packing", order)
     top = F.element_at(tops, F.col("bucket") + 1).cast("long")
     fitting = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_length", F.lit(1))), F.lit(1)).cast("long")
     placed = placed.withColumn("bucket_length", top).withColumn("_fit", fitting)
