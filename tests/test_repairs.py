@@ -14,7 +14,7 @@ from tidemark.operators.measures import next_event
 from tidemark.operators.skew import hot_keys
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES
 from tidemark.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
-from tidemark.sources import tables
+from tidemark.sources import drops, tables
 from tidemark.sources.ingest import Lake
 from tidemark.streaming.arrivals import arriving
 
@@ -132,6 +132,29 @@ def test_mixed_parquet_types_in_one_batch(spark, tmp_path):
     assert table.select("business_date").distinct().count() == 3 and dict(table.dtypes)["heart_rate"] == "double"
 
 
+def test_types_that_differ_within_a_day(spark, tmp_path):
+    for day in range(3):
+        folder = tmp_path / "drops/monitoring" / hospital.DAYS[day]
+        folder.mkdir(parents=True)
+        frame = hospital.monitoring(day).dropna()
+        for number, kind in enumerate(("int64", "float64") if day == 1 else ("float64",)):
+            typed = frame.astype({"heart_rate": kind, "spo2": kind})
+            typed.to_parquet(folder / f"part-{number}.parquet", index=False, coerce_timestamps="us", allow_truncated_timestamps=True)
+    parts = drops.read_parquet_by_type(spark, str(tmp_path / "drops/monitoring/*/*.parquet"))
+    assert sorted(dict(part.dtypes)["spo2"] for part in parts) == ["bigint", "double"]
+    assert sum(part.count() for part in parts) == 4 * len(hospital.monitoring(0).dropna())
+    alike = drops.read_parquet_by_type(spark, str(tmp_path / "drops/monitoring" / hospital.DAYS[0] / "*.parquet"))
+    assert len(alike) == 1
+
+
+def test_files_that_no_drop_names(spark, tmp_path):
+    hospital.write_day(tmp_path / "drops", 0)
+    drop(tmp_path / "drops", "sejours", "2026-08-26", "sejours.csv.bak", "x")
+    drop(tmp_path / "drops", "surprise", "2026-08-26", "new.csv", "y")
+    found = house(spark, tmp_path).unclaimed().collect()
+    assert sorted(row.path.rpartition("/")[2] for row in found) == ["new.csv", "sejours.csv.bak"]
+
+
 def contents(warehouse):
     names = [f"{layer}/{name}" for layer, tables in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)) for name in tables]
     journal = warehouse.table("clean/rejects").drop("detected_at")

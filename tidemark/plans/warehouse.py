@@ -26,7 +26,7 @@ from tidemark.operators.measures import K_MIN
 from tidemark.plans import bronze, checks, gold, kpis, silver
 from tidemark.plans.model import AUDIENCES, DATE, DROP_FILES, STRING, DropFile, schema
 from tidemark.session import inline, side_by_side
-from tidemark.sources import audit, snapshots, tables
+from tidemark.sources import audit, drops, snapshots, tables
 from tidemark.sources.drops import if_present
 from tidemark.sources.ingest import FILE, Lake, ingest, pseudonymise, together
 from tidemark.sources.publish import publish
@@ -180,6 +180,16 @@ class Warehouse:
                 self.spark, self.drops, self.lake, dates or None, self.files, self.json_lines
             )
 
+    def unclaimed(self) -> DataFrame:
+        """``path, length`` of files in the drop tree that no kind of drop file names, so that
+        nothing dropped is passed over unseen."""
+        found = drops.listing(self.spark, self.drops).select("path", "length")
+        known = F.lit(False)
+        for file in self.files:
+            name = re.escape(file.pattern).replace(r"\*", "[^/]*")
+            known = known | F.col("path").rlike(rf"/{re.escape(file.source)}/[^/]*/{name}$")
+        return found.filter(~known)
+
     def landed(self, file: DropFile) -> DataFrame:
         """What the lake holds of one kind of file; no rows before the first one arrives."""
         present = if_present(tables.read, self.spark, self.lake.path(file))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -64,26 +64,52 @@ def read_parquet_by_type(spark: SparkSession, path: str | Sequence[str]) -> list
     """Parquet files as one DataFrame per set of column types.
 
     A writer may store a column as integers one day and as floats the next. Spark's tasks
-    compare the footers; only where they disagree is the list of files halved and compared
-    again, so files that agree cost one comparison.
+    compare the footers of all files; as a rule they agree, and nothing but the path given is
+    known here. Only where they disagree are their folders, one per drop date, halved and
+    compared again, and the files of a folder that disagrees in itself.
     """
     merging = spark.read.option("mergeSchema", True)
 
-    def runs(files: list[str]) -> list[tuple[StructType, list[str]]]:
+    def halves(paths: list[str]) -> tuple[list[str], list[str]]:
+        return paths[: len(paths) // 2], paths[len(paths) // 2 :]
+
+    def runs(paths: list[str], inner: Callable[[str], list[str]] | None) -> list[tuple[StructType, list[str]]]:
         try:
-            return [(merging.parquet(*files).schema, files)]
+            return [(merging.parquet(*paths).schema, paths)]
         except Py4JJavaError as error:
-            if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception) or len(files) == 1:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+                raise
+            if len(paths) > 1:
+                parts = halves(paths)
+                return runs(parts[0], inner) + runs(parts[1], inner)
+            if inner is None:
                 raise
-            half = len(files) // 2
-            return runs(files[:half]) + runs(files[half:])
+            one, other = halves(inner(paths[0]))
+            return runs(one, None) + runs(other, None)
+
+    def found(paths: str | list[str]) -> DataFrame:
+        return listing(spark, paths).select("path")
+
+    def files_of(folder: str) -> list[str]:
+        return [row.path for row in found(folder).orderBy("path").collect()]
+
+    def folders_of(whole: str) -> list[str]:
+        name = whole.rpartition("/")[2]
+        folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+        distinct = found(whole).select(F.concat(folder, F.lit(f"/{name}")).alias("path")).distinct()
+        return [row.path for row in distinct.orderBy("path").collect()]
 
     if isinstance(path, str):
-        found = listing(spark, path).select("path").orderBy("path").collect()
-        path = [row.path for row in found]
-    files = list(path)
+        try:
+            parts = [(merging.parquet(path).schema, [path])]
+        except Py4JJavaError as error:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+                raise
+            parts = runs(folders_of(path), files_of)
+    else:
+        parts = runs(list(path), None) if path else []
     alike: dict[StructType, list[str]] = {}
-    for columns, run in runs(files) if files else []:
+    for columns, run in parts:
         alike.setdefault(columns, []).extend(run)
     return [spark.read.schema(columns).parquet(*run) for columns, run in alike.items()]
 
