@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegralType
 
 from tidemark.llm.components import components, contracted
 from tidemark.llm.tables import numbered, ready, written
@@ -289,7 +289,10 @@ def link(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     spark = ready(vectors.sparkSession)
     epsilon = float(np.sqrt(2 - 2 * cosine))
     kind = "<f8" if vectors.schema["embedding"].dataType.elementType == DoubleType() else "<f4"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("long").alias("label"))
+    label = F.col("label")
+    if not isinstance(vectors.schema["label"].dataType, IntegralType):  # a number for each label as given
+        label = F.when(label.isNotNull(), F.xxhash64(label))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", label.cast("long").alias("label"))
     asked = rows.where("vec_id is not null and label is not null and embedding is not null and size(embedding) > 0")
     axes = _fitted_axes(asked)
 
