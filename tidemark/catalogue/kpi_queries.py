@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalogue import oracle as o
+from tidemark.catalogue.bindings import AS_OF_YEAR
 from tidemark.catalogue.registry import Inputs, query
-from tidemark.plans import gold, kpis
+from tidemark.operators.dedupe import merged_state
+from tidemark.plans import gold, kpis, silver
 from tidemark.sources import tables
 from tidemark.sources.ingest import pseudonymise
 
 SERVICE = "signup"
+DROPPED = "business_date"
 SALT = "tidemark-demo-salt"
 
 
@@ -112,6 +117,41 @@ def _(t: Inputs) -> DataFrame:
     return kpis.rare_codes(acts, t.clinic.ref_ccam.withColumnsRenamed(codes), RARE)
 
 
+# --- marts from partials kept by drop date ----------------------------------------------
+
+
+def kept_by_date(t: Inputs, parts: DataFrame, part, days) -> DataFrame:
+    """Partials of facts that carry a drop date, kept by it; those of ``days`` are first made of
+    nothing, as if their facts had come late, and then replaced in one job."""
+    path, given = t.scratch("parts"), F.col(DROPPED).isin(*days)
+    tables.rebuild(part(parts.filter(~given), [DROPPED]), path, DROPPED)
+    return tables.replace_slices(part(parts.filter(given), [DROPPED]), path, [DROPPED], days).drop(DROPPED)
+
+
+WEEK = [date(2024, 1, day) for day in range(5, 12)]
+
+
+@query("kpi_4_alerts_from_kept_parts", o.sql(o.alertes("mon_silver")))
+def _(t: Inputs) -> DataFrame:
+    readings = t.activity.monitoring.kept.withColumn(DROPPED, F.to_date("ts"))
+    return kpis.alertes_constantes(kept_by_date(t, readings, kpis.alert_parts, WEEK))
+
+
+@query("kpi_7_prevalence_from_kept_pairs", o.sql(o.prevalence(5)))
+def _(t: Inputs) -> DataFrame:
+    """Diagnoses of a patient lie in several drops; (code, patient) pairs of all dates merge."""
+    day = F.date_add(F.lit(WEEK[0]), F.pmod(F.xxhash64("stay_id"), F.lit(10)).cast("int"))
+    coded = t.clinic.diagnostics.kept.withColumn(DROPPED, F.coalesce(day, F.lit(WEEK[0])))
+    return kpis.prevalence(kept_by_date(t, coded, kpis.patient_pairs, WEEK[:3]), t.clinic.ref_cim10)
+
+
+@query("kpi_13_billing_from_kept_parts", o.sql(o.MONTANT))
+def _(t: Inputs) -> DataFrame:
+    acts = t.clinic.fact_acte.withColumn(DROPPED, F.trunc("acte_date", "year"))
+    days = [date(1995, 1, 1), date(1997, 1, 1)]
+    return kpis.montant_t2a(kept_by_date(t, acts, kpis.act_parts, days), t.clinic.dim_service)
+
+
 # --- the mart each dashboard card reads, and the card itself ---------------------------
 
 
@@ -174,6 +214,19 @@ def _(t: Inputs) -> DataFrame:
     return t.clinic.patients.kept
 
 
+@query("bld_1_patients_from_kept_state", o.sql("SELECT * FROM cl_patients"))
+def _(t: Inputs) -> DataFrame:
+    """The newest values of two thirds of the versions as a written state, into which the other
+    third merges, whichever are newer."""
+    version = ("business_date", "version_seq")
+    part = F.pmod(F.xxhash64("version_seq"), F.lit(3))
+    old = silver.patient_state(t.clinic.bronze_patients.filter(part > 0), version)
+    kept = tables.rebuild(old, t.scratch("state"))
+    new = silver.patient_state(t.clinic.bronze_patients.filter(part == 0), version)
+    newest = merged_state(kept, new, "patient_hash").select("patient_hash", *silver.patient_columns())
+    return silver.judged_patients(newest, AS_OF_YEAR).kept
+
+
 @query("bld_2_services", o.sql("SELECT * FROM cl_dim_service"))
 def _(t: Inputs) -> DataFrame:
     return t.clinic.services.kept

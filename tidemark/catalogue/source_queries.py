@@ -239,6 +239,31 @@ def _(t: Inputs) -> DataFrame:
     return week.groupBy("jour").agg(F.count("*").alias("n"), F.count("heart_rate").alias("n_hr"))
 
 
+@query(
+    "src_10_replace_many_days",
+    o.sql(
+        f"""SELECT jour, sum(n)::BIGINT AS n, sum(n_hr)::BIGINT AS n_hr FROM (
+              SELECT strftime(ts, '%Y%m%d') AS jour, 1 AS n, CASE WHEN heart_rate IS NULL THEN 0 ELSE 1 END AS n_hr
+              FROM mon_silver WHERE strftime(ts, '%Y%m%d') BETWEEN '{DAYS[0]}' AND '{DAYS[1]}'
+              UNION ALL
+              SELECT strftime(ts, '%Y%m%d'), 1, CASE WHEN heart_rate IS NULL THEN 0 ELSE 1 END
+              FROM mon_bronze WHERE strftime(ts, '%Y%m%d') NOT BETWEEN '{DAYS[0]}' AND '{DAYS[1]}')
+            GROUP BY 1"""
+    ),
+)
+def _(t: Inputs) -> DataFrame:
+    """A week of a raw table replaced by clean rows, and shown, at once; other days stay."""
+    path = t.scratch("monitoring")
+    keyed = t.activity.bronze_monitoring.withColumn("jour", day_key(F.col("ts")))
+    clean = t.activity.monitoring.kept.withColumn("jour", day_key(F.col("ts")))
+    tables.write_partitioned(keyed, path, "jour", ["stay_id", "ts"])
+    week = [str(day) for day in range(int(DAYS[0]), int(DAYS[1]) + 1)]
+    table = tables.replace_slices(clean.filter(F.col("jour").isin(*week)), path, ["jour"], week, ["stay_id", "ts"])
+    return table.groupBy(F.col("jour").cast("string").alias("jour")).agg(
+        F.count("*").alias("n"), F.count("heart_rate").alias("n_hr")
+    )
+
+
 @query(
     "src_11_clustered_scan",
     o.sql("SELECT stay_id, code_ccam, acte_ts FROM cl_actes WHERE stay_id BETWEEN '5' AND '6'"),

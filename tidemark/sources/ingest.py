@@ -194,20 +194,16 @@ def listed(spark: SparkSession, path: str, file: DropFile) -> DataFrame | None:
     )
 
 
-def unseen(found: DataFrame, lake: Lake) -> list[str] | None:
-    """Where the files lie that are new or changed; None if none of them was ever seen.
+def unseen(found: DataFrame, lake: Lake) -> tuple[bool, DataFrame]:
+    """Whether some of the files were seen before, and those that are new or changed.
 
     A file counts as seen by this salt only: another one hides identities anew.
     """
-    spark = found.sparkSession
     keys = ["source", "name", "path", "length", "modified"]
-    seen = tables.read_or_empty(spark, lake.seen_path, SEEN)
-    seen = seen.filter(F.col("salted") == pseudonym(F.lit("seen"), lake.salt)).select(*keys).distinct()
-    marked = found.join(seen.withColumn("_seen", F.lit(True)), keys, "left")
-    some = marked.agg(F.count("_seen").alias("known")).first()
-    if not some.known:
-        return None
-    return [row.location for row in marked.filter("_seen IS NULL").select("location").collect()]
+    seen = tables.read_or_empty(found.sparkSession, lake.seen_path, SEEN)
+    seen = seen.filter(F.col("salted") == pseudonym(F.lit("seen"), lake.salt)).select(*keys)
+    known = not found.join(seen, keys, "left_semi").isEmpty()
+    return known, found.join(seen, keys, "left_anti") if known else found
 
 
 def ingest(
@@ -230,14 +226,14 @@ def ingest(
         if found is None:
             return [], None
         found = tables.rebuild(found, f"{lake.root}/meta/listed/{file.source}-{file.name}")
-        new = unseen(found, lake)
-        if new is not None:
-            if not new:
-                return [], None
-            found = found.filter(F.col("location").isin(new))
-        parts = read_drop(spark, glob(root, file, dates) if new is None else new, file, json_lines)
-        rows = [prepare(part, file, lake.salt) for part in parts]
-        return land(together(rows), file, lake) if rows else [], found
+        known, new = unseen(found, lake)
+        paths: str | list[str] = glob(root, file, dates)
+        if known:  # as a rule a day's files; a first load is read by its pattern
+            paths = [row.location for row in new.select("location").collect()]
+        if not paths:
+            return [], None
+        rows = [prepare(part, file, lake.salt) for part in read_drop(spark, paths, file, json_lines)]
+        return land(together(rows), file, lake) if rows else [], new
 
     brought = side_by_side([partial(bring, file) for file in files])
     opened = [found for _, found in brought if found is not None]
