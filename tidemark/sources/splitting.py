@@ -17,35 +17,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 #: A JSON string, within which brackets do not count; none runs over a line's end.
-JSON_STRING = r'"(?:\\.|[^"\\])*"'
-SPLIT = ["_path", "_start"]
+JSON_STRING = r'"[^"\\]*(?:\\.[^"\\]*)*"'
+SPLIT = ["_file", "_start"]
 #: Lines of one chunk when a file is digested.
 CHUNK_LINES = 1 << 16
 
 
 def lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Lines as they lie, with their file, the start of their split and a number that grows
-    along the split."""
+    """Lines as they lie, with a hash of their file's path, the start of their split and a
+    number that grows along the split."""
     read = spark.read.option("lineSep", "\n").text(list(paths))
     return read.select(
         "value",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("_name"),
-        F.col("_metadata.file_size").alias("_length"),
+        F.xxhash64("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_at"),
         F.lit(0).alias("_part"),
     )
 
 
+def files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Path, name and length of each file, by the hash that its lines carry; a row per file, so
+    that no line carries them."""
+    named = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.xxhash64("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_size").alias("_length"),
+    )
+    return named.distinct()
+
+
 def earlier_splits(sums: DataFrame, name: str) -> DataFrame:
     """What the splits of a file before each one add up to."""
-    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     return sums.select(*SPLIT, F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name))
 
 
 def records(read: DataFrame, step: Column, between: Callable[[Column], Column]) -> DataFrame:
-    """``value, _path, _name, _first, _before, _after``: one row per record of ``lines``.
+    """``value, _file, _first, _before, _after``: one row per record of ``lines``.
 
     ``step`` is what a line adds to the state, ``between`` whether a state lies between two
     records. ``_before`` and ``_after`` are the states around the record; ``_first`` marks the
@@ -53,7 +63,8 @@ def records(read: DataFrame, step: Column, between: Callable[[Column], Column])
     """
     along = Window.partitionBy(*SPLIT).orderBy("_at", "_part")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    run = read.withColumn("_step", step).withColumns(
+    stepped = read.select("value", *SPLIT, "_at", "_part", step.alias("_step"))
+    run = stepped.withColumns(
         {"_inside": F.coalesce(F.sum("_step").over(earlier), F.lit(0)), "_line": F.row_number().over(along)}
     )
     bases = earlier_splits(run.groupBy(*SPLIT).agg(F.sum("_step").alias("_base")), "_base")
@@ -64,16 +75,18 @@ def records(read: DataFrame, step: Column, between: Callable[[Column], Column])
             "_first": (F.col("_start") == 0) & (F.col("_line") == 1),
         }
     )
-    shown = ["value", "_path", "_name", "_first", "_before", "_after"]
+    shown = ["value", "_file", "_first", "_before", "_after"]
     whole = between(F.col("_before")) & between(F.col("_after"))
     # of the other lines, each that begins a record has the next number
     broken = stated.filter(~whole).withColumn("_begins", between(F.col("_before")).cast("int"))
-    counts = earlier_splits(broken.groupBy(*SPLIT).agg(F.sum("_begins").alias("_earlier")), "_earlier")
+    # the lines are counted too, so that this reads the same shuffle as the rest
+    begins = broken.groupBy(*SPLIT).agg(F.sum("_begins").alias("_earlier"), F.count("value").alias("_lines"))
+    counts = earlier_splits(begins.filter("_lines > 0"), "_earlier")
     begun = F.sum("_begins").over(along.rowsBetween(Window.unboundedPreceding, 0))
     numbered = broken.withColumn("_begun", begun).join(counts, SPLIT)
     numbered = numbered.withColumn("_record", F.col("_earlier") + F.col("_begun"))
     place = F.struct("_start", "_at", "_part")
-    glued = numbered.groupBy("_path", "_name", "_record").agg(
+    glued = numbered.groupBy("_file", "_record").agg(
         F.sort_array(F.collect_list(F.struct("_start", "_at", "_part", "value"))).alias("_lines"),
         F.max("_first").alias("_first"),
         F.min_by("_before", place).alias("_before"),
@@ -83,11 +96,12 @@ def records(read: DataFrame, step: Column, between: Callable[[Column], Column])
     return stated.filter(whole).select(*shown).unionByName(glued.select(*shown))
 
 
-def located(rows: DataFrame, columns: StructType, parsed: Column) -> DataFrame:
+def located(rows: DataFrame, named: DataFrame, columns: StructType, parsed: Column) -> DataFrame:
     """Parsed records with their file where Spark's own readers have it."""
     held = F.struct(F.col("_path").alias("file_path"), F.col("_name").alias("file_name"))
     fields = [F.col(f"_parsed.`{field.name}`").alias(field.name) for field in columns]
-    return rows.select(held.alias("_metadata"), parsed.alias("_parsed")).select(*fields, "_metadata")
+    found = rows.select("_file", parsed.alias("_parsed")).join(named, "_file")
+    return found.select(*fields, held.alias("_metadata"))
 
 
 def odd_quotes(value: Column) -> Column:
@@ -100,28 +114,27 @@ def split_csv(spark: SparkSession, paths: Sequence[str], columns: StructType, op
     reader's. A header that differs from the columns is an error. In a file whose header ends
     with a carriage return, line breaks inside quotes lose theirs, as with Spark's reader."""
     found = records(lines(spark, paths), odd_quotes(F.col("value")), lambda state: state % 2 == 0)
-    ends = found.filter("_first").select("_path", F.endswith("value", F.lit("\r")).alias("_returns"))
-    found = found.join(ends, "_path")
+    ends = found.filter("_first").select("_file", F.endswith("value", F.lit("\r")).alias("_returns"))
+    found = found.join(ends, "_file")
     line = F.regexp_replace("value", "^﻿|\r$", "")
     line = F.when(F.col("_returns"), F.replace(line, F.lit("\r\n"), F.lit("\n"))).otherwise(line)
     shown = F.split(F.lower(F.replace(line, F.lit('"'))), ",")
     wanted = F.array(*[F.lit(field.name.lower()) for field in columns])
-    refused = F.raise_error(F.concat(F.lit("CSV header differs from the declared columns in "), "_path"))
+    refused = F.raise_error(F.concat(F.lit("CSV header differs from the declared columns: "), line))
     body = F.when(F.col("_first"), F.when(shown == wanted, F.lit(False)).otherwise(refused.cast("boolean")))
     rows = found.filter(body.otherwise(F.trim(line) != ""))
     given = {name: str(value).lower() if isinstance(value, bool) else value for name, value in options.items()}
     kept = {name: value for name, value in given.items() if name not in ("header", "enforceSchema")}
-    return located(rows, columns, F.from_csv(line, columns.simpleString(), kept))
+    return located(rows, files(spark, paths), columns, F.from_csv(line, columns.simpleString(), kept))
 
 
-def moved_depth(value: Column) -> Column:
-    """How much deeper a line of JSON ends than it begins."""
-    bare = F.regexp_replace(value, JSON_STRING, "")
+def moved_depth(bare: Column) -> Column:
+    """How much deeper a line of JSON ends than it begins; its strings are taken out."""
 
-    def count(pattern: str) -> Column:
-        return F.length(bare) - F.length(F.regexp_replace(bare, pattern, ""))
+    def count(signs: str) -> Column:
+        return F.length(bare) - F.length(F.translate(bare, signs, ""))
 
-    return count(r"[\[{]") - count(r"[\]}]")
+    return count("[{") - count("]}")
 
 
 def split_json(spark: SparkSession, paths: Sequence[str], columns: StructType) -> DataFrame:
@@ -130,14 +143,15 @@ def split_json(spark: SparkSession, paths: Sequence[str], columns: StructType) -
     read = lines(spark, paths)
     # "}, {" is two lines: the first ends an object, the second begins one
     apart = F.split(F.regexp_replace("value", r"^(\s*\})(\s*,\s*\{)", "$1\n$2"), "\n")
-    read = read.select(F.posexplode(apart).alias("_part", "value"), "_path", "_name", "_start", "_at")
-    found = records(read, moved_depth(F.col("value")), lambda state: state <= 1)
+    read = read.select(F.posexplode(apart).alias("_part", "value"), *SPLIT, "_at")
+    read = read.withColumn("_bare", F.regexp_replace("value", JSON_STRING, ""))
+    found = records(read, moved_depth(F.col("_bare")), lambda state: state <= 1)
     text = F.regexp_replace("value", r"^[\s,﻿]+|[\s,]+$", "")
     text = F.when(F.col("_before") == 0, F.regexp_replace(text, r"^\[", "")).otherwise(text)
     text = F.when(F.col("_after") == 0, F.regexp_replace(text, r"\]$", "")).otherwise(text)
     objects = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(columns))
     held = found.withColumn("_object", F.explode(objects))
-    return located(held, columns, F.col("_object"))
+    return located(held, files(spark, paths), columns, F.col("_object"))
 
 
 def file_digests(spark: SparkSession, paths: Sequence[str], chunk: int = CHUNK_LINES) -> DataFrame:
@@ -148,21 +162,21 @@ def file_digests(spark: SparkSession, paths: Sequence[str], chunk: int = CHUNK_L
     the digests of a chunk or of all chunks. A file's order counts; ``identity.fingerprint_groups``
     is blind to it.
     """
-    read = lines(spark, paths).select(*SPLIT, "_at", "_length", F.unhex(F.sha2("value", 256)).alias("_digest"))
+    read = lines(spark, paths).select(*SPLIT, "_at", F.unhex(F.sha2("value", 256)).alias("_digest"))
     along = Window.partitionBy(*SPLIT).orderBy("_at")
     run = read.withColumn("_inside", F.row_number().over(along))
     counts = earlier_splits(run.groupBy(*SPLIT).agg(F.max("_inside").alias("_earlier")), "_earlier")
     number = F.col("_earlier") + F.col("_inside") - 1
-    numbered = run.join(counts, SPLIT).select("_path", "_length", "_digest", number.alias("_number"))
+    numbered = run.join(counts, SPLIT).select("_file", "_digest", number.alias("_number"))
 
     def folded(order: str) -> Column:
         held = F.sort_array(F.collect_list(F.struct(order, "_digest")))
         return F.array_join(F.transform(held["_digest"], lambda one: F.lower(F.hex(one))), "")
 
     chunked = numbered.withColumn("_chunk", F.floor(F.col("_number") / chunk))
-    chunks = chunked.groupBy("_path", "_length", "_chunk").agg(F.unhex(F.sha2(folded("_number"), 256)).alias("_digest"))
-    files = chunks.groupBy("_path", "_length").agg(folded("_chunk").alias("_all"))
-    return files.select(
+    chunks = chunked.groupBy("_file", "_chunk").agg(F.unhex(F.sha2(folded("_number"), 256)).alias("_digest"))
+    whole = chunks.groupBy("_file").agg(folded("_chunk").alias("_all")).join(files(spark, paths), "_file")
+    return whole.select(
         F.col("_path").alias("path"),
         F.col("_length").alias("length"),
         F.sha2(F.concat_ws(":", "_length", "_all"), 256).alias("sha256"),
