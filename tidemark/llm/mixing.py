@@ -119,7 +119,11 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, all its columns kept."""
+    """The mix itself: every row of ``docs`` as often as it is taken, all its columns kept.
+
+    Null and empty texts, null sources, ties, equal rows and empty tables are as in ``mix``;
+    columns named like those of ``mix`` keep their own values.
+    """
     ready(docs.sparkSession)
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")
     whole = _sized(docs.select("doc_id", "source", "text", row)).drop("text")

@@ -172,5 +172,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not called toxic, with all their columns."""
+    """The documents that are not called toxic, with all their columns.
+
+    Null and empty texts score the intercept, repeated rows go or stay together, columns of any
+    name are kept as they are, and an empty table stays empty.
+    """
     return docs.where(score_column(learn(docs, labels), F.col("text")) < 0.5)
