@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 import random
+import uuid
 
 import hospital
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidemark.plans.model import DIAGNOSTICS, DROP_FILES, text_schema
 from tidemark.sources import drops, splitting, tables
@@ -95,3 +98,51 @@ def test_large_drops_land_alike(spark, tmp_path, small_splits):
         prints = lake.ledger(spark).select("path", "sha256", "rows")
         landed.append([rows(tables.read(spark, lake.path(file))) for file in files] + [rows(prints)])
     assert landed[0] == landed[1] and all(landed[0])
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 25_001])
+def test_a_task_prints_one_array(spark, count):
+    made = [{"stay_id": f"s{n}", "diagnostics": []} for n in range(count)]
+    texts = pa.array([json.dumps(each, indent=2) for each in made], pa.string())
+    batches = pa.Table.from_arrays([texts], ["value"]).to_batches(max_chunksize=1000)
+    printed = [text for batch in splitting.one_array(iter(batches)) for text in batch.column(0).to_pylist()]
+    assert json.loads(" ".join(printed)) == made and len(printed) == max(count, 1)
+
+
+def test_only_pieces_of_records_cut_by_a_split_move(spark, tmp_path, small_splits):
+    """Lines are neither dealt out nor sorted; of each split, at most two pieces are."""
+    made = objects(400)
+    (tmp_path / "d.json").write_text(json.dumps(made, indent=2))
+    read = splitting.lines(spark, [str(tmp_path / "d.json")])
+    moved = splitting.moved_depth(F.regexp_replace("value", splitting.JSON_STRING, ""))
+    found = splitting.records(read, moved, lambda state: state <= 1)
+    assert found.count() == len(made) + 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_at#" not in plan.replace("AS _at#", "") and "row_number" not in plan
+    splits = read.select(*splitting.SPLIT).distinct().count()
+    stated = read.select("value", *splitting.SPLIT, F.lit(2).cast("long").alias("_base"), moved.cast("long").alias("_step"))
+    stated = stated.withColumn("_base", F.when(F.col("_start") == 0, 0).otherwise(F.col("_base")))
+    pieces = stated.mapInArrow(lambda given: splitting.grouped(given, lambda state: state <= 1, True), splitting.PIECE)
+    assert 0 < pieces.count() <= 2 * splits < read.count() / 4
+
+
+def test_files_split_otherwise_when_read_again(spark, tmp_path, small_splits):
+    """Splits of another size are an error, not lost lines."""
+    (tmp_path / "d.json").write_text(json.dumps(objects(400), indent=2))
+    read = splitting.lines(spark, [str(tmp_path / "d.json")])
+    other = F.udf(lambda: uuid.uuid4().int % 2**31, "long").asNondeterministic()
+    sized = read.withColumn("_size", other())
+    found = splitting.records(sized, F.lit(0), lambda state: state <= 1)
+    with pytest.raises(PySparkException, match="split otherwise"):
+        found.collect()
+
+
+def test_texts_of_other_encodings_and_long_lines(spark, tmp_path, small_splits):
+    """Bytes that are no UTF-8 come back as Spark's own reader has them."""
+    body = b'a,b,c\n"\xe9\n",\xff,1\n' + b"".join(b'%d,"\xe9%s\n",z\n' % (n, b"y" * (n % 50)) for n in range(300))
+    (tmp_path / "f.csv").write_bytes(body)
+    paths = [str(tmp_path / "f.csv")]
+    split = splitting.split_csv(spark, paths, COLUMNS, drops.csv_options(True)).drop("_metadata")
+    assert rows(split.select(F.hex("a"), F.hex("b"), "c")) == rows(
+        drops.read_csv(spark, paths, COLUMNS, True).select(F.hex("a"), F.hex("b"), "c")
+    )

@@ -113,13 +113,13 @@ def _(t: Inputs) -> DataFrame:
 
 @query("src_3_json_split_array", o.sql("SELECT stay_id, code_cim10, type FROM cl_diag"))
 def _(t: Inputs) -> DataFrame:
-    """Files holding one printed array each, read in splits of their lines."""
-    root, raw = t.scratch("json"), t.clinic.raw_diagnostics
-    part = F.coalesce(F.pmod(F.xxhash64("stay_id"), F.lit(64)), F.lit(0)).alias("part")
-    whole = raw.groupBy(part).agg(F.collect_list(F.struct("stay_id", "diagnostics")).alias("all"))
-    printed = whole.select("part", F.to_json("all", {"pretty": "true"}).alias("value"))
-    printed.write.partitionBy("part").text(root)
-    read = splitting.split_json(t.spark, [f"{root}/part=*"], DIAGNOSTICS)
+    """Files holding one printed array each, one file per task, read in splits of their lines."""
+    root = t.scratch("json")
+    printed = t.clinic.raw_diagnostics.select(
+        F.to_json(F.struct("stay_id", "diagnostics"), {"pretty": "true"}).alias("value")
+    )
+    printed.mapInArrow(splitting.one_array, "value string").write.option("lineSep", " ").text(root)
+    read = splitting.split_json(t.spark, [root], DIAGNOSTICS)
     return read.select("stay_id", F.explode("diagnostics").alias("d")).select(
         "stay_id", "d.code_cim10", "d.type"
     )
