@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import re
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalogue import REGISTRY
 from tidemark.operators.skew import hot_keys
 from tidemark.plans import bronze, checks, gold, kpis, silver
 
@@ -210,3 +212,43 @@ def test_share_of_nothing_is_nothing(frame, services, no_codes):
     assert kpis.mode_sortie(fact).count() == 0
     assert tuple(kpis.readmission(fact).first()) == (0, 0, None)
     assert kpis.dms(fact, services).filter(F.lit(True)).count() == 0
+
+
+def test_checks_read_the_tables_that_were_written_once(spark, frame, tmp_path):
+    """Twelve checks over few rows; what the tables were built from is not read for each check."""
+    day, later = date(1998, 1, 5), datetime(2024, 1, 5, 10)
+    tables = {
+        "region": ("r_regionkey int, r_name string", (0, "ASIA")),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", (1, "JAPAN", 0)),
+        "supplier": ("s_suppkey long, s_nationkey int, s_acctbal double", (1, 1, 9000.0)),
+        "customer": ("c_custkey long, c_nationkey int", (7, 1), (8, 1)),
+        "part": (
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+            (1, "a", "Brand#1", "LARGE", 3, 9.5),
+            (2, "b", "Brand#2", "SMALL", 50, 1.5),
+        ),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, "
+            "o_orderpriority string",
+            (1, 7, "O", 30000.0, day, "1-URGENT"),
+            (2, 8, "F", 1000.0, day, "2-HIGH"),
+            (3, 8, "P", 30000.0, day, "2-HIGH"),
+        ),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_shipdate date",
+            *[(order, part, part, "R", day) for order in (1, 2, 3) for part in (1, 2)],
+        ),
+        "events": (
+            "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+            (1, later, 7, "view", 50.0, '{"k": 30}'),
+            (2, later, 7, "view", 500.0, '{"k": 30}'),
+        ),
+    }
+    for name, (columns, *rows) in tables.items():
+        frame(columns, *rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    report = REGISTRY["chk_13_checks_report"](spark, str(tmp_path))
+    found = {row.check[:2]: row.n_violations for row in report.collect()}
+    # three rare codes and one cohort, a reading out of range, a wrong and a missing figure
+    assert found == {f"{n:02}": 0 for n in range(1, 13)} | {"04": 4, "07": 1, "09": 2}
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("l_orderkey|l_partkey", plan)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalogue import oracle as o
-from tidemark.catalogue.kpi_queries import mart
 from tidemark.catalogue.registry import Inputs, query
 from tidemark.functions.coding import SEX_SYNONYMS, normalise_code
 from tidemark.operators import quality, reconcile
-from tidemark.plans import checks, kpis, silver
+from tidemark.plans import checks, gold, kpis, silver
 from tidemark.plans.model import LONG, STRING, schema
-from tidemark.session import inline
+from tidemark.session import inline, side_by_side, written
 
 WITHOUT_TIME = ("source", "natural_key", "rule", "detail")
 
@@ -420,6 +421,12 @@ REPORTED = (
 )
 
 
+def all_written(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Independent tables, written side by side."""
+    tables = side_by_side(partial(written, frame, name) for name, frame in frames.items())
+    return dict(zip(frames, tables, strict=True))
+
+
 @query(
     "chk_13_checks_report",
     o.sql(
@@ -459,7 +466,7 @@ REPORTED = (
 )
 def _(t: Inputs) -> DataFrame:
     """All twelve checks over one warehouse; unmasked cohorts, raw readings and wrong published
-    figures break three of them."""
+    figures break three of them. Silver and gold tables and marts are written once and read back."""
     c = t.clinic
     bronze = {
         "sejours": c.bronze_sejours,
@@ -467,21 +474,34 @@ def _(t: Inputs) -> DataFrame:
         "ref_cim10": c.ref_cim10,
         "ref_ccam": c.ref_ccam,
     }
-    kept = {
+    built = {
         "sejours": c.sejours.kept,
         "patients": c.patients.kept,
-        "monitoring": t.activity.bronze_monitoring,
         "diagnostics": c.diagnostics.kept,
-        "pathologies": c.dim_cim10,
         "actes": c.actes.kept,
-        "ccam": c.dim_ccam,
     }
-    gold = {"fact_sejour": c.fact_sejour, "fact_acte": c.fact_acte}
-    shown = ("readmission_30j", "dms", "alertes_constantes", "urgences_jour")
-    marts = {f"kpi_pilotage_{name}": mart(t, f"kpi_pilotage_{name}") for name in shown} | {
-        "kpi_recherche_prevalence": kpis.prevalence(c.diagnostics.kept, c.ref_cim10, 1),
-        "kpi_recherche_cohorte_age_sexe": kpis.cohorte_age_sexe(c.diagnostics.kept, c.dim_patient, 1),
+    kept = all_written(built)
+    built = {
+        "fact_sejour": gold.fact_sejour(kept["sejours"], kept["diagnostics"], hot=[]),
+        "fact_acte": gold.fact_acte(kept["actes"], c.ref_ccam),
+        "measures": gold.stay_measures(kept["sejours"]),
+    }
+    facts = all_written(built)
+    measures = facts.pop("measures")
+    kept |= {
+        "monitoring": t.activity.bronze_monitoring,
+        "pathologies": silver.pathologies(c.ref_cim10, kept["diagnostics"]),
+        "ccam": silver.ccam(c.ref_ccam, kept["actes"]),
+    }
+    dim_patient = gold.dim_patient(kept["patients"], kept["sejours"])
+    marts = {
+        "kpi_pilotage_readmission_30j": kpis.readmission(measures),
+        "kpi_pilotage_dms": kpis.dms(measures, c.dim_service),
+        "kpi_pilotage_alertes_constantes": kpis.alertes_constantes(t.activity.monitoring.kept),
+        "kpi_pilotage_urgences_jour": kpis.urgences_jour(measures, "1"),
+        "kpi_recherche_prevalence": kpis.prevalence(kept["diagnostics"], c.ref_cim10, 1),
+        "kpi_recherche_cohorte_age_sexe": kpis.cohorte_age_sexe(kept["diagnostics"], dim_patient, 1),
     }
     return reconcile.report(
-        checks.all_checks(bronze, kept, gold, c.sejours.rejects, marts, REPORTED, "1")
+        checks.all_checks(bronze, kept, facts, c.sejours.rejects, all_written(marts), REPORTED, "1")
     )
